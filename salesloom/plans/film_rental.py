@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from salesloom.functions.dates import in_window, in_years, months_later, ntz, quarter_bounds, whole_days
 from salesloom.functions.money import from_cents
-from salesloom.functions.text import concat_skip_nulls, require_text, same_text
+from salesloom.functions.text import concat_skip_nulls, folded, require_text, same_text
 from salesloom.operators.changes import assign_keys, rows_to_append
 from salesloom.operators.gaps import longest_gap, longest_gap_by_set
 from salesloom.operators.lookup import in_set, label_by_value, lowest_dimension_key, with_counts
@@ -35,6 +35,7 @@ AUDIENCE_DEFAULT = "Not Rated"
 
 # What a film gets when only its title, year and language are given.
 NEW_FILM = {"rental_duration": 3, "rental_rate": "4.99", "replacement_cost": "19.99", "rating": "G"}
+DEFAULT_LANGUAGE = "Klingon"
 
 
 def resolved_payments(payment: DataFrame, rental: DataFrame, inventory: DataFrame) -> DataFrame:
@@ -316,17 +317,19 @@ def in_stock_by_title(
     )
 
 
-def new_films(film: DataFrame, language: DataFrame, batch: DataFrame, as_of: dt.date) -> tuple[DataFrame, DataFrame]:
+def new_films(
+    film: DataFrame, language: DataFrame, batch: DataFrame, as_of: dt.date, default_language: str = DEFAULT_LANGUAGE
+) -> tuple[DataFrame, DataFrame]:
     """Films to add from ``batch`` (title, release_year, language_name): (new rows, rejects).
 
     Blank titles and unknown languages are rejected; titles already there in any case are skipped; the
-    rest get the next film ids in title order and the fixed defaults. Language NULL means the default
-    language of the caller and must be filled in before.
+    rest get the next film ids in title order and the fixed defaults. A missing year means the year of
+    ``as_of``, a missing language the default language.
     """
     known = lowest_dimension_key(language, "name", "language_id")
     blank = F.col("title").isNull() | (F.trim("title") == "")
     resolved = (
-        batch.withColumn("_name", F.lower(F.trim("language_name")))
+        batch.withColumn("_name", folded(F.coalesce("language_name", F.lit(default_language))))
         .join(known.withColumnRenamed("name", "_name"), "_name", "left")
         .drop("_name")
         .withColumn(

@@ -76,3 +76,82 @@ def promotions(t: Tables) -> DataFrame:
         F.col("p_size").alias("promo_category_id"),
         F.col("p_type").alias("promo_category"),
     )
+
+
+def film(t: Tables) -> DataFrame:
+    """Parts as films: title, language and release year come from name, type and size."""
+    return t.part.select(
+        F.col("p_partkey").alias("film_id"),
+        F.concat_ws(" ", "p_name", "p_brand").alias("title"),
+        F.col("p_type").alias("language"),
+        F.col("p_type").alias("rating"),
+        F.col("p_brand").alias("brand"),
+        F.col("p_size").alias("length"),
+        (F.col("p_size") + 1970).alias("release_year"),
+        (F.col("p_size") * 100).cast("bigint").alias("rental_rate_cents"),
+        F.col("p_size").alias("rental_duration"),
+        cents("p_retailprice").alias("replacement_cents"),
+    )
+
+
+def film_supplier(t: Tables) -> DataFrame:
+    """Suppliers as actors: each (supplier, part) pair that was ever delivered, once."""
+    return t.lineitem.select(F.col("l_suppkey").alias("actor_id"), F.col("l_partkey").alias("film_id")).distinct()
+
+
+def payments(t: Tables) -> DataFrame:
+    """Line items as payments made on the order date in the store of the supplier."""
+    orders = t.orders.select(
+        F.col("o_orderkey").alias("l_orderkey"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderdate").alias("payment_date"),
+    )
+    lines = t.lineitem.select(
+        "l_orderkey",
+        F.col("l_partkey").alias("film_id"),
+        F.col("l_suppkey").alias("store_id"),
+        cents("l_extendedprice").alias("amount_cents"),
+    )
+    return lines.join(orders, "l_orderkey").drop("l_orderkey")
+
+
+def order_payments(t: Tables) -> DataFrame:
+    """Orders as payments of their customer."""
+    return t.orders.select(
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderdate").alias("payment_date"),
+        cents("o_totalprice").alias("amount_cents"),
+    )
+
+
+def rentals(t: Tables) -> DataFrame:
+    """Line items as rentals: out on the order date, back on the ship date, still out while the line is open."""
+    orders = t.orders.select(
+        F.col("o_orderkey").alias("l_orderkey"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderdate").alias("rental_date"),
+    )
+    lines = t.lineitem.select(
+        "l_orderkey",
+        F.col("l_partkey").alias("film_id"),
+        F.concat_ws("-", "l_partkey", "l_suppkey").alias("inventory_id"),
+        F.when(F.col("l_linestatus") != "O", F.col("l_shipdate")).alias("return_date"),
+        F.col("l_returnflag").alias("kind"),
+    )
+    return lines.join(orders, "l_orderkey").drop("l_orderkey")
+
+
+def inventory(t: Tables) -> DataFrame:
+    """Copies: one per (part, supplier) pair."""
+    return t.lineitem.select(
+        F.concat_ws("-", "l_partkey", "l_suppkey").alias("inventory_id"), F.col("l_partkey").alias("film_id")
+    ).distinct()
+
+
+def stores(t: Tables) -> DataFrame:
+    """Suppliers as stores; the second address line is missing where the balance is negative or small."""
+    return t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.col("s_suppkey").alias("store_id"),
+        F.col("s_name").alias("address"),
+        F.when(F.col("s_acctbal") >= 1000, F.col("n_name")).alias("address2"),
+    )
