@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.functions.text import folded
+from salesloom.operators.lookup import not_in_set
 from salesloom.operators.ranking import latest_per_key, number_rows
 
 
@@ -22,7 +23,7 @@ def rows_to_append(
     form = folded if fold else F.col
     keyed = {mark: form(column) for mark, column in zip(marks, key)}
     known = existing.select(*[expression.alias(mark) for mark, expression in keyed.items()])
-    fresh = batch.withColumns(keyed).join(known, marks, "left_anti")
+    fresh = not_in_set(batch.withColumns(keyed), known, marks)
     return latest_per_key(fresh, marks, order).drop(*marks)
 
 
@@ -107,7 +108,8 @@ def apply_field_changes(
 
 
 def delete_keys(target: DataFrame, keys_to_drop: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return target.join(keys_to_drop.select(*keys), list(keys), "left_anti")
+    """Snapshot without the rows whose key is listed; rows with a NULL key stay."""
+    return not_in_set(target, keys_to_drop, list(keys))
 
 
 def assign_keys(existing: DataFrame, batch: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
@@ -119,7 +121,7 @@ def assign_keys(existing: DataFrame, batch: DataFrame, key: str, order: Sequence
     return number_rows(batch, order, "_number").withColumn(key, F.col("_number") + highest).drop("_number")
 
 
-def add_headers_with_details(
+def new_headers(
     headers: DataFrame,
     candidates: DataFrame,
     natural_key: Sequence[str],
@@ -130,8 +132,8 @@ def add_headers_with_details(
 
     Join the result to a price or line table to derive the detail rows under the new keys.
     """
-    fresh = candidates.join(headers.select(*natural_key), list(natural_key), "left_anti")
-    return assign_keys(headers, fresh.dropDuplicates(list(natural_key)), header_key, order)
+    fresh = not_in_set(candidates, headers, list(natural_key))
+    return assign_keys(headers, latest_per_key(fresh, natural_key, order), header_key, order)
 
 
 def with_audit_column(df: DataFrame, as_of: Column, column: str = "record_ts") -> DataFrame:

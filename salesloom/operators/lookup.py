@@ -10,14 +10,19 @@ from pyspark.sql import functions as F
 from salesloom.functions.text import folded
 
 
+def _members(members: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+    """Each key once: a key that fills the member table shrinks to one row per map task before the join."""
+    return members.select(*([keys] if isinstance(keys, str) else keys)).distinct()
+
+
 def in_set(df: DataFrame, members: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Rows whose key occurs in ``members``."""
-    return df.join(members.select(*([keys] if isinstance(keys, str) else keys)), keys, "left_semi")
+    return df.join(_members(members, keys), keys, "left_semi")
 
 
 def not_in_set(df: DataFrame, members: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Rows whose key does not occur in ``members``; a NULL key occurs nowhere."""
-    return df.join(members.select(*([keys] if isinstance(keys, str) else keys)), keys, "left_anti")
+    return df.join(_members(members, keys), keys, "left_anti")
 
 
 def with_counts(df: DataFrame, details: DataFrame, key: str, column: str) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salesloom.operators.lookup import in_set
+
 
 @dataclass(frozen=True)
 class NotNull:
@@ -192,8 +194,7 @@ def conform(
 
 def visible_rows(df: DataFrame, entitlements: DataFrame, principal: str, key: str) -> DataFrame:
     """Rows a principal may see: those whose key is granted to it. No grant, no rows."""
-    granted = entitlements.filter(F.col("principal") == principal).select(key)
-    return df.join(granted, key, "left_semi")
+    return in_set(df, entitlements.filter(F.col("principal") == principal), key)
 
 
 def rows_by_principal(df: DataFrame, entitlements: DataFrame, key: str) -> DataFrame:

@@ -12,6 +12,9 @@ from salesloom.sources.storage import frozen
 # monotonically_increasing_id keeps the partition number above this many bits.
 _POSITION_BITS = 33
 
+_LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
+_FIRST_CUT_PARTS = 64
+
 
 def top_k_per_group(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, column: str | None = None
@@ -19,12 +22,18 @@ def top_k_per_group(
     """First ``k`` rows of each group; ``order`` must end in a unique key.
 
     The filter on the row number lets Spark cut every map task to ``k`` rows per group before the
-    shuffle, so a group of any size reaches the final window as at most ``k`` rows per task.
+    shuffle, so a group of any size reaches the final window as at most ``k`` rows per task. Spark does
+    that up to a threshold; beyond it the groups are first cut in hashed parts.
     """
     rank = column or "_rank"
-    window = Window.partitionBy(*group).orderBy(*order)
-    ranked = df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= k)
-    return ranked if column else ranked.drop(rank)
+    if k > int(df.sparkSession.conf.get(_LIMIT_SETTING, "1000")):
+        parted = df.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(_FIRST_CUT_PARTS)))
+        window = Window.partitionBy(*group, "_part").orderBy(*order)
+        df = parted.withColumn("_first", F.row_number().over(window)).filter(F.col("_first") <= k)
+        df = df.drop("_part", "_first")
+    ranked = df.withColumn(rank, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+    kept = ranked.filter(F.col(rank) <= k)
+    return kept if column else kept.drop(rank)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -39,14 +48,8 @@ def top_dense_ranks(df: DataFrame, group: Sequence[str], value: str, n: int, col
     meet their rank in an equi-join, so no task ever holds a whole group.
     """
     keys = [*group, value]
-    window = Window.partitionBy(*group).orderBy(F.col(value).desc_nulls_last())
-    ranks = (
-        df.select(*keys)
-        .filter(F.col(value).isNotNull())
-        .distinct()
-        .withColumn(column, F.row_number().over(window))
-        .filter(F.col(column) <= n)
-    )
+    distinct = df.select(*keys).filter(F.col(value).isNotNull()).distinct()
+    ranks = top_k_per_group(distinct, group, [F.col(value).desc_nulls_last()], n, column)
     return df.join(ranks, keys)
 
 
@@ -69,8 +72,9 @@ def number_rows(df: DataFrame, order: Sequence[Column], column: str = "row_num")
         .select("_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
     local = F.col("_position").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+    # One row per partition of the frozen copy: small whatever the table holds.
     return (
-        placed.join(offsets, "_slice")
+        placed.join(F.broadcast(offsets), "_slice")
         .withColumn(column, F.col("_offset") + local + 1)
         .drop("_slice", "_offset", "_position")
     )

@@ -63,10 +63,12 @@ def titles_in_category(
     ``by_membership`` filters the bridge through a semi-join instead of joining the category in.
     """
     wanted = category.filter(same_text(F.col("name"), name)).select("category_id")
+    if by_membership:
+        linked = in_set(film_category, wanted, "category_id")
+    else:
+        linked = film_category.join(wanted, "category_id")
     films = film.filter(F.col("release_year").between(*years) & (F.col("rental_rate") > min_rate))
-    linked = films.join(film_category, "film_id")
-    chosen = in_set(linked, wanted, "category_id") if by_membership else linked.join(wanted, "category_id")
-    return chosen.select("title").orderBy("title")
+    return films.join(linked.select("film_id"), "film_id").select("title").orderBy("title")
 
 
 def _address(*parts: str) -> Column:
@@ -242,11 +244,10 @@ def most_popular_by_country(
     if check and there.isEmpty():
         raise LookupError(f"no country matches {country_pattern!r}")
     counts = (
-        rentals.groupBy("customer_id", "film_id")
-        .agg(F.count(F.lit(1)).alias("n"))
+        rentals.select("customer_id", "film_id")
         .join(there.select("customer_id", "country"), "customer_id")
         .groupBy("country", "film_id")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"))
         .join(film.select("film_id", *film_columns), "film_id")
         .groupBy("country", *film_columns)
         .agg(F.sum("n").alias("rental_count"))
@@ -273,13 +274,16 @@ def in_stock_by_title(
     customer_name.
     """
     require_text(pattern, "search pattern")
+    films = film.filter(F.col("title").ilike(pattern))
+    copies = inventory.select("inventory_id", "film_id").join(films.select("film_id"), "film_id", "left_semi")
     latest = F.max(F.struct("rental_date", "customer_id"))
     per_copy = rental.groupBy("inventory_id").agg(
         F.count_if(F.col("return_date").isNull()).alias("open"), latest.alias("latest")
     )
+    # Catalyst moves this filter below the aggregate when the copies are few enough to broadcast.
+    asked = in_set(per_copy, copies, "inventory_id")
     per_film = (
-        inventory.select("inventory_id", "film_id")
-        .join(per_copy, "inventory_id", "left")
+        copies.join(asked, "inventory_id", "left")
         .groupBy("film_id")
         .agg(
             F.count(F.lit(1)).alias("copies"),
@@ -290,7 +294,7 @@ def in_stock_by_title(
         .filter(F.col("copies") > F.col("open"))
     )
     rented = F.when(F.col("unused"), F.lit(None)).otherwise(F.col("latest")) if never_rented_first else F.col("latest")
-    matching = film.filter(F.col("title").ilike(pattern)).join(per_film.withColumn("rented", rented), "film_id")
+    matching = films.join(per_film.withColumn("rented", rented), "film_id")
     date_order = F.col("rented.rental_date")
     date_order = date_order.desc_nulls_first() if never_rented_first else date_order.desc_nulls_last()
     per_title = latest_per_key(

@@ -284,7 +284,7 @@ def header_detail(t: Tables) -> DataFrame:
     rented = pairs.filter(F.col("kind") == "R").select("customer_id", "film_id", highest.alias("rental_id"))
     wanted = pairs.filter(F.col("kind") == "A").select("customer_id", "film_id")
     key = ["customer_id", "film_id"]
-    headers = changes.add_headers_with_details(rented, wanted, key, "rental_id", [F.col(c) for c in key])
+    headers = changes.new_headers(rented, wanted, key, "rental_id", [F.col(c) for c in key])
     prices = t.part.select(F.col("p_partkey").alias("film_id"), from_cents(cents("p_retailprice")).alias("amount"))
     return headers.join(prices, "film_id").select(
         "rental_id", *key, "amount", F.lit(dt.date(2017, 1, 1)).alias("payment_date")

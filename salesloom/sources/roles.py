@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.functions.dates import in_window
@@ -61,6 +61,10 @@ def customers(t: Tables) -> DataFrame:
     )
 
 
+def customer_names(t: Tables) -> DataFrame:
+    return t.customer.select(F.col("c_custkey").alias("cust_id"), F.col("c_name").alias("cust_name"))
+
+
 def products(t: Tables) -> DataFrame:
     return t.part.select(
         F.col("p_partkey").alias("prod_id"),
@@ -124,6 +128,10 @@ def order_payments(t: Tables) -> DataFrame:
     )
 
 
+def _copy() -> Column:
+    return F.struct("l_partkey", "l_suppkey")
+
+
 def rentals(t: Tables) -> DataFrame:
     """Line items as rentals: out on the order date, back on the ship date, still out while the line is open."""
     orders = t.orders.select(
@@ -134,7 +142,7 @@ def rentals(t: Tables) -> DataFrame:
     lines = t.lineitem.select(
         "l_orderkey",
         F.col("l_partkey").alias("film_id"),
-        F.concat_ws("-", "l_partkey", "l_suppkey").alias("inventory_id"),
+        _copy().alias("inventory_id"),
         F.when(F.col("l_linestatus") != "O", F.col("l_shipdate")).alias("return_date"),
         F.col("l_returnflag").alias("kind"),
     )
@@ -143,9 +151,9 @@ def rentals(t: Tables) -> DataFrame:
 
 def inventory(t: Tables) -> DataFrame:
     """Copies: one per (part, supplier) pair."""
-    return t.lineitem.select(
-        F.concat_ws("-", "l_partkey", "l_suppkey").alias("inventory_id"), F.col("l_partkey").alias("film_id")
-    ).distinct()
+    return t.lineitem.select("l_partkey", "l_suppkey").distinct().select(
+        _copy().alias("inventory_id"), F.col("l_partkey").alias("film_id")
+    )
 
 
 def stores(t: Tables) -> DataFrame:
