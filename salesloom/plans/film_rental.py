@@ -180,9 +180,14 @@ def most_rented(
     )
 
 
-def years_since_last_film(film_actor: DataFrame, film: DataFrame, actor: DataFrame, as_of_year: int) -> DataFrame:
-    """Years between ``as_of_year`` and the last release of each actor."""
-    last = actor_years(film_actor, film).groupBy("actor_id").agg(F.max("release_year").alias("last_year"))
+def actor_years(film_actor: DataFrame, film: DataFrame) -> DataFrame:
+    """(actor_id, release_year) for every film of an actor."""
+    return film_actor.select("actor_id", "film_id").join(film.select("film_id", "release_year"), "film_id")
+
+
+def years_since_last_film(years: DataFrame, actor: DataFrame, as_of_year: int) -> DataFrame:
+    """Years between ``as_of_year`` and the last release of each actor; ``years`` as from ``actor_years``."""
+    last = years.groupBy("actor_id").agg(F.max("release_year").alias("last_year"))
     gap = F.lit(as_of_year) - F.col("last_year")
     return (
         last.join(actor, "actor_id")
@@ -191,11 +196,6 @@ def years_since_last_film(film_actor: DataFrame, film: DataFrame, actor: DataFra
     )
 
 
-def actor_years(film_actor: DataFrame, film: DataFrame) -> DataFrame:
-    """(actor, release year) for every film of an actor."""
-    return film_actor.select("actor_id", "film_id").join(film.select("film_id", "release_year"), "film_id")
-
-
 def longest_pause(years: DataFrame, actor: DataFrame, by_set: bool = False) -> DataFrame:
     """Longest distance between consecutive release years of each actor with at least two of them."""
     gaps = (longest_gap_by_set if by_set else longest_gap)(years, "actor_id", "release_year")

@@ -31,9 +31,7 @@ FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey, c_name
 """,
 )
 def inactivity_gap(t: Tables) -> DataFrame:
-    film_actor = t.orders.select(F.col("o_custkey").alias("actor_id"), F.col("o_orderkey").alias("film_id"))
-    film = t.orders.select(F.col("o_orderkey").alias("film_id"), F.year("o_orderdate").alias("release_year"))
-    return reports.years_since_last_film(film_actor, film, _actor(t), 2001)
+    return reports.years_since_last_film(_years(t), _actor(t), 2001)
 
 
 _YEARS = "y AS (SELECT DISTINCT o_custkey AS k, CAST(YEAR(o_orderdate) AS INTEGER) AS yr FROM orders)"
