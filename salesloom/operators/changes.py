@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.functions.text import folded
-from salesloom.operators.lookup import not_in_set
+from salesloom.operators.lookup import in_set, not_in_set, resolve_keys, split_rejects
 from salesloom.operators.ranking import latest_per_key, number_rows
 
 
@@ -57,7 +57,7 @@ def missing_pairs(
 
     offered = block(distinct_places).groupBy("_block").agg(F.collect_list(place).alias("_offered"))
     held = (
-        block(existing.select(item, place).filter(F.col(place).isNotNull()))
+        block(in_set(existing.select(item, place), distinct_places, place))
         .groupBy(item, "_block")
         .agg(F.collect_set(place).alias("_held"))
     )
@@ -133,7 +133,35 @@ def new_headers(
     Join the result to a price or line table to derive the detail rows under the new keys.
     """
     fresh = not_in_set(candidates, headers, list(natural_key))
-    return assign_keys(headers, latest_per_key(fresh, natural_key, order), header_key, order)
+    only_keys = set(candidates.columns) == set(natural_key)
+    once = fresh.distinct() if only_keys else latest_per_key(fresh, natural_key, order)
+    return assign_keys(headers, once, header_key, order)
+
+
+def load_batch(
+    existing: DataFrame,
+    batch: DataFrame,
+    natural_key: Sequence[str],
+    key: str | None,
+    order: Sequence[Column],
+    lookups: Mapping[str, tuple[DataFrame, str, str, str]] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows to append to a table, and the rejects: the usual load of a batch written with natural keys.
+
+    Natural keys of other tables are resolved (see ``resolve_keys``), rows already there are skipped, the
+    rest get the next surrogate keys (``key`` None: the table has none) and the columns of ``existing``;
+    columns the batch lacks are NULL. ``natural_key`` is compared without case where it is text.
+    """
+    accepted, rejects = split_rejects(resolve_keys(batch, lookups or {}))
+    text = {name for name, kind in existing.dtypes if kind == "string"}
+    fold = all(column in text for column in natural_key)
+    fresh = rows_to_append(existing, accepted, natural_key, order, fold)
+    keyed = assign_keys(existing, fresh, key, order) if key else fresh
+    types = dict(existing.dtypes)
+    columns = [
+        (F.col(c) if c in keyed.columns else F.lit(None)).cast(types[c]).alias(c) for c in existing.columns
+    ]
+    return keyed.select(*columns), rejects
 
 
 def with_audit_column(df: DataFrame, as_of: Column, column: str = "record_ts") -> DataFrame:

@@ -197,6 +197,15 @@ def visible_rows(df: DataFrame, entitlements: DataFrame, principal: str, key: st
     return in_set(df, entitlements.filter(F.col("principal") == principal), key)
 
 
+def grants_by_name(principals: DataFrame, people: DataFrame, names: Sequence[str], key: str) -> DataFrame:
+    """Grants (principal, key) for principals known by name: of several people with one name the lowest key.
+
+    A principal whose name is not found gets no grant.
+    """
+    lowest = people.groupBy(*names).agg(F.min(key).alias(key))
+    return principals.join(lowest, list(names)).select("principal", key)
+
+
 def rows_by_principal(df: DataFrame, entitlements: DataFrame, key: str) -> DataFrame:
     """Every principal's view of the table at once: one row per (principal, visible row)."""
     return df.join(entitlements.select("principal", key).distinct(), key)

@@ -15,6 +15,9 @@ _POSITION_BITS = 33
 _LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 _FIRST_CUT_PARTS = 64
 
+# A rank table of at most this many (group, value) rows is a few megabytes.
+_BROADCAST_ROWS = 100_000
+
 
 def top_k_per_group(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, column: str | None = None
@@ -41,15 +44,20 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return top_k_per_group(df, keys, order, 1)
 
 
-def top_dense_ranks(df: DataFrame, group: Sequence[str], value: str, n: int, column: str = "rn") -> DataFrame:
+def top_dense_ranks(
+    df: DataFrame, group: Sequence[str], value: str, n: int, column: str = "rn", groups: int | None = None
+) -> DataFrame:
     """Rows whose ``value`` is among the ``n`` highest distinct values of their group (ties kept).
 
     The distinct values are ranked first, which needs at most ``n`` rows per group; the rows then
-    meet their rank in an equi-join, so no task ever holds a whole group.
+    meet their rank in an equi-join, so no task ever holds a whole group. Where the number of groups is
+    known, ``groups`` bounds the rank table, and a small one is broadcast.
     """
     keys = [*group, value]
     distinct = df.select(*keys).filter(F.col(value).isNotNull()).distinct()
     ranks = top_k_per_group(distinct, group, [F.col(value).desc_nulls_last()], n, column)
+    if groups is not None and n * groups <= _BROADCAST_ROWS:
+        ranks = F.broadcast(ranks)
     return df.join(ranks, keys)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from salesloom.functions.dates import in_window, in_years, months_later, ntz, quarter_bounds, whole_days
 from salesloom.functions.money import from_cents
 from salesloom.functions.text import concat_skip_nulls, folded, require_text, same_text
-from salesloom.operators.changes import assign_keys, rows_to_append
+from salesloom.operators.changes import assign_keys, new_headers, rows_to_append
 from salesloom.operators.gaps import longest_gap, longest_gap_by_set
 from salesloom.operators.lookup import in_set, label_by_value, lowest_dimension_key, with_counts
 from salesloom.operators.ranking import latest_per_key, number_rows, top_k_per_group
@@ -360,6 +360,51 @@ def new_films(
     return rows, resolved.filter(F.col("reject_reason").isNotNull())
 
 
+def rent_films(
+    requests: DataFrame,
+    customer: DataFrame,
+    film: DataFrame,
+    inventory: DataFrame,
+    staff: DataFrame,
+    rental: DataFrame,
+    payment: DataFrame,
+    rental_day: dt.date,
+    payment_day: dt.date,
+) -> tuple[DataFrame, DataFrame]:
+    """Rent the requested (customer_id, film_id) and pay: (new rentals, new payments).
+
+    Every copy of the film in the customer's own store is rented unless the customer had it before; the
+    first employee of the store serves. A payment follows its rental through the new rental key.
+    """
+    copies = (
+        requests.select("customer_id", "film_id")
+        .distinct()
+        .join(customer.select("customer_id", "store_id"), "customer_id")
+        .join(inventory.select("inventory_id", "film_id", "store_id"), ["film_id", "store_id"])
+        .join(staff.groupBy("store_id").agg(F.min("staff_id").alias("staff_id")), "store_id", "left")
+        .join(film.select("film_id", "rental_duration", "rental_rate_cents"), "film_id")
+    )
+    natural = ["customer_id", "inventory_id"]
+    rented = new_headers(rental, copies, natural, "rental_id", [F.col(c) for c in natural])
+    rentals = rented.select(
+        "rental_id",
+        F.lit(rental_day).alias("rental_date"),
+        *natural,
+        F.date_add(F.lit(rental_day), F.col("rental_duration")).alias("return_date"),
+        "staff_id",
+    )
+    paid = assign_keys(payment, rented, "payment_id", [F.col("rental_id")])
+    payments = paid.select(
+        "payment_id",
+        "customer_id",
+        "staff_id",
+        "rental_id",
+        F.col("rental_rate_cents").alias("amount_cents"),
+        F.lit(payment_day).alias("payment_date"),
+    )
+    return rentals, payments
+
+
 def loyal_customers(
     payments: DataFrame, customer: DataFrame, min_purchases: int, min_cents: int, period_end: dt.date, months: int = 3
 ) -> DataFrame:

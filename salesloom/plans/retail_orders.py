@@ -11,7 +11,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.functions.text import quarter_label
+from salesloom.functions.text import quarter_label, require_text
 from salesloom.operators.changes import apply_field_changes, assign_keys
 from salesloom.operators.lookup import resolve_keys, split_rejects
 
@@ -106,6 +106,17 @@ def change_order_fields(orders: DataFrame, changes: DataFrame) -> DataFrame:
     return apply_field_changes(orders, changes, "order_id", CHANGEABLE, "sequence")
 
 
+def orders_of_customer(orders: DataFrame, customer: DataFrame, employee: DataFrame, email: str) -> DataFrame:
+    """The orders of one customer, newest first, with the employee who handled them."""
+    mine = customer.filter(F.col("email") == require_text(email, "email")).select("customer_id")
+    return (
+        orders.join(mine, "customer_id")
+        .join(employee.select("employee_id", F.col("emp_name").alias("handled_by")), "employee_id")
+        .select("order_id", "order_date", "order_status", "handled_by")
+        .orderBy(F.col("order_date").desc_nulls_first(), "order_id")
+    )
+
+
 def recent_quarter_report(orders: DataFrame, order_detail: DataFrame, customer: DataFrame) -> DataFrame:
     """Totals by customer, day and status in the latest quarter that has orders.
 

@@ -53,8 +53,9 @@ def consistent_top_customers(
     dated = sales.withColumn("calendar_year", F.year("time_id")).filter(F.col("calendar_year").isin(*years))
     totals = _total(dated, "cust_id", "calendar_year", "channel_desc")
     yearly = _total(totals, "cust_id", "calendar_year")
-    ranked = top_dense_ranks(yearly, ["calendar_year"], "amount_cents", rank)
-    cohort = in_all_periods(ranked, "cust_id", "calendar_year", len(set(years)))
+    periods = len(set(years))
+    ranked = top_dense_ranks(yearly, ["calendar_year"], "amount_cents", rank, groups=periods)
+    cohort = in_all_periods(ranked, "cust_id", "calendar_year", periods)
     return (
         _total(in_set(totals, cohort, "cust_id"), "channel_desc", "cust_id")
         .join(customers.select("cust_id", "cust_name"), "cust_id")

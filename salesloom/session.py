@@ -28,3 +28,19 @@ def local_session(cpus: int | str = 8, memory: str = "8g", name: str = "salesloo
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def cluster_settings(input_bytes: int, cores: int) -> dict[str, str]:
+    """Settings to submit a job of the given input size with.
+
+    A shuffle partition stands for about 2 GB of input files, which column pruning and map-side
+    combining bring to a few hundred megabytes; there are at least three per core, and adaptive execution
+    merges the ones that turn out small. Scans read half a gigabyte per task once there is that much.
+    """
+    partitions = max(3 * cores, input_bytes // (2 << 30))
+    scan = 512 << 20 if input_bytes // (512 << 20) >= 3 * cores else 128 << 20
+    return {
+        **{k: v for k, v in SETTINGS.items() if k.startswith("spark.sql.")},
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(scan),
+    }

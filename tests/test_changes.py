@@ -139,3 +139,28 @@ def test_membership_and_counts(spark):
     assert rows_of(in_set(df, members, "k")) == [(2,)]
     assert rows_of(not_in_set(df, members, "k")) == [(1,), (None,)]
     assert rows_of(with_counts(df, members, "k", "n")) == [(1, 0), (2, 2), (None, 0)]
+
+
+def test_batch_load_by_names_twice(spark):
+    lines = spark.createDataFrame([(1, "Central Line", "Red")], "line_id int, line_name string, line_color string")
+    batch = spark.createDataFrame([("CENTRAL LINE", "x"), ("Circle Line", "Yellow")], "line_name string, line_color string")
+    order = [F.col("line_name")]
+    new, rejects = changes.load_batch(lines, batch, ["line_name"], "line_id", order)
+    assert rows_of(new) == [(2, "Circle Line", "Yellow")] and rejects.collect() == []
+    lines = lines.unionByName(new)
+    assert changes.load_batch(lines, batch, ["line_name"], "line_id", order)[0].collect() == []
+
+    stops = spark.createDataFrame([(1, 7, 1)], "line_id int, station_id int, stop_sequence int")
+    stations = spark.createDataFrame([(7, "North"), (8, "South")], "station_id int, station_name string")
+    stop_batch = spark.createDataFrame(
+        [("Central Line", "North", 1), ("Central Line", "South", 2), ("Circle Line", "South", 1), ("Central Line", "Nowhere", 3)],
+        "line string, station string, stop_sequence int",
+    )
+    lookups = {
+        "line": (lines, "line_name", "line_id", "line_id"),
+        "station": (stations, "station_name", "station_id", "station_id"),
+    }
+    key = ["line_id", "station_id"]
+    new, rejects = changes.load_batch(stops, stop_batch, key, None, [F.col("stop_sequence")], lookups)
+    assert rows_of(new) == [(1, 8, 2), (2, 8, 1)]
+    assert [r.reject_reason for r in rejects.collect()] == ["station not found"]

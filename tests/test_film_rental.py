@@ -199,3 +199,18 @@ def test_new_films(spark, shop):
     ]
     again = shop["film"].select("film_id", "title").unionByName(rows.select(F.col("film_id").cast("int"), "title"))
     assert rental.new_films(again, language, batch, dt.date(2024, 5, 1))[0].collect() == []
+
+
+def test_rent_and_pay_once(spark, shop):
+    requests = spark.createDataFrame([(1, 5), (1, 1), (1, 5), (3, 3)], "customer_id int, film_id int")
+    homes = spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "customer_id int, store_id int")
+    staff = spark.createDataFrame([(9, 1), (4, 1), (6, 2)], "staff_id int, store_id int")
+    days = dt.date(2024, 5, 1), dt.date(2017, 1, 1)
+    tables = (homes, shop["film"], shop["inventory"], staff, shop["rental"], shop["payment"])
+    rentals, payments = rental.rent_films(requests, *tables, *days)
+    # Film 1 in store 1 was rented by customer 1 before; film 3 is not in store 1.
+    assert rows_of(rentals) == [
+        (6, days[0], 1, 51, dt.date(2024, 5, 3), 4),
+        (7, days[0], 1, 52, dt.date(2024, 5, 3), 4),
+    ]
+    assert rows_of(payments) == [(6, 1, 4, 6, 199, days[1]), (7, 1, 4, 7, 199, days[1])]

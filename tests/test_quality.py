@@ -6,7 +6,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from helpers import rows_of
-from salesloom.operators.quality import conform, integrity_report, null_audit, rows_by_principal, schema_drift, visible_rows
+from salesloom.operators.quality import (
+    conform,
+    grants_by_name,
+    integrity_report,
+    null_audit,
+    rows_by_principal,
+    schema_drift,
+    visible_rows,
+)
 from salesloom.sources import declared
 
 D = dt.date
@@ -127,3 +135,9 @@ def test_principals_see_their_rows_only(spark):
     assert rows_of(visible_rows(rows, grants, "eve", "customer_id")) == []
     both = rows_by_principal(rows, grants, "customer_id").select("principal", "v")
     assert rows_of(both) == [("bob", "b"), ("mary", "a")]
+
+
+def test_grant_goes_to_the_lowest_key_of_a_name(spark):
+    people = spark.createDataFrame([(4, "MARY", "SMITH"), (2, "MARY", "SMITH")], "customer_id int, first string, last string")
+    principals = spark.createDataFrame([("m", "MARY", "SMITH"), ("x", "NO", "ONE")], "principal string, first string, last string")
+    assert rows_of(grants_by_name(principals, people, ["first", "last"], "customer_id")) == [("m", 2)]

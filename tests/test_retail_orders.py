@@ -112,3 +112,8 @@ def test_change_one_field_of_one_order(spark, tables):
     before, after = tables["orders"], book.change_order_fields(tables["orders"], change)
     assert after.schema.names == before.schema.names
     assert set(rows_of(after)) - set(rows_of(before)) == {(2, 1, 5, D(2025, 4, 2), "Shipped")}
+
+
+def test_orders_of_one_customer_newest_first(tables):
+    out = book.orders_of_customer(tables["orders"], tables["customer"], tables["employee"], "ann@x")
+    assert [(r.order_id, r.handled_by) for r in out.collect()] == [(2, "Jane Foster"), (3, "Jane Foster"), (1, "Jane Foster")]

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows_of
+from salesloom.session import cluster_settings
 from salesloom.sources import storage, views
 from salesloom.sources.tables import SCHEMAS, Tables
 
@@ -58,3 +59,11 @@ def test_views(spark):
     assert spark.sql("SELECT count(*) FROM small").first()[0] == 2
     views.drop_views(spark, "small")
     assert not spark.catalog.tableExists("small")
+
+
+def test_cluster_settings_follow_the_input():
+    small = cluster_settings(1 << 30, 100)
+    large = cluster_settings(100 << 40, 4000)
+    assert small["spark.sql.shuffle.partitions"] == "300"
+    assert large["spark.sql.shuffle.partitions"] == "51200"
+    assert large["spark.sql.files.maxPartitionBytes"] == str(512 << 20)
