@@ -1,10 +1,11 @@
 """Reports over a sales star.
 
-``sales``: prod_id, cust_id, time_id (date), channel_desc, amount_cents; any report uses only the columns it
-needs. ``customers``: cust_id, cust_name, country_region. ``products``: prod_id, prod_name, prod_category.
+``sales``: prod_id, cust_id, time_id (date), channel_desc, country_region, amount_cents; a report uses only the
+columns it needs, and ``with_region`` adds the region where the fact has none. ``customers``: cust_id,
+cust_name, country_region. ``products``: prod_id, prod_name, prod_category.
 
-All reports total the fact by its narrowest key before they meet a dimension, so a heavy product, customer
-or channel is combined inside the map tasks.
+Reports total the fact before they meet a dimension, so a heavy product, customer or channel is combined
+inside the map tasks.
 """
 
 from __future__ import annotations
@@ -27,6 +28,11 @@ def _total(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.sum("amount_cents").alias("amount_cents"))
 
 
+def with_region(sales: DataFrame, customers: DataFrame) -> DataFrame:
+    """The fact with the region of its customer. Where the customer hangs on an order, attach it there instead."""
+    return sales.join(customers.select("cust_id", "country_region"), "cust_id")
+
+
 def top_customers_per_channel(sales: DataFrame, customers: DataFrame, k: int = 5) -> DataFrame:
     """Best ``k`` customers of each channel with their share of the channel."""
     per_customer = _total(sales, "channel_desc", "cust_id")
@@ -64,9 +70,7 @@ def consistent_top_customers(
     )
 
 
-def channel_share_by_year(
-    sales: DataFrame, customers: DataFrame, regions: Sequence[str], first_year: int, last_year: int
-) -> DataFrame:
+def channel_share_by_year(sales: DataFrame, regions: Sequence[str], first_year: int, last_year: int) -> DataFrame:
     """Channel share of each region and year next to the year before.
 
     The year before ``first_year`` is read as well, so the first reported year has a predecessor.
@@ -74,15 +78,8 @@ def channel_share_by_year(
     dated = sales.withColumn("calendar_year", F.year("time_id")).filter(
         F.col("calendar_year").between(first_year - 1, last_year)
     )
-    wanted = customers.filter(F.lower("country_region").isin(*[r.lower() for r in regions]))
-    base = _total(
-        _total(dated, "cust_id", "calendar_year", "channel_desc").join(
-            wanted.select("cust_id", "country_region"), "cust_id"
-        ),
-        "country_region",
-        "calendar_year",
-        "channel_desc",
-    )
+    wanted = dated.filter(F.lower("country_region").isin(*[r.lower() for r in regions]))
+    base = _total(wanted, "country_region", "calendar_year", "channel_desc")
     share = percent("amount_cents", frames.group_total("amount_cents", ["country_region", "calendar_year"]))
     with_share = base.withColumn("share", share)
     with_previous = with_share.withColumn(
@@ -189,17 +186,12 @@ def promotion_group_sales(sales: DataFrame, promotions: DataFrame) -> DataFrame:
     )
 
 
-def quarter_crosstab(
-    sales: DataFrame, products: DataFrame, customers: DataFrame, category: str, year: int, region: str
-) -> DataFrame:
+def quarter_crosstab(sales: DataFrame, products: DataFrame, category: str, year: int, region: str) -> DataFrame:
     """Product by quarter for one category, year and region, with a year total."""
     chosen = products.filter(F.lower("prod_category") == category.lower()).select("prod_id", "prod_name")
-    there = customers.filter(F.upper("country_region") == region.upper()).select("cust_id")
-    dated = sales.filter(F.year("time_id") == year)
+    sold = sales.filter((F.year("time_id") == year) & (F.upper("country_region") == region.upper()))
     by_quarter = _total(
-        dated.join(chosen.select("prod_id"), "prod_id", "left_semi")
-        .join(there, "cust_id", "left_semi")
-        .withColumn("quarter", F.quarter("time_id")),
+        sold.join(chosen.select("prod_id"), "prod_id", "left_semi").withColumn("quarter", F.quarter("time_id")),
         "prod_id",
         "quarter",
     ).join(chosen, "prod_id")
@@ -213,16 +205,15 @@ def quarter_crosstab(
 def month_region_pivot(
     sales: DataFrame,
     products: DataFrame,
-    customers: DataFrame,
     year: int,
     months: Sequence[int],
     regions: Mapping[str, str],
 ) -> DataFrame:
     """Month and category by region as formatted whole amounts; ``regions`` maps column name to region."""
     dated = sales.filter((F.year("time_id") == year) & F.month("time_id").isin(*months))
-    there = customers.filter(F.col("country_region").isin(*regions.values())).select("cust_id", "country_region")
+    sold = dated.filter(F.col("country_region").isin(*regions.values()))
     by_product = _total(
-        with_calendar(dated.join(there, "cust_id"), "time_id", "calendar_month_desc"),
+        with_calendar(sold, "time_id", "calendar_month_desc"),
         "calendar_month_desc",
         "prod_id",
         "country_region",

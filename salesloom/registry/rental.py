@@ -195,10 +195,11 @@ SELECT country, title, rating, length, release_year, rental_count FROM ranked WH
 """,
 )
 def popular_part_per_nation(t: Tables) -> DataFrame:
-    homes = roles.customers(t).select(F.col("cust_id").alias("customer_id"), "country")
-    return reports.most_popular_by_country(
-        roles.rentals(t), homes, roles.film(t), "nation%", ["title", "rating", "length", "release_year"]
-    )
+    orders = roles.regional_orders(t).select("l_orderkey", "country")
+    rentals = t.lineitem.select("l_orderkey", F.col("l_partkey").alias("film_id")).join(orders, "l_orderkey")
+    countries = t.nation.select(F.col("n_name").alias("country"))
+    film_columns = ["title", "rating", "length", "release_year"]
+    return reports.most_popular_by_country(rentals, roles.film(t), countries, "nation%", film_columns)
 
 
 def _stock_oracle(pattern: str, nulls: str) -> str:

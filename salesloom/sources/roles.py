@@ -19,39 +19,39 @@ from salesloom.sources.tables import Tables
 
 def dated_orders(t: Tables, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
     """Orders in the half-open date window, cut on the raw column so the scan can skip row groups."""
-    return t.orders.filter(in_window(F.col("o_orderdate"), start, end))
-
-
-def sales_lines(t: Tables, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
-    """Sales at line grain."""
-    orders = dated_orders(t, start, end).select(
+    orders = t.orders.filter(in_window(F.col("o_orderdate"), start, end))
+    return orders.select(
         F.col("o_orderkey").alias("l_orderkey"),
         F.col("o_custkey").alias("cust_id"),
         F.to_date("o_orderdate").alias("time_id"),
         F.col("o_orderpriority").alias("channel_desc"),
     )
+
+
+def regional_orders(t: Tables, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+    """Orders with country and region of their customer.
+
+    Places are attached to the orders, before the lines: the line table never has to be shuffled by customer.
+    """
+    return dated_orders(t, start, end).join(customers(t).drop("cust_name"), "cust_id")
+
+
+def sales_lines(t: Tables, orders: DataFrame | None = None) -> DataFrame:
+    """Sales at line grain with the columns of ``orders`` (default: all dated orders)."""
     lines = t.lineitem.select(
         "l_orderkey", F.col("l_partkey").alias("prod_id"), cents("l_extendedprice").alias("amount_cents")
     )
-    return lines.join(orders, "l_orderkey").drop("l_orderkey")
+    return lines.join(dated_orders(t) if orders is None else orders, "l_orderkey").drop("l_orderkey")
 
 
-def sales_by_order(t: Tables, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+def sales_by_order(t: Tables, orders: DataFrame | None = None) -> DataFrame:
     """Sales at order grain, for reports that need no product: lines are totalled before they meet the order."""
-    per_order = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.sum(cents("l_extendedprice")).alias("amount_cents")
-    )
-    orders = dated_orders(t, start, end).select(
-        "o_orderkey",
-        F.col("o_custkey").alias("cust_id"),
-        F.to_date("o_orderdate").alias("time_id"),
-        F.col("o_orderpriority").alias("channel_desc"),
-    )
-    return per_order.join(orders, "o_orderkey").drop("o_orderkey")
+    per_order = t.lineitem.groupBy("l_orderkey").agg(F.sum(cents("l_extendedprice")).alias("amount_cents"))
+    return per_order.join(dated_orders(t) if orders is None else orders, "l_orderkey").drop("l_orderkey")
 
 
 def customers(t: Tables) -> DataFrame:
-    """Customers with the region of their nation."""
+    """Customers with the nation and region they live in."""
     nations = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     return t.customer.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("cust_id"),

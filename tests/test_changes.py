@@ -126,9 +126,9 @@ def test_resolve_keeps_rows_and_names_the_unknown_key(spark):
 
 
 def test_rules_pair_rows_without_case_and_once(spark):
-    rules = spark.createDataFrame([("Inception", "leo"), ("inception", "LEO"), ("matrix", "keanu")], "film string, actor string")
-    films = spark.createDataFrame([(1, "INCEPTION"), (2, "Matrix"), (3, "Other")], "fid int, title string")
-    actors = spark.createDataFrame([(1, "Leo"), (2, "Keanu"), (3, "leo")], "aid int, name string")
+    rules = spark.createDataFrame([("Sunrise", "lee"), ("sunrise", "LEE"), ("tides", "kim")], "film string, actor string")
+    films = spark.createDataFrame([(1, "SUNRISE"), (2, "Tides"), (3, "Other")], "fid int, title string")
+    actors = spark.createDataFrame([(1, "Lee"), (2, "Kim"), (3, "lee")], "aid int, name string")
     pairs = map_by_rules(rules, films, actors, {"film": "title"}, {"actor": "name"})
     assert rows_of(pairs.select("fid", "aid")) == [(1, 1), (1, 3), (2, 2)]
 
@@ -142,18 +142,18 @@ def test_membership_and_counts(spark):
 
 
 def test_batch_load_by_names_twice(spark):
-    lines = spark.createDataFrame([(1, "Central Line", "Red")], "line_id int, line_name string, line_color string")
-    batch = spark.createDataFrame([("CENTRAL LINE", "x"), ("Circle Line", "Yellow")], "line_name string, line_color string")
+    lines = spark.createDataFrame([(1, "Harbour Line", "Red")], "line_id int, line_name string, line_color string")
+    batch = spark.createDataFrame([("HARBOUR LINE", "x"), ("Ring Line", "Yellow")], "line_name string, line_color string")
     order = [F.col("line_name")]
     new, rejects = changes.load_batch(lines, batch, ["line_name"], "line_id", order)
-    assert rows_of(new) == [(2, "Circle Line", "Yellow")] and rejects.collect() == []
+    assert rows_of(new) == [(2, "Ring Line", "Yellow")] and rejects.collect() == []
     lines = lines.unionByName(new)
     assert changes.load_batch(lines, batch, ["line_name"], "line_id", order)[0].collect() == []
 
     stops = spark.createDataFrame([(1, 7, 1)], "line_id int, station_id int, stop_sequence int")
     stations = spark.createDataFrame([(7, "North"), (8, "South")], "station_id int, station_name string")
     stop_batch = spark.createDataFrame(
-        [("Central Line", "North", 1), ("Central Line", "South", 2), ("Circle Line", "South", 1), ("Central Line", "Nowhere", 3)],
+        [("Harbour Line", "North", 1), ("Harbour Line", "South", 2), ("Ring Line", "South", 1), ("Harbour Line", "Nowhere", 3)],
         "line string, station string, stop_sequence int",
     )
     lookups = {

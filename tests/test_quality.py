@@ -35,7 +35,7 @@ METRO = {
     "stations": [(1, "A", None, True, D(2001, 1, 1)), (2, "A", None, None, D(1999, 1, 1))],
     "trains": [(1, None, 10, None, "Active"), (2, "T", -1, D(1990, 1, 1), "Lost")],
     "roles": [(1, "Driver")],
-    "employees": [(1, "Ada", "L", D(2010, 1, 1), 1, None), (2, "Bo", "M", D(2010, 1, 1), 9, 77)],
+    "employees": [(1, "Al", "L", D(2010, 1, 1), 1, None), (2, "Bo", "M", D(2010, 1, 1), 9, 77)],
     "ticket_types": [(1, "Day", Decimal("5.00"), 1)],
     "promotions": [(1, "P", Decimal("5.00"), D(2024, 2, 1), D(2024, 1, 1)), (2, "Q", Decimal("5.00"), D(2024, 2, 1), D(2024, 2, 1))],
     "schedules": [(1, "Peak", 1, "N", 0)],
@@ -130,14 +130,14 @@ def test_conform_casts_defaults_and_lists_failures(spark):
 
 def test_principals_see_their_rows_only(spark):
     rows = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "customer_id int, v string")
-    grants = spark.createDataFrame([("mary", 1), ("mary", 1), ("bob", 2), ("bob", None)], "principal string, customer_id int")
-    assert rows_of(visible_rows(rows, grants, "mary", "customer_id")) == [(1, "a")]
+    grants = spark.createDataFrame([("mia", 1), ("mia", 1), ("bob", 2), ("bob", None)], "principal string, customer_id int")
+    assert rows_of(visible_rows(rows, grants, "mia", "customer_id")) == [(1, "a")]
     assert rows_of(visible_rows(rows, grants, "eve", "customer_id")) == []
     both = rows_by_principal(rows, grants, "customer_id").select("principal", "v")
-    assert rows_of(both) == [("bob", "b"), ("mary", "a")]
+    assert rows_of(both) == [("bob", "b"), ("mia", "a")]
 
 
 def test_grant_goes_to_the_lowest_key_of_a_name(spark):
-    people = spark.createDataFrame([(4, "MARY", "SMITH"), (2, "MARY", "SMITH")], "customer_id int, first string, last string")
-    principals = spark.createDataFrame([("m", "MARY", "SMITH"), ("x", "NO", "ONE")], "principal string, first string, last string")
+    people = spark.createDataFrame([(4, "MIA", "STONE"), (2, "MIA", "STONE")], "customer_id int, first string, last string")
+    principals = spark.createDataFrame([("m", "MIA", "STONE"), ("x", "NO", "ONE")], "principal string, first string, last string")
     assert rows_of(grants_by_name(principals, people, ["first", "last"], "customer_id")) == [("m", 2)]

@@ -16,7 +16,7 @@ def tables(spark):
     schemas = retail_schemas()
     rows = {
         "customer": [(1, "Ann", "Li", "ann@x", D(2024, 1, 1), None), (2, "Bo", "Re", "bo@x", D(2024, 1, 1), None)],
-        "employee": [(5, "Jane Foster", D(2024, 1, 1), None)],
+        "employee": [(5, "Jane Ford", D(2024, 1, 1), None)],
         "product": [(7, 1, 1, "Lamp", Decimal("10.50")), (8, 1, 1, "Desk", Decimal("99.99"))],
         "orders": [
             (1, 1, 5, D(2025, 3, 31), "Completed"),
@@ -76,8 +76,8 @@ def test_transactions_get_keys_defaults_and_prices(spark, tables):
     added = add(
         spark,
         tables,
-        (1, "ann@x", "Jane Foster", "Lamp", 3, None, None, None),
-        (2, "bo@x", "Jane Foster", "Desk", 1, D(2025, 1, 1), "Completed", Decimal("80.00")),
+        (1, "ann@x", "Jane Ford", "Lamp", 3, None, None, None),
+        (2, "bo@x", "Jane Ford", "Desk", 1, D(2025, 1, 1), "Completed", Decimal("80.00")),
     )
     assert rows_of(added.orders) == [(5, 1, 5, D(2025, 7, 1), "Pending"), (6, 2, 5, D(2025, 1, 1), "Completed")]
     assert rows_of(added.details) == [
@@ -90,13 +90,13 @@ def test_transactions_get_keys_defaults_and_prices(spark, tables):
 @pytest.mark.parametrize(
     ("row", "reason"),
     [
-        ((1, "no@x", "Jane Foster", "Lamp", 1, None, None, None), "customer_email not found"),
+        ((1, "no@x", "Jane Ford", "Lamp", 1, None, None, None), "customer_email not found"),
         ((1, "ann@x", "nobody", "Lamp", 1, None, None, None), "employee_name not found"),
-        ((1, "ann@x", "Jane Foster", "lamp", 1, None, None, None), "product_name not found"),
-        ((1, "ann@x", "Jane Foster", "Lamp", 0, None, None, None), "quantity must be positive"),
-        ((1, "ann@x", "Jane Foster", "Lamp", None, None, None, None), "quantity must be positive"),
-        ((1, "ann@x", "Jane Foster", "Lamp", 1, D(2023, 12, 31), None, None), "order_date too early"),
-        ((1, "ann@x", "Jane Foster", "Lamp", 1, None, "Lost", None), "order_status not allowed"),
+        ((1, "ann@x", "Jane Ford", "lamp", 1, None, None, None), "product_name not found"),
+        ((1, "ann@x", "Jane Ford", "Lamp", 0, None, None, None), "quantity must be positive"),
+        ((1, "ann@x", "Jane Ford", "Lamp", None, None, None, None), "quantity must be positive"),
+        ((1, "ann@x", "Jane Ford", "Lamp", 1, D(2023, 12, 31), None, None), "order_date too early"),
+        ((1, "ann@x", "Jane Ford", "Lamp", 1, None, "Lost", None), "order_status not allowed"),
     ],
 )
 def test_bad_transactions_are_rejected(spark, tables, row, reason):
@@ -116,4 +116,4 @@ def test_change_one_field_of_one_order(spark, tables):
 
 def test_orders_of_one_customer_newest_first(tables):
     out = book.orders_of_customer(tables["orders"], tables["customer"], tables["employee"], "ann@x")
-    assert [(r.order_id, r.handled_by) for r in out.collect()] == [(2, "Jane Foster"), (3, "Jane Foster"), (1, "Jane Foster")]
+    assert [(r.order_id, r.handled_by) for r in out.collect()] == [(2, "Jane Ford"), (3, "Jane Ford"), (1, "Jane Ford")]
