@@ -22,12 +22,17 @@ def folded(column: Column | str) -> Column:
     return F.lower(F.trim(column))
 
 
-def grouped_number(value: Column, width: int = 12, limit: int = 999_999_999) -> Column:
+# A nine-digit number with separators and a sign place is twelve wide.
+NUMBER_WIDTH = 12
+NUMBER_LIMIT = 999_999_999
+NUMBER_OVERFLOW = " ###,###,###"
+
+
+def grouped_number(value: Column) -> Column:
     """Right-aligned whole number with thousands separators, ``#`` marks when it does not fit."""
     whole = F.round(value).cast("bigint")
-    overflow = F.lit(" " + "###,###,###").substr(F.lit(1), F.lit(width))
-    text = F.lpad(F.format_number(whole, 0), width, " ")
-    return F.when(F.abs(whole) > limit, overflow).otherwise(text)
+    text = F.lpad(F.format_number(whole, 0), NUMBER_WIDTH, " ")
+    return F.when(F.abs(whole) > NUMBER_LIMIT, NUMBER_OVERFLOW).otherwise(text)
 
 
 def quarter_label(day: Column) -> Column:

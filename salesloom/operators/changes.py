@@ -87,8 +87,13 @@ def apply_field_changes(
 ) -> DataFrame:
     """Apply change rows ``(key, column_name, new_value, sequence)``; per field the highest sequence wins.
 
-    ``allowed`` maps changeable columns to their types. Text that does not fit the type raises an error.
+    ``allowed`` maps changeable columns to their types. A change of any other column, or text that does not
+    fit the type, fails the job.
     """
+    unknown = F.raise_error(F.concat(F.lit("column cannot be changed: "), F.col("column_name")))
+    changes = changes.withColumn(
+        "column_name", F.when(F.col("column_name").isin(*allowed), F.col("column_name")).otherwise(unknown)
+    )
 
     def newest(column: str) -> Column:
         return F.max_by(F.struct("new_value"), F.when(F.col("column_name") == column, F.col(sequence)))

@@ -33,7 +33,8 @@ def with_counts(df: DataFrame, details: DataFrame, key: str, column: str) -> Dat
 
 def in_all_periods(df: DataFrame, key: str, period: str, periods: int) -> DataFrame:
     """Keys that occur in the given number of distinct periods."""
-    return df.groupBy(key).agg(F.countDistinct(period).alias("_periods")).filter(F.col("_periods") == periods).select(key)
+    counted = df.groupBy(key).agg(F.countDistinct(period).alias("_periods"))
+    return counted.filter(F.col("_periods") == periods).select(key)
 
 
 def lowest_dimension_key(dimension: DataFrame, natural: str, surrogate: str) -> DataFrame:

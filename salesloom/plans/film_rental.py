@@ -298,8 +298,8 @@ def in_stock_by_title(
     per_title = latest_per_key(
         matching, ["title"], [date_order, F.col("rented.customer_id").desc_nulls_last(), F.col("film_id")]
     )
-    named = per_title.select("title", "language", F.col("rented.customer_id").alias("customer_id"), "rented.rental_date")
-    named = named.join(customer.select("customer_id", "customer_name"), "customer_id", "left")
+    picked = per_title.select("title", "language", "rented.customer_id", "rented.rental_date")
+    named = picked.join(customer.select("customer_id", "customer_name"), "customer_id", "left")
     numbered = number_rows(named, [F.col("title")], "row_num").select(
         "row_num",
         F.col("title").alias("film_title"),

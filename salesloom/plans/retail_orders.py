@@ -8,9 +8,10 @@ from __future__ import annotations
 import datetime as dt
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesloom.functions.derived import line_total
 from salesloom.functions.text import quarter_label, require_text
 from salesloom.operators.changes import apply_field_changes, assign_keys
 from salesloom.operators.lookup import resolve_keys, split_rejects
@@ -30,18 +31,6 @@ class Transactions(NamedTuple):
     rejects: DataFrame
 
 
-def full_name(first: str = "first_name", last: str = "last_name") -> Column:
-    return F.concat(F.col(first), F.lit(" "), F.col(last))
-
-
-def employee_code(name: str = "emp_name") -> Column:
-    return F.upper(name)
-
-
-def line_total(quantity: str = "quantity", unit_price: str = "unit_price") -> Column:
-    return (F.col(quantity) * F.col(unit_price)).cast("decimal(12,2)")
-
-
 def add_transactions(
     orders: DataFrame,
     order_detail: DataFrame,

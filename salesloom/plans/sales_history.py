@@ -1,8 +1,8 @@
 """Reports over a sales star.
 
 ``sales``: prod_id, cust_id, time_id (date), channel_desc, country_region, amount_cents; a report uses only the
-columns it needs, and ``with_region`` adds the region where the fact has none. ``customers``: cust_id,
-cust_name, country_region. ``products``: prod_id, prod_name, prod_category.
+columns it needs, and ``star_fact`` builds it from normalised tables. ``customers``: cust_id and the name columns
+to show. ``products``: prod_id, prod_name, prod_category.
 
 Reports total the fact before they meet a dimension, so a heavy product, customer or channel is combined
 inside the map tasks.
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.functions.dates import with_calendar
-from salesloom.functions.money import from_cents, percent, percent_text, rounded_cents
+from salesloom.functions.money import cents, from_cents, percent, percent_text, rounded_cents
 from salesloom.functions.text import grouped_number
 from salesloom.operators import frames
 from salesloom.operators.lookup import in_all_periods, in_set
@@ -28,9 +28,22 @@ def _total(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.sum("amount_cents").alias("amount_cents"))
 
 
-def with_region(sales: DataFrame, customers: DataFrame) -> DataFrame:
-    """The fact with the region of its customer. Where the customer hangs on an order, attach it there instead."""
-    return sales.join(customers.select("cust_id", "country_region"), "cust_id")
+def star_fact(sales: DataFrame, channels: DataFrame, customers: DataFrame, countries: DataFrame) -> DataFrame:
+    """The fact from a normalised star: amounts in cents, with channel and region.
+
+    ``sales`` has cust_id, channel_id and amount_sold, ``customers`` country_id, ``countries`` country_region.
+    """
+    places = customers.join(countries, "country_id").select("cust_id", "country_region")
+    return (
+        sales.join(channels.select("channel_id", "channel_desc"), "channel_id")
+        .join(places, "cust_id")
+        .withColumn("amount_cents", cents("amount_sold"))
+        .drop("channel_id", "amount_sold")
+    )
+
+
+def _name_columns(customers: DataFrame) -> list[str]:
+    return [c for c in customers.columns if c != "cust_id"]
 
 
 def top_customers_per_channel(sales: DataFrame, customers: DataFrame, k: int = 5) -> DataFrame:
@@ -40,12 +53,12 @@ def top_customers_per_channel(sales: DataFrame, customers: DataFrame, k: int = 5
     channels = per_customer.groupBy("channel_desc").agg(F.sum("amount_cents").alias("channel_cents"))
     return (
         best.join(channels, "channel_desc")
-        .join(customers.select("cust_id", "cust_name"), "cust_id")
+        .join(customers, "cust_id")
         .orderBy("channel_desc", F.col("amount_cents").desc(), "cust_id")
         .select(
             "channel_desc",
             "cust_id",
-            "cust_name",
+            *_name_columns(customers),
             from_cents("amount_cents").alias("total_sales"),
             percent_text("amount_cents", "channel_cents").alias("sales_percentage"),
         )
@@ -64,9 +77,9 @@ def consistent_top_customers(
     cohort = in_all_periods(ranked, "cust_id", "calendar_year", periods)
     return (
         _total(in_set(totals, cohort, "cust_id"), "channel_desc", "cust_id")
-        .join(customers.select("cust_id", "cust_name"), "cust_id")
+        .join(customers, "cust_id")
         .orderBy(F.col("amount_cents").desc(), "cust_id", "channel_desc")
-        .select("channel_desc", "cust_id", "cust_name", from_cents("amount_cents").alias("amount_sold"))
+        .select("channel_desc", "cust_id", *_name_columns(customers), from_cents("amount_cents").alias("amount_sold"))
     )
 
 
@@ -101,7 +114,9 @@ def channel_share_by_year(sales: DataFrame, regions: Sequence[str], first_year:
     )
 
 
-def weekly_running_sales(sales: DataFrame, year: int, first_week: int, last_week: int, edge_weeks: bool = True) -> DataFrame:
+def weekly_running_sales(
+    sales: DataFrame, year: int, first_week: int, last_week: int, edge_weeks: bool = True
+) -> DataFrame:
     """Daily sales with the running sum of the week and a three-day centred average.
 
     With ``edge_weeks`` the weeks around the report feed the average of its first and last day; without, the
@@ -193,7 +208,8 @@ def quarter_crosstab(sales: DataFrame, products: DataFrame, category: str, year:
     # The category is applied to the totals: year and region leave far fewer rows than a filter by product would.
     by_quarter = _total(sold.withColumn("quarter", F.quarter("time_id")), "prod_id", "quarter").join(chosen, "prod_id")
     quarters = ["q1", "q2", "q3", "q4"]
-    table = crosstab(by_quarter, ["prod_id", "prod_name"], "quarter", [1, 2, 3, 4], "amount_cents", quarters, "year_sum")
+    rows = ["prod_id", "prod_name"]
+    table = crosstab(by_quarter, rows, "quarter", [1, 2, 3, 4], "amount_cents", quarters, "year_sum")
     return table.orderBy(F.col("year_sum").desc(), "prod_id").select(
         "prod_id", "prod_name", *[from_cents(c).alias(c) for c in [*quarters, "year_sum"]]
     )

@@ -8,6 +8,7 @@ import functools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesloom.functions.derived import employee_code, full_name, line_total
 from salesloom.functions.money import cents, from_cents
 from salesloom.operators import changes
 from salesloom.operators.lookup import (
@@ -19,7 +20,6 @@ from salesloom.operators.lookup import (
     with_counts,
 )
 from salesloom.plans import film_rental
-from salesloom.plans.retail_orders import line_total
 from salesloom.registry import query
 from salesloom.sources import roles
 from salesloom.sources.inline import literal_rows
@@ -302,8 +302,8 @@ FROM lineitem JOIN part ON l_partkey = p_partkey
 def derived_columns(t: Tables) -> DataFrame:
     products = t.part.select(
         F.col("p_partkey").alias("l_partkey"),
-        F.upper("p_name").alias("product_code"),
-        F.concat("p_name", F.lit(" "), "p_brand").alias("full_name"),
+        employee_code("p_name").alias("product_code"),
+        full_name("p_name", "p_brand").alias("full_name"),
         F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price"),
     )
     lines = t.lineitem.select(

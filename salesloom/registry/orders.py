@@ -68,7 +68,8 @@ def _batch(t: Tables) -> DataFrame:
     lines = t.lineitem.groupBy("l_orderkey").agg(
         F.min("l_partkey").alias("part"), F.max("l_suppkey").alias("supp"), F.sum("l_quantity").alias("pieces")
     )
-    named = lines.join(t.part, F.col("part") == F.col("p_partkey")).join(t.supplier, F.col("supp") == F.col("s_suppkey"))
+    named = lines.join(t.part, F.col("part") == F.col("p_partkey"))
+    named = named.join(t.supplier, F.col("supp") == F.col("s_suppkey"))
     priority = F.col("o_orderpriority")
     unknown = (F.col("o_orderstatus") == "P") & (F.col("o_totalprice") > 400000)
     return (

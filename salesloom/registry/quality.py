@@ -75,7 +75,7 @@ def _counted(table: str, rule: str, source: str, where: str, key: str, count: st
 _INTEGRITY_ORACLE = f"WITH {_LINE} " + " UNION ALL ".join(
     [
         _counted("orders", "o_custkey not null", "orders", "o_custkey IS NULL", "o_orderkey"),
-        _counted("orders", "status allowed", "orders", "NOT o_orderstatus IN (''O'', ''F'')".replace("''", "'"), "o_orderkey"),
+        _counted("orders", "status allowed", "orders", "NOT o_orderstatus IN ('O', 'F')", "o_orderkey"),
         _counted("orders", "date from 1996", "orders", "NOT o_orderdate >= TIMESTAMP '1996-01-01'", "o_orderkey"),
         _counted("orders", "total not negative", "orders", "NOT o_totalprice >= 0", "o_orderkey"),
         _counted(

@@ -105,7 +105,12 @@ def top_staff_revenue(t: Tables) -> DataFrame:
     return reports.best_staff(payments, staff, 1997)
 
 
-PART_LABELS = {"ECONOMY": "Budget range", "STANDARD": "Everyday range", "PROMO": "Special offers", "LARGE": "Bulky goods"}
+PART_LABELS = {
+    "ECONOMY": "Budget range",
+    "STANDARD": "Everyday range",
+    "PROMO": "Special offers",
+    "LARGE": "Bulky goods",
+}
 
 
 @query(

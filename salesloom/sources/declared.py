@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from salesloom.operators.quality import Check, ForeignKey, NotNull, Rule, Unique
+from salesloom.functions.derived import employee_code, full_name, line_total
+from salesloom.operators.quality import Check, ForeignKey, NotNull, Rule, Unique, conform
 
 
 # Table and column names, types, nullability, keys and value rules.
@@ -159,7 +163,17 @@ DEFAULTS = {
     "orders": {"order_status": "Pending"},
     "stations": {"has_disabled_access": False},
 }
-LOAD_DATE_DEFAULTS = {"customer": "created_on", "employee": "hire_date", "orders": "order_date", "employees": "hire_date"}
+LOAD_DATE_DEFAULTS = {
+    "customer": "created_on",
+    "employee": "hire_date",
+    "orders": "order_date",
+    "employees": "hire_date",
+}
+GENERATED = {
+    "customer": ("full_name", full_name),
+    "employee": ("employee_code", employee_code),
+    "order_detail": ("line_total", line_total),
+}
 
 
 def declared_schema(ddl: str) -> T.StructType:
@@ -174,6 +188,18 @@ def metro_schemas() -> dict[str, T.StructType]:
     return {table: declared_schema(ddl) for table, ddl in METRO_DDL.items()}
 
 
+def as_declared(df: DataFrame, table: str, schema: T.StructType, load_date: dt.date) -> DataFrame:
+    """Rows in the declared shape of a table: types, column order, defaults and computed columns."""
+    defaults = dict(DEFAULTS.get(table, {}))
+    if table in LOAD_DATE_DEFAULTS:
+        defaults[LOAD_DATE_DEFAULTS[table]] = load_date
+    shaped = conform(df, schema, defaults)
+    if table in GENERATED:
+        name, expression = GENERATED[table]
+        shaped = shaped.withColumn(name, expression())
+    return shaped
+
+
 def rules_for(schemas: dict[str, T.StructType]) -> list[Rule]:
     """All rules of the given tables: nullability, keys, references, lengths and value checks."""
     rules: list[Rule] = []

@@ -81,6 +81,13 @@ def test_field_change_with_bad_text_fails(spark):
         changes.apply_field_changes(target, change, "id", {"day": "date"}, "seq").collect()
 
 
+def test_change_of_a_protected_column_fails(spark):
+    target = spark.createDataFrame([(1, "x")], "id int, status string")
+    change = spark.createDataFrame([(1, "id", "2", 1)], "id int, column_name string, new_value string, seq int")
+    with pytest.raises(Exception, match="column cannot be changed: id"):
+        changes.apply_field_changes(target, change, "id", {"status": "string"}, "seq").collect()
+
+
 def test_delete_keeps_rows_without_key(spark):
     target = spark.createDataFrame([(1,), (2,), (None,)], "k int")
     gone = spark.createDataFrame([(2,), (2,), (None,)], "k int")

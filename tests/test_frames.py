@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from salesloom.functions.dates import calendar_of
 from salesloom.operators import frames
 from salesloom.operators.gaps import adjacent_values, longest_gap, longest_gap_by_set

@@ -1,8 +1,6 @@
 import datetime as dt
 from decimal import Decimal
 
-import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from helpers import rows_of

@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows_of
+from salesloom.functions import derived
 from salesloom.plans import retail_orders as book
-from salesloom.sources.declared import retail_schemas
+from salesloom.sources.declared import as_declared, retail_schemas
 
 D = dt.date
 
@@ -32,14 +33,14 @@ def tables(spark):
         ],
     }
     built = {name: spark.createDataFrame(data, schemas[name]) for name, data in rows.items()}
-    built["customer"] = built["customer"].withColumn("full_name", book.full_name())
+    built["customer"] = built["customer"].withColumn("full_name", derived.full_name())
     return built
 
 
 def test_derived_columns(tables):
     assert rows_of(tables["customer"].select("full_name")) == [("Ann Li",), ("Bo Re",)]
-    assert tables["employee"].select(book.employee_code()).first()[0] == "JANE FORD"
-    assert rows_of(tables["order_detail"].filter(book.line_total() != F.col("line_total"))) == []
+    assert tables["employee"].select(derived.employee_code()).first()[0] == "JANE FORD"
+    assert rows_of(tables["order_detail"].filter(derived.line_total() != F.col("line_total"))) == []
 
 
 def test_latest_quarter_merges_same_day_orders(tables):
@@ -117,3 +118,11 @@ def test_change_one_field_of_one_order(spark, tables):
 def test_orders_of_one_customer_newest_first(tables):
     out = book.orders_of_customer(tables["orders"], tables["customer"], tables["employee"], "ann@x")
     assert [(r.order_id, r.handled_by) for r in out.collect()] == [(2, "Jane Ford"), (3, "Jane Ford"), (1, "Jane Ford")]
+
+
+def test_rows_take_the_declared_shape(spark):
+    raw = spark.createDataFrame([("1", "Ann", "Li", "ann@x")], "customer_id string, first_name string, last_name string, email string")
+    schema = retail_schemas()["customer"]
+    shaped = as_declared(raw, "customer", schema, D(2024, 5, 1))
+    assert [(f.name, f.dataType) for f in shaped.schema] == [(f.name, f.dataType) for f in schema]
+    assert rows_of(shaped) == [(1, "Ann", "Li", "ann@x", D(2024, 5, 1), "Ann Li")]

@@ -41,7 +41,7 @@ class FakeSession:
     def __init__(self, **settings):
         self.conf = self
         self._settings = settings
-        self.sparkContext = type("Context", (FakeSession.sparkContext,), {"getConf": lambda _: self})()
+        self.sparkContext = type("Context", (FakeSession.sparkContext,), {"getCheckpointDir": lambda _: None})()
 
     def get(self, key, default=None):
         return self._settings.get(key.replace(".", "_"), default)
