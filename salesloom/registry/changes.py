@@ -332,3 +332,78 @@ def membership_filters(t: Tables) -> DataFrame:
     large = t.orders.filter(F.col("o_totalprice") > 450000).select(key)
     pending = t.orders.filter(F.col("o_orderstatus") == "P").select(key)
     return not_in_set(in_set(t.customer.select("c_custkey", "c_name"), large, "c_custkey"), pending, "c_custkey")
+
+
+@query(
+    "load_batch",
+    """
+WITH batch AS (SELECT c_name AS name, 'NATION_' || (c_custkey % 30) AS nation FROM customer
+               UNION ALL SELECT UPPER(s_name), n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+fresh AS (SELECT name, n_nationkey FROM batch JOIN nation ON nation = n_name
+          WHERE LOWER(TRIM(name)) NOT IN (SELECT LOWER(TRIM(s_name)) FROM supplier))
+SELECT (SELECT MAX(s_suppkey) FROM supplier) + ROW_NUMBER() OVER (ORDER BY name) AS supplier_id, name,
+       n_nationkey AS nation_id, CAST(NULL AS DOUBLE) AS balance
+FROM fresh
+""",
+)
+def load_supplier_batch(t: Tables) -> DataFrame:
+    existing = t.supplier.select(
+        F.col("s_suppkey").alias("supplier_id"),
+        F.col("s_name").alias("name"),
+        F.col("s_nationkey").alias("nation_id"),
+        F.col("s_acctbal").alias("balance"),
+    )
+    nation = F.concat(F.lit("NATION_"), F.pmod("c_custkey", F.lit(30)).cast("string"))
+    again = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    batch = t.customer.select(F.col("c_name").alias("name"), nation.alias("nation")).unionByName(
+        again.select(F.upper("s_name").alias("name"), F.col("n_name").alias("nation"))
+    )
+    lookups = {"nation": (t.nation, "n_name", "n_nationkey", "nation_id")}
+    rows, _ = changes.load_batch(existing, batch, ["name"], "supplier_id", [F.col("name")], lookups)
+    return rows
+
+
+@query(
+    "rent_and_pay",
+    """
+WITH lines AS (SELECT o_custkey, l_partkey, l_suppkey, l_returnflag FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+requests AS (SELECT DISTINCT o_custkey, l_partkey FROM lines WHERE l_returnflag = 'A'),
+copies AS (SELECT DISTINCT l_partkey, l_suppkey, s_nationkey FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
+clerk AS (SELECT s_nationkey, MIN(s_suppkey) AS staff_id FROM supplier GROUP BY s_nationkey),
+wanted AS (
+  SELECT r.o_custkey, c.l_partkey, c.l_suppkey, staff_id FROM requests r JOIN customer ON c_custkey = r.o_custkey
+         JOIN copies c ON c.l_partkey = r.l_partkey AND c.s_nationkey = c_nationkey
+         JOIN clerk ON clerk.s_nationkey = c_nationkey
+  WHERE NOT EXISTS (SELECT 1 FROM lines h WHERE h.l_returnflag = 'R' AND h.o_custkey = r.o_custkey
+                    AND h.l_partkey = c.l_partkey AND h.l_suppkey = c.l_suppkey)),
+numbered AS (SELECT *, ROW_NUMBER() OVER (ORDER BY o_custkey, l_partkey, l_suppkey) AS n FROM wanted)
+SELECT (SELECT MAX(o_orderkey) FROM orders) + n AS rental_id, (SELECT MAX(o_custkey) FROM orders) + n AS payment_id,
+       o_custkey AS customer_id, l_partkey AS film_id, l_suppkey AS supplier_id, staff_id,
+       CAST(DATE '2017-01-01' + p_size AS DATE) AS return_date, CAST(p_size AS DECIMAL(38,2)) AS amount
+FROM numbered JOIN part ON l_partkey = p_partkey
+""",
+)
+def rent_and_pay(t: Tables) -> DataFrame:
+    lines = roles.rentals(t)
+    requests = lines.filter(F.col("kind") == "A").select("customer_id", "film_id")
+    home = t.customer.select(F.col("c_custkey").alias("customer_id"), F.col("c_nationkey").alias("store_id"))
+    staff = t.supplier.select(F.col("s_suppkey").alias("staff_id"), F.col("s_nationkey").alias("store_id"))
+    shelf = F.col("inventory_id.l_suppkey") == F.col("staff_id")
+    inventory = roles.inventory(t).join(staff, shelf).drop("staff_id")
+    highest = t.orders.agg(F.max("o_orderkey").alias("k")).scalar()
+    before = lines.filter(F.col("kind") == "R").select("customer_id", "inventory_id", highest.alias("rental_id"))
+    payment = t.orders.select(F.col("o_custkey").alias("payment_id"))
+    day = dt.date(2017, 1, 1)
+    rentals, payments = film_rental.rent_films(
+        requests, home, roles.film(t), inventory, staff, before, payment, day, day
+    )
+    return payments.join(rentals.select("rental_id", "inventory_id", "return_date"), "rental_id").select(
+        "rental_id",
+        "payment_id",
+        "customer_id",
+        F.col("inventory_id.l_partkey").alias("film_id"),
+        F.col("inventory_id.l_suppkey").alias("supplier_id"),
+        "staff_id",
+        "return_date",
+        from_cents("amount_cents").alias("amount"),
+    )

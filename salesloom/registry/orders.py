@@ -175,3 +175,18 @@ def field_changes(t: Tables) -> DataFrame:
         .unionByName(change(urgent, "order_date", "2024-02-01", 1))
     )
     return book.change_order_fields(_book(t)["orders"], changes)
+
+
+@query(
+    "orders_of_customer",
+    """
+SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_date, o_orderstatus AS order_status,
+       s_name AS handled_by
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN supplier ON s_suppkey = o_orderkey % 10
+WHERE c_name = 'Customer#000000007'
+""",
+)
+def orders_of_customer(t: Tables) -> DataFrame:
+    tables = _book(t)
+    handled = tables["orders"].withColumn("employee_id", F.pmod("order_id", F.lit(10)))
+    return book.orders_of_customer(handled, tables["customer"], tables["employee"], "Customer#000000007")

@@ -12,6 +12,7 @@ from salesloom.operators.quality import (
     NotNull,
     Unique,
     conform,
+    grants_by_name,
     integrity_report,
     null_audit,
     rows_by_principal,
@@ -200,3 +201,19 @@ def visible_rows_per_principal(t: Tables) -> DataFrame:
     orders = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
     views = rows_by_principal(orders, _entitlements(t), "o_custkey")
     return views.groupBy("principal").agg(F.sum("n").alias("visible"))
+
+
+@query(
+    "grants_by_name",
+    """
+SELECT 'buyer of ' || p_name || ' ' || p_type AS principal, MIN(p_partkey) AS l_partkey FROM part
+WHERE p_type <> 'SMALL' GROUP BY p_name, p_type
+""",
+)
+def grants_by_part_name(t: Tables) -> DataFrame:
+    people = t.part.select("p_name", "p_type", F.col("p_partkey").alias("l_partkey"))
+    known = people.filter(F.col("p_type") != "SMALL").select("p_name", "p_type").distinct()
+    nobody = known.select(F.lit("nobody").alias("p_name"), "p_type").distinct()
+    principal = F.concat_ws(" ", F.lit("buyer of"), "p_name", "p_type").alias("principal")
+    principals = known.unionByName(nobody).select("p_name", "p_type", principal)
+    return grants_by_name(principals, people, ["p_name", "p_type"], "l_partkey")
