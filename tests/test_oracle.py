@@ -5,11 +5,13 @@ import pytest
 
 import __spark_entry__ as driver
 from helpers import canonical
+from salesloom import registry
 
 ROOT = "/root/testdata/sf0.001"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-QUERIES = driver.queries()
-ORACLES = driver.oracle_sql()
+registry.load_all()
+QUERIES = registry.QUERIES
+ORACLES = registry.ORACLES
 
 
 @pytest.fixture(scope="module")
