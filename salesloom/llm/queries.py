@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from salesloom.llm import exact_dedup
+from salesloom.llm import exact_dedup, language_id, packing, toxicity, warc
 from salesloom.llm.shared import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def _query(name: str, table: str, oracle: str | None = None):
-    """Register ``job(table)`` under ``name``."""
+def _query(name: str, tables: str, oracle: str | None = None):
+    """Register ``job(*tables)`` under ``name``."""
 
-    def register(job: Callable[[DataFrame], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: job(ship(spark).read.parquet(f"{sf_dir}/{table}.parquet"))
+    def register(job: Callable[..., DataFrame]):
+        QUERIES[name] = lambda spark, sf_dir: job(
+            *(ship(spark).read.parquet(f"{sf_dir}/{table}.parquet") for table in tables.split())
+        )
         if oracle is not None:
             ORACLES[name] = oracle
         return job
@@ -41,3 +45,44 @@ def _query(name: str, table: str, oracle: str | None = None):
 )
 def op5_exact_dedup(documents: DataFrame) -> DataFrame:
     return exact_dedup.dedup(documents)
+
+
+def _id_hash(parts: int) -> Column:
+    """crc32 of the id as text modulo ``parts``."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % parts
+
+
+@_query("op2_packing", "documents")
+def op2_packing(documents: DataFrame) -> DataFrame:
+    return packing.pack(documents, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+
+
+@_query("op4_warc", "pages")
+def op4_warc(pages: DataFrame) -> DataFrame:
+    records = warc.read_archives(pages.sparkSession, warc.write_archives(pages))
+    kind = pages.schema["page_id"].dataType
+    return records.select(
+        F.col("page_id").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
+@_query("op8_toxicity", "documents labels")
+def op8_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    model = toxicity.train(documents, labels, _id_hash(5) != 0)
+    return toxicity.scored(documents.select("doc_id", "text"), model).select(
+        "doc_id",
+        (_id_hash(5) == 0).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@_query("op10_language_id", "documents")
+def op10_language_id(documents: DataFrame) -> DataFrame:
+    samples = language_id.learn(documents, _id_hash(3) != 1)
+    found = language_id.identified(documents, samples)
+    return found.select("doc_id", (_id_hash(3) == 1).alias("held_out"), "lang_pred", "score")
