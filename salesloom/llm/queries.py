@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import exact_dedup, language_id, packing, toxicity, warc
+from salesloom.llm import bpe, exact_dedup, html_wrapper, language_id, packing, secret_scan, toxicity, warc
 from salesloom.llm.shared import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,11 +52,28 @@ def _id_hash(parts: int) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % parts
 
 
+@_query("op1_html_wrapper", "pages")
+def op1_html_wrapper(pages: DataFrame) -> DataFrame:
+    return html_wrapper.extract(pages)
+
+
 @_query("op2_packing", "documents")
 def op2_packing(documents: DataFrame) -> DataFrame:
     return packing.pack(documents, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
 
 
+@_query("op3_bpe", "documents")
+def op3_bpe(documents: DataFrame) -> DataFrame:
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    ids = bpe.encode(documents, ranks, public_tokenizers.PATTERN)
+    return bpe.decode(ids, ranks).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
 @_query("op4_warc", "pages")
 def op4_warc(pages: DataFrame) -> DataFrame:
     records = warc.read_archives(pages.sparkSession, warc.write_archives(pages))
@@ -70,6 +87,20 @@ def op4_warc(pages: DataFrame) -> DataFrame:
     )
 
 
+@_query("op6_secret_scan", "documents")
+def op6_secret_scan(documents: DataFrame) -> DataFrame:
+    def of_kind(name: str) -> Column:
+        number = secret_scan.KINDS.index(name)
+        return F.size(F.filter("base", lambda s: s["kind"] == number)).cast("long")
+
+    return secret_scan.scan(documents).select(
+        "doc_id",
+        *(of_kind(name).alias(f"n_{name}") for name in ("assign", "access", "hex")),
+        F.sha2(secret_scan.listed(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"),
+    )
+
+
 @_query("op8_toxicity", "documents labels")
 def op8_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     model = toxicity.train(documents, labels, _id_hash(5) != 0)
