@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Labelled rows that the classifier is fitted on at most.
-MAX_LABELLED = 12_000
+MAX_LABELLED = 4_000
 BITS = 18
 ORDERS = (3, 4, 5)
 PENALTY = 3e-5
@@ -89,23 +89,25 @@ def _minimum(loss: Callable[[np.ndarray], tuple[float, np.ndarray]], start: np.n
 
 def _fitted(rows: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     """Weights with the ratios multiplied in, squared ratios, intercept."""
-    size = 1 << BITS
+    size, n = 1 << BITS, len(rows)
     lengths = np.array([len(r) for r in rows])
-    places = np.concatenate(rows) if rows else np.zeros(0, np.uint32)
-    owner = np.repeat(np.arange(len(rows)), lengths)
+    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    places = np.concatenate(rows).astype(np.intp)
     share = []
     for label in (1, 0):
-        counts = np.bincount(places, weights=labels[owner] == label, minlength=size) + 1.0
+        own = [r for r, y in zip(rows, labels, strict=True) if y == label]
+        counts = np.bincount(np.concatenate([np.zeros(0, np.uint32), *own]), minlength=size) + 1.0
         share.append(counts / counts.sum())
     ratio = np.log(share[0] / share[1])
-    norm = np.sqrt(np.bincount(owner, weights=ratio[places] ** 2, minlength=len(rows)))
-    value = ratio[places] / np.maximum(norm, 1e-9)[owner]
+    value = ratio.astype(np.float32)[places]
+    norm = np.sqrt(np.add.reduceat(value**2, starts, dtype=np.float64))
+    value /= np.repeat(np.maximum(norm, 1e-9).astype(np.float32), lengths)
 
     def loss(weights: np.ndarray) -> tuple[float, np.ndarray]:
-        z = np.bincount(owner, weights=weights[places] * value, minlength=len(rows)) + weights[-1]
+        z = np.add.reduceat(weights.astype(np.float32)[places] * value, starts, dtype=np.float64) + weights[-1]
         error = 1 / (1 + np.exp(-np.clip(z, -50, 50))) - labels
         slope = np.empty(size + 1)
-        slope[:-1] = np.bincount(places, weights=error[owner] * value, minlength=size) / len(rows)
+        slope[:-1] = np.bincount(places, weights=np.repeat(error.astype(np.float32), lengths) * value, minlength=size) / n
         slope[:-1] += 2 * PENALTY * weights[:-1]
         slope[-1] = error.mean()
         fit = np.mean(np.logaddexp(0, z) - labels * z) + PENALTY * weights[:-1].dot(weights[:-1])
