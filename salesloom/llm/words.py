@@ -8,15 +8,18 @@ A text with any other white space next to a space is encoded as it is.
 from __future__ import annotations
 
 import functools
+import string
 from collections.abc import Iterable, Iterator
 from itertools import islice
 
 import numpy as np
 
-#: Fragments a Python worker remembers; about 100 bytes each.
-REMEMBERED = 400_000
+#: Fragments a Python worker remembers; about 200 bytes each.
+REMEMBERED = 800_000
 #: Texts whose fragments are looked up together.
 TOGETHER = 256
+#: Fragments that are encoded as one text.
+LINES = 1024
 
 
 class Encoder:
@@ -25,20 +28,47 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_str(tokenizer_json)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        (self._break,) = self._tokenizer.encode("\n", add_special_tokens=False).ids
         self._known: dict[str, bytes | None] = {}
+        self._ends: dict[str, bytes] = {}
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(one.ids, dtype="<u4").tobytes() for one in found]
 
     def _learn(self, fragments: set[str]) -> None:
-        new = fragments - self._known.keys()
-        if len(self._known) + len(new) > REMEMBERED:
-            self._known.clear()
-            new = fragments
-        alone = [f for f in new if f and not f[0].isspace() and not f[-1].isspace()]
-        self._known.update(dict.fromkeys(new))  # None: more white space than one space at this place
-        self._known.update(zip(alone, self._encoded([" " + f for f in alone]), strict=True))
+        known = self._known
+        new = [f for f in fragments if f not in known]
+        if len(known) + len(new) > REMEMBERED:
+            known.clear()
+            self._ends.clear()
+            new = list(fragments)
+        plain, marked = [], []
+        for fragment in new:
+            stem = fragment.rstrip(string.punctuation)
+            if len(stem) < len(fragment) and stem.isalpha():  # the pre-tokenizer cuts between letters and marks
+                marked.append((fragment, stem, fragment[len(stem) :]))
+            elif fragment.isprintable() and fragment:  # without any white space
+                plain.append(fragment)
+            elif fragment and not fragment[0].isspace() and not fragment[-1].isspace():
+                known[fragment] = self._encoded([" " + fragment])[0]
+            else:
+                known[fragment] = None  # more white space than one space at this place
+        plain += {stem for _, stem, _ in marked}.difference(known).difference(plain)
+        for start in range(0, len(plain), LINES):
+            self._learn_lines(plain[start : start + LINES])
+        ends = list({end for *_, end in marked}.difference(self._ends))
+        self._ends.update(zip(ends, self._encoded(ends), strict=True))
+        for fragment, stem, end in marked:
+            known[fragment] = known[stem] + self._ends[end]
+
+    def _learn_lines(self, fragments: list[str]) -> None:
+        """Fragments are encoded as the lines of one text: a line break before a space is a token by itself."""
+        text = " " + "\n ".join(fragments) + "\n"
+        ids = np.asarray(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = (4 * np.flatnonzero(ids == self._break)).tolist()
+        data, begins = ids.tobytes(), [0, *(end + 4 for end in ends[:-1])]
+        self._known.update(zip(fragments, [data[b:e] for b, e in zip(begins, ends, strict=True)], strict=True))
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """Ids as little-endian unsigned 32-bit integers."""
