@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import bpe, exact_dedup, html_wrapper, language_id, packing, secret_scan, toxicity, warc
+from salesloom.llm import bpe, exact_dedup, html_wrapper, language_id, ngram_join, packing, secret_scan, toxicity, warc
 from salesloom.llm.shared import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,6 +101,11 @@ def op6_secret_scan(documents: DataFrame) -> DataFrame:
     )
 
 
+@_query("op7_ngram_join", "documents")
+def op7_ngram_join(documents: DataFrame) -> DataFrame:
+    return ngram_join.join(documents, words=3, numerator=90, denominator=100)
+
+
 @_query("op8_toxicity", "documents labels")
 def op8_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     model = toxicity.train(documents, labels, _id_hash(5) != 0)
