@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import bpe, exact_dedup, html_wrapper, language_id, ngram_join, packing, secret_scan, toxicity, warc
+from salesloom.llm import bpe, embedding_pairs, exact_dedup, html_wrapper, language_id, ngram_join, packing, secret_scan, toxicity, warc
 from salesloom.llm.shared import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,6 +117,11 @@ def op8_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+@_query("op9_embedding_pairs", "embeddings")
+def op9_embedding_pairs(embeddings: DataFrame) -> DataFrame:
+    return embedding_pairs.near_duplicates(embeddings, threshold=0.98)
+
+
 @_query("op10_language_id", "documents")
 def op10_language_id(documents: DataFrame) -> DataFrame:
     samples = language_id.learn(documents, _id_hash(3) != 1)
