@@ -152,5 +152,7 @@ def dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
 
 def without_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    dropped = dedup(docs, id_column, text_column).where("not kept").select(F.col(id_column).alias("_dropped"))
-    return docs.join(dropped, F.col("_dropped").eqNullSafe(docs[id_column]), "left_anti")
+    dropped = dedup(docs, id_column, text_column).where("not kept")
+    dropped = written(dropped.select(F.col(id_column).alias("_id"), F.unhex("text_sha256").alias("_digest")), "dropped")
+    same = F.col("_id").eqNullSafe(docs[id_column]) & (F.col("_digest") == _digest(docs[text_column]))
+    return docs.join(dropped, same, "left_anti")

@@ -318,3 +318,14 @@ def join(
     return prints.join(nodes, "node", "left").select(
         F.col("id").alias(id_column), F.col("n").alias("n_shingles"), alone.alias("component_id")
     )
+
+
+def without_near_copies(
+    docs: DataFrame, words: int = 5, numerator: int = 80, denominator: int = 100, id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of its group, with all their columns; rows without an id stay."""
+    found = join(docs, words, numerator, denominator, id_column, text_column)
+    dropped = found.where(F.col("component_id") != F.col(id_column)).select(F.col(id_column).alias("_id")).distinct()
+    dropped = written(dropped, "dropped")
+    return docs.join(dropped, F.col("_id") == docs[id_column], "left_anti")
