@@ -5,20 +5,51 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from salesloom.llm import exact_dedup
+from salesloom.llm import exact_dedup, ngram_join, packing, secret_scan, toxicity
 from salesloom.llm.shared import shared_folder, ship
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go; all labels may be learned from."""
+    labels = ship(spark).read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.train(docs, labels, F.lit(True))
+    return toxicity.scored(docs, model).where("toxicity < 0.5").select(*docs.columns)
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts stays."""
     ship(spark)
     return exact_dedup.without_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: five words, a similarity of 0.8 or more."""
+    ship(spark)
+    return ngram_join.without_near_copies(docs, words=5, numerator=80, denominator=100)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets become ``[secret]``; the number of characters follows."""
+    clean = secret_scan.redacted(docs)
+    return clean.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in full training sequences, with their token ids."""
+    ship(spark)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
     ("exact dedup", drop_copies),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("secret scan", redact_secrets),
+    ("packing", pack_sequences),
 ]
 
 #: Toxicity scores, Markov models and tokenizers are not SQL; tests compare the stages with brute force.
