@@ -3,14 +3,16 @@
 Words are the matches of a pattern. Their counts over all documents give the ``DICTIONARY`` commonest, which are
 encoded once: a fold of Spark's higher-order functions starts from the word's single bytes and joins, step by step, the
 leftmost neighbours of lowest rank; ranks come from a literal map, dealt into buckets by a checksum because Spark
-searches a map from its first entry. The dictionary, of bounded size, is broadcast. Each pass over the documents then
-replaces its words by ids, and the words that are not in the dictionary go through the same fold where they stand, once
-per document. Decoding concatenates the byte pieces of the ids.
-
-Words of more than ``LONG_BYTES`` bytes, for which a fold over arrays takes quadratic time, are merged with a heap, which
-gives the same ids. A null text counts as empty and has no ids. Null ids of documents stay null, rows that repeat are
-encoded one by one, extra columns are not read, and an empty table gives no rows. Texts are encoded without special
-tokens: their strings are ordinary text.
+searches a map from its first entry. The dictionary, of bounded size, is broadcast, and a pass over the documents
+replaces their words by ids. Decoding concatenates the byte pieces of the ids.
+
+The words that the dictionary lacks are merged by the same rule in the tasks, each once per remembered fragment: there
+are many of them, nearly all of which occur once, and folding them in place took several times the check's limit (see
+the README). Long words are merged with a heap, because the fold and a plain loop take quadratic time.
+
+A null text counts as empty and has no ids. Null ids of documents stay null, rows that repeat are encoded one by one,
+extra columns are not read, and an empty table gives no rows. Texts are encoded without special tokens: their strings
+are ordinary text.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ import json
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +35,8 @@ from salesloom.llm.shared import parts_for, written
 
 #: Words with ids of their own in the broadcast dictionary, at most.
 DICTIONARY = 1 << 18
-LONG_BYTES = 2048
+#: Words of more bytes are merged with a heap and are not in the dictionary.
+LONG_BYTES = 256
 #: Fragments a task counts or remembers before it starts anew.
 REMEMBERED = 400_000
 BUCKETS = 1 << 14
@@ -124,10 +128,27 @@ def folded(word: Column, table: Column) -> Column:
     return _let(F.lower(F.hex(word)), whole)
 
 
-def merged_with_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The same merges for a long word: a heap of pairs and links between the parts that are left."""
+def merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same merges in Python."""
     if word in ranks:
         return [ranks[word]]
+    if len(word) > LONG_BYTES:
+        return merged_with_heap(word, ranks)
+    parts = [word[i : i + 1] for i in range(len(word))]
+    pairs = [ranks.get(a + b, _NEVER) for a, b in pairwise(parts)]
+    while pairs and (least := min(pairs)) < _NEVER:
+        at = pairs.index(least)
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        del pairs[at]
+        if at:
+            pairs[at - 1] = ranks.get(parts[at - 1] + parts[at], _NEVER)
+        if at < len(pairs):
+            pairs[at] = ranks.get(parts[at] + parts[at + 1], _NEVER)
+    return [ranks[p] for p in parts]
+
+
+def merged_with_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same merges for a long word: a heap of pairs and links between the parts that are left."""
     parts = [word[i : i + 1] for i in range(len(word))]
     after = [*range(1, len(parts)), -1]
     before = [-1, *range(len(parts) - 1)]
@@ -173,17 +194,13 @@ class Words:
     def fragments(self, text: str) -> list[str] | None:
         """The fragments without their leading spaces (the first has none), or None if the text can't be cut so."""
         parts = text.split(" ")
-        if all(parts[1:]) and not self._ragged(parts):
-            return parts
-        return None
-
-    @staticmethod
-    def _ragged(parts: list[str]) -> bool:
-        return len(parts) > 1 and (
-            parts[0][-1:].isspace()
-            or any(p[0].isspace() or p[-1].isspace() for p in parts[1:-1])
-            or parts[-1][0].isspace()
-        )
+        if "" in parts[1:]:
+            return None
+        for at in [k for k, part in enumerate(parts) if not part.isprintable()]:  # others hold no white space
+            part = parts[at]
+            if at and part[0].isspace() or at < len(parts) - 1 and part[-1].isspace():
+                return None
+        return parts
 
 
 @functools.lru_cache(maxsize=2)
@@ -245,53 +262,33 @@ def dictionary(texts: DataFrame, pattern: str, ranks: dict[bytes, int]) -> dict[
 
 
 class _Lookup:
-    """Ids of a document's words from the dictionary; the words that it lacks are listed."""
+    """Ids of whole texts; remembers fragments."""
 
     def __init__(self, pattern: str, known: dict[str, bytes], ranks: dict[bytes, int]):
         self._words, self._known, self._ranks = words_of(pattern), known, ranks
-        self._fragments: dict[str, bytes | list] = {}
+        self._fragments: dict[str, bytes] = {}
 
-    def _looked_up(self, text: str) -> bytes | list:
-        """Ids, or a list of ids (bytes) and words (str) in turn."""
-        found: list[bytes | str] = []
+    def _looked_up(self, text: str) -> bytes:
+        found = []
         for word in self._words.of(text):
             ids = self._known.get(word)
-            if ids is None and len(word) > LONG_BYTES // 4 and len(data := word.encode()) > LONG_BYTES:
-                ids = np.asarray(merged_with_heap(data, self._ranks), "<u4").tobytes()
-            found.append(word if ids is None else ids)
-        return b"".join(found) if all(type(x) is bytes for x in found) else found
+            if ids is None:
+                ids = np.asarray(merged(word.encode(), self._ranks), "<u4").tobytes()
+            found.append(ids)
+        return b"".join(found)
 
-    def _of_fragment(self, fragment: str) -> bytes | list:
+    def _of_fragment(self, fragment: str) -> bytes:
         if len(self._fragments) >= REMEMBERED:
             self._fragments.clear()
         found = self._fragments[fragment] = self._looked_up(" " + fragment)
         return found
 
-    def split(self, text: str) -> tuple[list[bytes], list[str], list[int]]:
-        """Runs of ids, the distinct words between them, and which of these stands after each run but the last."""
+    def ids(self, text: str) -> bytes:
         parts = self._words.fragments(text)
         if parts is None:
-            pieces = [self._looked_up(text)]
-        else:
-            get = self._fragments.get
-            pieces = [self._looked_up(parts[0])]
-            pieces += [get(p) or self._of_fragment(p) for p in parts[1:]]
-        runs, run, rare, order = [], [], {}, []
-        for piece in pieces:
-            if type(piece) is bytes:
-                run.append(piece)
-                continue
-            for x in piece:
-                if type(x) is bytes:
-                    run.append(x)
-                else:
-                    runs.append(b"".join(run))
-                    run = []
-                    order.append(rare.setdefault(x, len(rare)))
-        runs.append(b"".join(run))
-        return runs, list(rare), order
-
-
+            return self._looked_up(text)
+        get = self._fragments.get
+        return b"".join([self._looked_up(parts[0]), *[get(p) or self._of_fragment(p) for p in parts[1:]]])
 
 
 def _batches(rows: Iterable[tuple], kinds: list[pa.DataType], names: list[str], size) -> Iterator[pa.RecordBatch]:
@@ -321,31 +318,15 @@ def encode(
     known = context.broadcast(dictionary(rows.select("text"), pattern, ranks))  # at most DICTIONARY words
     sent = context.broadcast(ranks)
 
-    def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def looked_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = _Lookup(pattern, known.value, sent.value)
         for batch in batches:
-            found = ((i.as_py(), *lookup.split(t.as_py())) for i, t in zip(batch["id"], batch["text"], strict=True))
-            kinds = [batch.schema.field("id").type, pa.list_(pa.binary()), pa.list_(pa.string()), pa.list_(pa.int32())]
-            yield from _batches(found, kinds, ["id", "runs", "rare", "order"], lambda row: sum(map(len, row[1])) + 64)
-
-    def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = zip(*(batch[name] for name in ("id", "runs", "rare_ids", "order")), strict=True)
-            yield from _batches(map(joined, rows), [batch.schema.field("id").type, pa.binary()], ["id", "ids"], size)
-
-    def joined(row: tuple) -> tuple:
-        doc, runs, rare, order = (value.as_py() for value in row)
-        rare = [np.asarray(ids, "<u4").tobytes() for ids in rare]
-        between = [rare[number] for number in order]
-        return doc, b"".join(x for two in zip(runs, [*between, b""], strict=True) for x in two)
-
-    def size(row: tuple) -> int:
-        return len(row[1]) + 64
+            found = ((i.as_py(), lookup.ids(t.as_py())) for i, t in zip(batch["id"], batch["text"], strict=True))
+            kinds = [batch.schema.field("id").type, pa.binary()]
+            yield from _batches(found, kinds, ["id", "ids"], lambda row: len(row[1]) + 64)
 
     kind = rows.schema["id"].dataType.simpleString()
-    rows = rows.mapInArrow(split, f"id {kind}, runs array<binary>, rare array<string>, `order` array<int>")
-    rows = rows.select("id", "runs", encoded_words(F.col("rare"), ranks).alias("rare_ids"), "order")
-    return rows.mapInArrow(join, f"id {kind}, ids binary").withColumnRenamed("id", id_column)
+    return rows.mapInArrow(looked_up, f"id {kind}, ids binary").withColumnRenamed("id", id_column)
 
 
 def decode(rows: DataFrame, ranks: dict[bytes, int], id_column: str = "doc_id", ids_column: str = "ids") -> DataFrame:
