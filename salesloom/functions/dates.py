@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import calendar
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame
@@ -36,9 +37,10 @@ def quarter_bounds(as_of: dt.date) -> tuple[dt.date, dt.date]:
 
 
 def months_later(day: dt.date, months: int) -> dt.date:
-    """Month shift for days up to the 28th (quarter and month starts)."""
+    """Month shift; a day that the month lacks becomes the last one it has."""
     index = day.year * 12 + day.month - 1 + months
-    return dt.date(index // 12, index % 12 + 1, day.day)
+    year, month = index // 12, index % 12 + 1
+    return dt.date(year, month, min(day.day, calendar.monthrange(year, month)[1]))
 
 
 def whole_days(end: Column, start: Column) -> Column:

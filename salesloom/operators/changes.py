@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
+from typing import Literal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,31 +14,56 @@ from salesloom.operators.lookup import in_set, not_in_set, resolve_keys, split_r
 from salesloom.operators.ranking import latest_per_key, number_rows
 
 
+def split_null_keys(batch: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows whose natural key is complete, rows with a NULL key part)."""
+    complete = functools.reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
+    return batch.filter(complete), batch.filter(~complete)
+
+
 def rows_to_append(
-    existing: DataFrame, batch: DataFrame, key: Sequence[str], order: Sequence[Column], fold: bool = True
+    existing: DataFrame,
+    batch: DataFrame,
+    key: Sequence[str],
+    order: Sequence[Column],
+    fold: bool = True,
+    null_keys: Literal["leave out", "keep"] = "leave out",
 ) -> DataFrame:
     """Rows of ``batch`` whose natural key is not in ``existing``; the first row per key in ``order`` wins.
 
-    With ``fold`` the key is compared trimmed and without case, otherwise exactly. Give the whole composite key.
+    With ``fold`` the text columns of the key are compared trimmed and without case, otherwise everything is
+    compared exactly. Give the whole composite key. A row with a NULL key part equals no other row: such rows
+    are left out, or with ``null_keys="keep"`` all of them are appended, again at every run.
     """
+    complete, incomplete = split_null_keys(batch, key)
+    text = {name for name, kind in batch.dtypes if kind == "string"}
     marks = [f"_key_{i}" for i in range(len(key))]
-    form = folded if fold else F.col
-    keyed = {mark: form(column) for mark, column in zip(marks, key)}
+    keyed = {mark: folded(c) if fold and c in text else F.col(c) for mark, c in zip(marks, key)}
     known = existing.select(*[expression.alias(mark) for mark, expression in keyed.items()])
-    fresh = not_in_set(batch.withColumns(keyed), known, marks)
-    return latest_per_key(fresh, marks, order).drop(*marks)
+    fresh = not_in_set(complete.withColumns(keyed), known, marks)
+    fresh = latest_per_key(fresh, marks, order).drop(*marks)
+    return fresh.unionByName(incomplete) if null_keys == "keep" else fresh
 
 
-def append_missing(existing: DataFrame, batch: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Idempotent append: running it again with the same batch adds nothing."""
-    return existing.unionByName(rows_to_append(existing, batch, key, order))
+def append_missing(
+    existing: DataFrame,
+    batch: DataFrame,
+    key: Sequence[str],
+    order: Sequence[Column],
+    null_keys: Literal["leave out", "keep"] = "leave out",
+) -> DataFrame:
+    """Idempotent append: running it again with the same batch adds nothing (but kept rows with NULL keys)."""
+    return existing.unionByName(rows_to_append(existing, batch, key, order, null_keys=null_keys))
 
 
 def append_skip_conflict(
-    existing: DataFrame, batch: DataFrame, key: Sequence[str], order: Sequence[Column]
+    existing: DataFrame,
+    batch: DataFrame,
+    key: Sequence[str],
+    order: Sequence[Column],
+    null_keys: Literal["leave out", "keep"] = "leave out",
 ) -> DataFrame:
     """Append that skips rows whose exact key is taken, by ``existing`` or earlier in the batch."""
-    return existing.unionByName(rows_to_append(existing, batch, key, order, fold=False))
+    return existing.unionByName(rows_to_append(existing, batch, key, order, fold=False, null_keys=null_keys))
 
 
 def missing_pairs(
@@ -70,8 +97,23 @@ def missing_pairs(
     )
 
 
-def update_matched(target: DataFrame, changes: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Overwrite ``columns`` of the rows whose key is in ``changes`` (one change row per key), NULLs included."""
+def update_matched(
+    target: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    order: Sequence[Column] | None = None,
+) -> DataFrame:
+    """Overwrite ``columns`` of the rows whose key is in ``changes``, NULLs included.
+
+    Of several change rows for a key the first in ``order`` counts; without an order they fail the job.
+    """
+    if order is not None:
+        changes = latest_per_key(changes, keys, order)
+    else:
+        repeated = F.raise_error(F.concat(F.lit("several changes for the key "), F.to_json(F.struct(*keys))))
+        once = F.when(F.count(F.lit(1)) == 1, F.first(F.struct(*columns))).otherwise(repeated)
+        changes = changes.groupBy(*keys).agg(once.alias("_change")).select(*keys, "_change.*")
     new = changes.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_hit"))
     joined = target.join(new, list(keys), "left")
     return joined.select(
@@ -117,12 +159,20 @@ def delete_keys(target: DataFrame, keys_to_drop: DataFrame, keys: Sequence[str])
     return not_in_set(target, keys_to_drop, list(keys))
 
 
-def assign_keys(existing: DataFrame, batch: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
+def highest_key(existing: DataFrame, key: str) -> Column:
+    """The highest surrogate key of a table as a value, 0 if there is none."""
+    return existing.agg(F.coalesce(F.max(key).cast("bigint"), F.lit(0).cast("bigint")).alias("m")).scalar()
+
+
+def assign_keys(
+    existing: DataFrame, batch: DataFrame, key: str, order: Sequence[Column], highest: Column | None = None
+) -> DataFrame:
     """Give each row of ``batch`` the next surrogate keys after the highest one in ``existing``.
 
-    The numbers rest on a frozen copy of the batch, so every job derived from the result sees the same keys.
+    ``highest`` is that key where the caller knows it. The numbers rest on a frozen copy of the batch, so every job
+    derived from the result sees the same keys.
     """
-    highest = existing.agg(F.coalesce(F.max(key).cast("bigint"), F.lit(0).cast("bigint")).alias("m")).scalar()
+    highest = highest_key(existing, key) if highest is None else highest
     return number_rows(batch, order, "_number").withColumn(key, F.col("_number") + highest).drop("_number")
 
 
@@ -132,6 +182,7 @@ def new_headers(
     natural_key: Sequence[str],
     header_key: str,
     order: Sequence[Column],
+    highest: Column | None = None,
 ) -> DataFrame:
     """New header rows with fresh keys: candidates not yet in ``headers`` by natural key.
 
@@ -140,7 +191,7 @@ def new_headers(
     fresh = not_in_set(candidates, headers, list(natural_key))
     only_keys = set(candidates.columns) == set(natural_key)
     once = fresh.distinct() if only_keys else latest_per_key(fresh, natural_key, order)
-    return assign_keys(headers, once, header_key, order)
+    return assign_keys(headers, once, header_key, order, highest)
 
 
 def load_batch(
@@ -155,12 +206,14 @@ def load_batch(
 
     Natural keys of other tables are resolved (see ``resolve_keys``), rows already there are skipped, the
     rest get the next surrogate keys (``key`` None: the table has none) and the columns of ``existing``;
-    columns the batch lacks are NULL. ``natural_key`` is compared without case where it is text.
+    columns the batch lacks are NULL. ``natural_key`` is compared without case where it is text; a row with a
+    NULL part of it is a reject.
     """
-    accepted, rejects = split_rejects(resolve_keys(batch, lookups or {}))
-    text = {name for name, kind in existing.dtypes if kind == "string"}
-    fold = all(column in text for column in natural_key)
-    fresh = rows_to_append(existing, accepted, natural_key, order, fold)
+    resolved = resolve_keys(batch, lookups or {})
+    missing = functools.reduce(lambda a, b: a | b, [F.col(c).isNull() for c in natural_key])
+    unknown = F.when(missing, F.lit("natural key is NULL"))
+    accepted, rejects = split_rejects(resolved.withColumn("reject_reason", F.coalesce("reject_reason", unknown)))
+    fresh = rows_to_append(existing, accepted, natural_key, order)
     keyed = assign_keys(existing, fresh, key, order) if key else fresh
     types = dict(existing.dtypes)
     columns = [

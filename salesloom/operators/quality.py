@@ -67,8 +67,10 @@ def _is_broken(rule: NotNull | Check) -> Column:
     return F.coalesce(~F.expr(rule.condition), F.lit(False))
 
 
-def _key_text(columns: Sequence[str]) -> Column:
-    return F.concat_ws("|", *columns)
+def _key_text(key: Column, columns: Sequence[str]) -> Column:
+    """A key (struct) as text; a NULL part shows as NULL."""
+    parts = [F.coalesce(key[c].cast("string"), F.lit("NULL")) for c in columns]
+    return F.when(key.isNotNull(), F.concat_ws("|", *parts))
 
 
 def _complete(columns: Sequence[str]) -> Column:
@@ -89,17 +91,28 @@ def _row_rules(df: DataFrame, rules: Sequence[NotNull | Check], key: Sequence[st
     """All row rules of a table in one scan: each is a counter with the lowest and highest offending key."""
     aggregates = []
     for i, rule in enumerate(rules):
-        offender = F.when(_is_broken(rule), _key_text(key))
+        offender = F.when(_is_broken(rule), F.struct(*key))
         aggregates += [
             F.count_if(_is_broken(rule)).alias(f"n{i}"),
             F.min(offender).alias(f"lo{i}"),
             F.max(offender).alias(f"hi{i}"),
         ]
     counters = df.agg(*aggregates)
-    rows = [_report(r, F.col(f"n{i}"), F.col(f"lo{i}"), F.col(f"hi{i}")) for i, r in enumerate(rules)]
+    rows = [
+        _report(r, F.col(f"n{i}"), _key_text(F.col(f"lo{i}"), key), _key_text(F.col(f"hi{i}"), key))
+        for i, r in enumerate(rules)
+    ]
     return counters.select(F.inline(F.array(*rows)))
 
 
+def _key_totals(keys: DataFrame, rule: Unique | ForeignKey, count: Column) -> DataFrame:
+    """Lowest and highest key by the keys' own types; text only for display."""
+    key = F.struct(*rule.columns)
+    totals = keys.agg(count.alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
+    first, last = (_key_text(F.col(c), rule.columns) for c in ("lo", "hi"))
+    return totals.select(F.inline(F.array(_report(rule, F.col("n"), first, last))))
+
+
 def _unique_rule(df: DataFrame, rule: Unique) -> DataFrame:
     repeated = (
         df.filter(_complete(rule.columns))
@@ -107,9 +120,7 @@ def _unique_rule(df: DataFrame, rule: Unique) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("_copies"))
         .filter(F.col("_copies") > 1)
     )
-    key = _key_text(rule.columns)
-    totals = repeated.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
-    return totals.select(F.inline(F.array(_report(rule, F.col("n"), F.col("lo"), F.col("hi")))))
+    return _key_totals(repeated, rule, F.count(F.lit(1)))
 
 
 def _foreign_key_rule(child: DataFrame, parent: DataFrame, rule: ForeignKey) -> DataFrame:
@@ -117,9 +128,7 @@ def _foreign_key_rule(child: DataFrame, parent: DataFrame, rule: ForeignKey) ->
     keys = child.filter(_complete(rule.columns)).groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("_rows"))
     known = parent.select(*[F.col(p).alias(c) for p, c in zip(rule.parent_columns, rule.columns)])
     orphans = keys.join(known, list(rule.columns), "left_anti")
-    key = _key_text(rule.columns)
-    totals = orphans.agg(F.sum("_rows").alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
-    return totals.select(F.inline(F.array(_report(rule, F.col("n"), F.col("lo"), F.col("hi")))))
+    return _key_totals(orphans, rule, F.sum("_rows"))
 
 
 def integrity_report(
@@ -172,20 +181,21 @@ def schema_drift(df: DataFrame, declared: T.StructType) -> list[tuple[str, str]]
 def conform(
     df: DataFrame, declared: T.StructType, defaults: Mapping[str, object] | None = None, failures: str | None = None
 ) -> DataFrame:
-    """Cast to the declared types and column order; a missing column is NULL or its default.
+    """Cast to the declared types and column order; a missing column is its default or NULL.
 
-    A value that does not fit becomes NULL (then the default). ``failures`` names a column that lists the
-    columns in which this happened.
+    A value that does not fit becomes NULL, and a NULL stays NULL, whatever the default. ``failures`` names a
+    column that lists the columns in which a value was lost.
     """
     defaults = defaults or {}
     present = set(df.columns)
     columns, lost = [], []
     for field in declared:
-        raw = F.col(field.name) if field.name in present else F.lit(None)
-        value = raw.try_cast(field.dataType)
-        lost.append(F.when(raw.isNotNull() & value.isNull(), F.lit(field.name)))
-        if field.name in defaults:
-            value = F.coalesce(value, F.lit(defaults[field.name]).cast(field.dataType))
+        if field.name in present:
+            raw = F.col(field.name)
+            value = raw.try_cast(field.dataType)
+            lost.append(F.when(raw.isNotNull() & value.isNull(), F.lit(field.name)))
+        else:
+            value = F.lit(defaults.get(field.name)).cast(field.dataType)
         columns.append(value.alias(field.name))
     if failures:
         columns.append(F.concat_ws(",", *lost).alias(failures))

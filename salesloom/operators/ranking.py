@@ -12,28 +12,20 @@ from salesloom.sources.storage import frozen
 # monotonically_increasing_id keeps the partition number above this many bits.
 _POSITION_BITS = 33
 
-_LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
-_FIRST_CUT_PARTS = 64
-
-# A rank table of at most this many (group, value) rows is a few megabytes.
-_BROADCAST_ROWS = 100_000
-
 
 def top_k_per_group(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, column: str | None = None
 ) -> DataFrame:
     """First ``k`` rows of each group; ``order`` must end in a unique key.
 
-    The filter on the row number lets Spark cut every map task to ``k`` rows per group before the
-    shuffle, so a group of any size reaches the final window as at most ``k`` rows per task. Spark does
-    that up to a threshold; beyond it the groups are first cut in hashed parts.
+    Every group is first cut to ``k`` rows in each of as many hashed parts as there are shuffle partitions,
+    so a group of any size reaches its last task as at most ``k`` rows per part.
     """
     rank = column or "_rank"
-    if k > int(df.sparkSession.conf.get(_LIMIT_SETTING, "1000")):
-        parted = df.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(_FIRST_CUT_PARTS)))
-        window = Window.partitionBy(*group, "_part").orderBy(*order)
-        df = parted.withColumn("_first", F.row_number().over(window)).filter(F.col("_first") <= k)
-        df = df.drop("_part", "_first")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parted = df.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(parts)))
+    window = Window.partitionBy(*group, "_part").orderBy(*order)
+    df = parted.withColumn("_first", F.row_number().over(window)).filter(F.col("_first") <= k).drop("_part", "_first")
     ranked = df.withColumn(rank, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
     kept = ranked.filter(F.col(rank) <= k)
     return kept if column else kept.drop(rank)
@@ -45,19 +37,17 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
 
 
 def top_dense_ranks(
-    df: DataFrame, group: Sequence[str], value: str, n: int, column: str = "rn", groups: int | None = None
+    df: DataFrame, group: Sequence[str], value: str, n: int, column: str = "rn"
 ) -> DataFrame:
     """Rows whose ``value`` is among the ``n`` highest distinct values of their group (ties kept).
 
     The distinct values are ranked first, which needs at most ``n`` rows per group; the rows then
-    meet their rank in an equi-join, so no task ever holds a whole group. Where the number of groups is
-    known, ``groups`` bounds the rank table, and a small one is broadcast.
+    meet their rank in an equi-join, so no task ever holds a whole group. Spark broadcasts the ranks if they
+    turn out to be small.
     """
     keys = [*group, value]
     distinct = df.select(*keys).filter(F.col(value).isNotNull()).distinct()
     ranks = top_k_per_group(distinct, group, [F.col(value).desc_nulls_last()], n, column)
-    if groups is not None and n * groups <= _BROADCAST_ROWS:
-        ranks = F.broadcast(ranks)
     return df.join(ranks, keys)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from salesloom.functions.dates import in_window, in_years, months_later, ntz, quarter_bounds, whole_days
 from salesloom.functions.money import from_cents
 from salesloom.functions.text import concat_skip_nulls, folded, require_text, same_text
-from salesloom.operators.changes import assign_keys, new_headers, rows_to_append
+from salesloom.operators.changes import assign_keys, highest_key, new_headers, rows_to_append
 from salesloom.operators.gaps import longest_gap, longest_gap_by_set
 from salesloom.operators.lookup import in_set, label_by_value, lowest_dimension_key, with_counts
 from salesloom.operators.ranking import latest_per_key, number_rows, top_k_per_group
@@ -99,8 +99,8 @@ def busiest_actors(film_actor: DataFrame, film: DataFrame, actor: DataFrame, aft
         .groupBy("actor_id")
         .agg(F.count("film_id").alias("number_of_movies"))
     )
-    best = counts.orderBy(F.col("number_of_movies").desc(), "actor_id").limit(k)
-    return best.join(actor, "actor_id").orderBy(F.col("number_of_movies").desc(), "actor_id")
+    named = counts.join(actor, "actor_id")
+    return named.orderBy(F.col("number_of_movies").desc(), "actor_id").limit(k)
 
 
 def genre_counts_by_year(
@@ -167,10 +167,10 @@ def most_rented(
 ) -> DataFrame:
     """Films with most rentals and the audience text of their rating."""
     counts = rentals.groupBy("film_id").agg(F.count(F.lit(1)).alias("number_of_rentals"))
-    best = counts.orderBy(F.col("number_of_rentals").desc(), "film_id").limit(k)
     return (
-        best.join(film, "film_id")
+        counts.join(film, "film_id")
         .orderBy(F.col("number_of_rentals").desc(), "film_id")
+        .limit(k)
         .select(
             "film_id",
             "title",
@@ -368,6 +368,7 @@ def rent_films(
     payment: DataFrame,
     rental_day: dt.date,
     payment_day: dt.date,
+    highest_rental: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Rent the requested (customer_id, film_id) and pay: (new rentals, new payments).
 
@@ -383,7 +384,8 @@ def rent_films(
         .join(film.select("film_id", "rental_duration", "rental_rate_cents"), "film_id")
     )
     natural = ["customer_id", "inventory_id"]
-    rented = new_headers(rental, copies, natural, "rental_id", [F.col(c) for c in natural])
+    top_rental = highest_key(rental, "rental_id") if highest_rental is None else highest_rental
+    rented = new_headers(rental, copies, natural, "rental_id", [F.col(c) for c in natural], top_rental)
     rentals = rented.select(
         "rental_id",
         F.lit(rental_day).alias("rental_date"),
@@ -391,7 +393,8 @@ def rent_films(
         F.date_add(F.lit(rental_day), F.col("rental_duration")).alias("return_date"),
         "staff_id",
     )
-    paid = assign_keys(payment, rented, "payment_id", [F.col("rental_id")])
+    # Payments are numbered in the order of their rentals.
+    paid = rented.withColumn("payment_id", F.col("rental_id") - top_rental + highest_key(payment, "payment_id"))
     payments = paid.select(
         "payment_id",
         "customer_id",

@@ -10,6 +10,7 @@ inside the map tasks.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -73,7 +74,7 @@ def consistent_top_customers(
     totals = _total(dated, "cust_id", "calendar_year", "channel_desc")
     yearly = _total(totals, "cust_id", "calendar_year")
     periods = len(set(years))
-    ranked = top_dense_ranks(yearly, ["calendar_year"], "amount_cents", rank, groups=periods)
+    ranked = top_dense_ranks(yearly, ["calendar_year"], "amount_cents", rank)
     cohort = in_all_periods(ranked, "cust_id", "calendar_year", periods)
     return (
         _total(in_set(totals, cohort, "cust_id"), "channel_desc", "cust_id")
@@ -122,12 +123,11 @@ def weekly_running_sales(
     With ``edge_weeks`` the weeks around the report feed the average of its first and last day; without, the
     average sees reported days only.
     """
-    reach = 1 if edge_weeks else 0
-    days = with_calendar(_total(sales, "time_id"), "time_id", "calendar_year", "calendar_week_number", "day_name")
-    read = days.filter(
-        (F.col("calendar_year") == year)
-        & F.col("calendar_week_number").between(first_week - reach, last_week + reach)
-    )
+    monday, sunday = dt.date.fromisocalendar(year, first_week, 1), dt.date.fromisocalendar(year, last_week, 7)
+    week = dt.timedelta(days=7)
+    first, last = (monday - week, sunday + week) if edge_weeks else (monday, sunday)
+    days = with_calendar(_total(sales, "time_id"), "time_id", "calendar_week_number", "day_name")
+    read = days.filter(F.col("time_id").between(F.lit(first), F.lit(last)))
     framed = read.withColumns(
         {
             "running": frames.running_sum("amount_cents", "time_id", ["calendar_week_number"]),
@@ -135,7 +135,7 @@ def weekly_running_sales(
         }
     )
     return (
-        framed.filter(F.col("calendar_week_number").between(first_week, last_week))
+        framed.filter(F.col("time_id").between(F.lit(monday), F.lit(sunday)))
         .select(
             "calendar_week_number",
             "time_id",

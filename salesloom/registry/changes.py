@@ -280,11 +280,11 @@ FROM headers JOIN part ON l_partkey = p_partkey
 )
 def header_detail(t: Tables) -> DataFrame:
     pairs = roles.rentals(t).select("customer_id", "film_id", "kind")
-    highest = t.orders.agg(F.max("o_orderkey").alias("k")).scalar()
-    rented = pairs.filter(F.col("kind") == "R").select("customer_id", "film_id", highest.alias("rental_id"))
+    highest = changes.highest_key(t.orders, "o_orderkey")
+    rented = pairs.filter(F.col("kind") == "R").select("customer_id", "film_id")
     wanted = pairs.filter(F.col("kind") == "A").select("customer_id", "film_id")
     key = ["customer_id", "film_id"]
-    headers = changes.new_headers(rented, wanted, key, "rental_id", [F.col(c) for c in key])
+    headers = changes.new_headers(rented, wanted, key, "rental_id", [F.col(c) for c in key], highest)
     prices = t.part.select(F.col("p_partkey").alias("film_id"), from_cents(cents("p_retailprice")).alias("amount"))
     return headers.join(prices, "film_id").select(
         "rental_id", *key, "amount", F.lit(dt.date(2017, 1, 1)).alias("payment_date")
@@ -363,6 +363,60 @@ def load_supplier_batch(t: Tables) -> DataFrame:
     return rows
 
 
+@query(
+    "load_batch_rejects",
+    """
+WITH batch AS (SELECT CASE WHEN c_custkey % 10 <> 0 THEN c_name END AS name, 'NATION_' || (c_custkey % 30) AS nation
+               FROM customer)
+SELECT name, nation,
+       CASE WHEN nation NOT IN (SELECT n_name FROM nation) THEN 'nation not found' ELSE 'natural key is NULL' END
+         AS reject_reason
+FROM batch WHERE name IS NULL OR nation NOT IN (SELECT n_name FROM nation)
+""",
+)
+def load_batch_rejects(t: Tables) -> DataFrame:
+    existing = t.supplier.select(
+        F.col("s_suppkey").alias("supplier_id"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation_id")
+    )
+    batch = t.customer.select(
+        F.when(F.pmod("c_custkey", F.lit(10)) != 0, F.col("c_name")).alias("name"),
+        F.concat(F.lit("NATION_"), F.pmod("c_custkey", F.lit(30)).cast("string")).alias("nation"),
+    )
+    lookups = {"nation": (t.nation, "n_name", "n_nationkey", "nation_id")}
+    _, rejects = changes.load_batch(existing, batch, ["name"], None, [F.col("name")], lookups)
+    return rejects.select("name", "nation", "reject_reason")
+
+
+@query(
+    "append_null_keys",
+    """
+WITH batch AS (SELECT CASE WHEN c_custkey % 10 <> 0 THEN c_name END AS name, c_nationkey AS nation_id FROM customer)
+SELECT s_name AS name, s_nationkey AS nation_id FROM supplier UNION ALL SELECT name, nation_id FROM batch
+""",
+)
+def append_null_keys(t: Tables) -> DataFrame:
+    existing = t.supplier.select(F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation_id"))
+    name = F.when(F.pmod("c_custkey", F.lit(10)) != 0, F.col("c_name"))
+    batch = t.customer.select(name.alias("name"), F.col("c_nationkey").alias("nation_id"))
+    return changes.append_missing(existing, batch, ["name"], [F.col("nation_id")], null_keys="keep")
+
+
+@query(
+    "keyed_update_duplicates",
+    """
+WITH newest AS (SELECT o_custkey, MAX(o_orderkey) AS last_order FROM orders GROUP BY o_custkey)
+SELECT c_custkey, COALESCE(o_orderpriority, c_mktsegment) AS c_mktsegment
+FROM customer LEFT JOIN newest ON c_custkey = newest.o_custkey LEFT JOIN orders ON o_orderkey = last_order
+""",
+)
+def keyed_update_duplicates(t: Tables) -> DataFrame:
+    target = t.customer.select("c_custkey", "c_mktsegment")
+    asked = t.orders.select(
+        F.col("o_custkey").alias("c_custkey"), F.col("o_orderpriority").alias("c_mktsegment"), "o_orderkey"
+    )
+    return changes.update_matched(target, asked, ["c_custkey"], ["c_mktsegment"], [F.col("o_orderkey").desc()])
+
+
 @query(
     "rent_and_pay",
     """
@@ -390,12 +444,12 @@ def rent_and_pay(t: Tables) -> DataFrame:
     staff = t.supplier.select(F.col("s_suppkey").alias("staff_id"), F.col("s_nationkey").alias("store_id"))
     shelf = F.col("inventory_id.l_suppkey") == F.col("staff_id")
     inventory = roles.inventory(t).join(staff, shelf).drop("staff_id")
-    highest = t.orders.agg(F.max("o_orderkey").alias("k")).scalar()
-    before = lines.filter(F.col("kind") == "R").select("customer_id", "inventory_id", highest.alias("rental_id"))
+    highest = changes.highest_key(t.orders, "o_orderkey")
+    before = lines.filter(F.col("kind") == "R").select("customer_id", "inventory_id")
     payment = t.orders.select(F.col("o_custkey").alias("payment_id"))
     day = dt.date(2017, 1, 1)
     rentals, payments = film_rental.rent_films(
-        requests, home, roles.film(t), inventory, staff, before, payment, day, day
+        requests, home, roles.film(t), inventory, staff, before, payment, day, day, highest
     )
     return payments.join(rentals.select("rental_id", "inventory_id", "return_date"), "rental_id").select(
         "rental_id",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.functions.money import cents, from_cents
@@ -174,7 +174,50 @@ def field_changes(t: Tables) -> DataFrame:
         .unionByName(change(F.col("o_totalprice") > 450000, "order_status", "Cancelled", 2))
         .unionByName(change(urgent, "order_date", "2024-02-01", 1))
     )
-    return book.change_order_fields(_book(t)["orders"], changes)
+    tables = _book(t)
+    return book.change_order_fields(tables["orders"], changes, tables["customer"], tables["employee"]).orders
+
+
+@query(
+    "field_changes_rejects",
+    """
+WITH asked AS (
+  SELECT o_orderkey AS order_id,
+         CASE o_orderkey % 7 WHEN 0 THEN 'customer_id' WHEN 1 THEN 'customer_id' WHEN 2 THEN 'order_status'
+           WHEN 3 THEN 'order_date' WHEN 4 THEN 'order_date' WHEN 5 THEN 'note' ELSE 'order_status' END AS column_name,
+         CASE o_orderkey % 7 WHEN 0 THEN CAST(o_custkey AS VARCHAR) WHEN 1 THEN CAST(o_custkey + 100000000 AS VARCHAR)
+           WHEN 2 THEN 'Bogus' WHEN 3 THEN 'soon' WHEN 4 THEN '1990-01-01' WHEN 5 THEN 'x' END AS new_value
+  FROM orders)
+SELECT order_id, column_name, new_value,
+       CASE WHEN column_name = 'note' THEN 'column cannot be changed'
+            WHEN new_value IS NULL THEN 'value must not be NULL'
+            WHEN new_value = 'soon' THEN 'value does not fit the type'
+            WHEN column_name = 'order_date' THEN 'order_date too early'
+            WHEN column_name = 'order_status' THEN 'order_status not allowed'
+            ELSE 'customer_id not found' END AS reject_reason
+FROM asked
+WHERE NOT (column_name = 'customer_id' AND TRY_CAST(new_value AS BIGINT) IN (SELECT c_custkey FROM customer))
+""",
+)
+def field_changes_rejects(t: Tables) -> DataFrame:
+    kind = F.pmod("o_orderkey", F.lit(7))
+    columns = ("customer_id", "customer_id", "order_status", "order_date", "order_date", "note", "order_status")
+    customer = F.col("o_custkey")
+    values = (customer.cast("string"), (customer + 100_000_000).cast("string"), "Bogus", "soon", "1990-01-01", "x", None)
+
+    def chosen(options) -> Column:
+        options = [o if isinstance(o, Column) else F.lit(o).cast("string") for o in options]
+        return F.element_at(F.array(*options), (kind + 1).cast("int"))
+
+    changes = t.orders.select(
+        F.col("o_orderkey").alias("order_id"),
+        chosen(columns).alias("column_name"),
+        chosen(values).alias("new_value"),
+        F.lit(1).alias("sequence"),
+    )
+    tables = _book(t)
+    found = book.change_order_fields(tables["orders"], changes, tables["customer"], tables["employee"])
+    return found.rejects.drop("sequence")
 
 
 @query(

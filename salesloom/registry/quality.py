@@ -62,14 +62,17 @@ _LINE = """
 line AS (SELECT l_orderkey, l_linenumber, l_tax, l_discount,
                 CASE WHEN l_linestatus <> 'O' THEN l_shipdate END AS closed_on,
                 CASE WHEN l_returnflag = 'R' THEN l_partkey END AS returned,
-                l_orderkey || '|' || l_linenumber AS key FROM lineitem)
+                {'k': l_orderkey, 'n': l_linenumber} AS key FROM lineitem)
 """
 
 
 def _counted(table: str, rule: str, source: str, where: str, key: str, count: str = "COUNT(*)") -> str:
+    low, high = f"MIN({key})", f"MAX({key})"
+    if key == "key":
+        low, high = (f"({k}).k || '|' || ({k}).n" for k in (low, high))
     return (
         f"SELECT '{table}' AS table_name, '{rule}' AS rule, CAST({count} AS BIGINT) AS violations, "
-        f"MIN(CAST({key} AS VARCHAR)) AS first_key, MAX(CAST({key} AS VARCHAR)) AS last_key FROM {source} WHERE {where}"
+        f"CAST({low} AS VARCHAR) AS first_key, CAST({high} AS VARCHAR) AS last_key FROM {source} WHERE {where}"
     )
 
 
@@ -149,7 +152,7 @@ def integrity_report_all(t: Tables) -> DataFrame:
     """
 SELECT CAST(o_orderkey AS INTEGER) AS order_id,
        CASE WHEN o_orderstatus <> 'P' THEN CAST(o_totalprice AS DECIMAL(10,2)) END AS total,
-       CASE WHEN o_orderpriority = '5-LOW' THEN DATE '2001-12-31' ELSE CAST(o_orderdate AS DATE) END AS order_date,
+       CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_orderdate AS DATE) END AS order_date,
        'Pending' AS order_status,
        CONCAT_WS(',', CASE WHEN o_orderstatus = 'P' THEN 'total' END,
                       CASE WHEN o_orderpriority = '5-LOW' THEN 'order_date' END) AS bad_values

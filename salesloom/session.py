@@ -27,6 +27,8 @@ def local_session(cpus: int | str = 8, memory: str = "8g", name: str = "salesloo
     builder = builder.config("spark.sql.shuffle.partitions", str(cpus)).config("spark.driver.memory", memory)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.sparkContext.setCheckpointDir("/tmp/checkpoints")  # one machine: a folder all tasks reach
     return spark
 
 

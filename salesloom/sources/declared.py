@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesloom.functions.derived import employee_code, full_name, line_total
@@ -52,6 +54,7 @@ METRO_DDL = {
     "ticket_type_promotions": "ticket_type_id INT NOT NULL, promotion_id INT NOT NULL",
 }
 
+# Keys.
 KEYS = {
     "customer": ("customer_id",),
     "employee": ("employee_id",),
@@ -75,6 +78,7 @@ KEYS = {
     "ticket_type_promotions": ("ticket_type_id", "promotion_id"),
 }
 
+# Unique text columns.
 UNIQUE_TEXT = {
     "customer": ("email",),
     "category": ("category_name",),
@@ -86,6 +90,7 @@ UNIQUE_TEXT = {
     "promotions": ("promotion_name",),
 }
 
+# Text lengths.
 LENGTHS = {
     "customer": {"first_name": 60, "last_name": 60, "email": 120, "full_name": 150},
     "employee": {"emp_name": 120, "employee_code": 200},
@@ -103,6 +108,7 @@ LENGTHS = {
     "schedules": {"schedule_name": 100, "direction": 50},
 }
 
+# References to other tables.
 REFERENCES = {
     "product": {"category_id": ("category", "category_id"), "supplier_id": ("supplier", "supplier_id")},
     "orders": {"customer_id": ("customer", "customer_id"), "employee_id": ("employee", "employee_id")},
@@ -188,16 +194,32 @@ def metro_schemas() -> dict[str, T.StructType]:
     return {table: declared_schema(ddl) for table, ddl in METRO_DDL.items()}
 
 
-def as_declared(df: DataFrame, table: str, schema: T.StructType, load_date: dt.date) -> DataFrame:
-    """Rows in the declared shape of a table: types, column order, defaults and computed columns."""
+class Declared(NamedTuple):
+    rows: DataFrame
+    rejects: DataFrame
+
+
+def as_declared(df: DataFrame, table: str, schema: T.StructType, load_date: dt.date) -> Declared:
+    """Rows in the declared shape of a table: types, column order, defaults and computed columns.
+
+    A default stands only for a column that ``df`` lacks. Rows with a value that does not fit, or a NULL where the
+    table has none, are rejects; ``bad_columns`` lists those columns.
+    """
     defaults = dict(DEFAULTS.get(table, {}))
     if table in LOAD_DATE_DEFAULTS:
         defaults[LOAD_DATE_DEFAULTS[table]] = load_date
-    shaped = conform(df, schema, defaults)
+    shaped = conform(df, schema, defaults, failures="_lost")
     if table in GENERATED:
         name, expression = GENERATED[table]
         shaped = shaped.withColumn(name, expression())
-    return shaped
+    lost = F.split("_lost", ",")
+    bad = [
+        F.when(F.array_contains(lost, f.name) | (F.col(f.name).isNull() if not f.nullable else F.lit(False)), F.lit(f.name))
+        for f in schema
+    ]
+    checked = shaped.withColumn("bad_columns", F.concat_ws(",", *bad)).drop("_lost")
+    fine = F.col("bad_columns") == ""
+    return Declared(checked.filter(fine).drop("bad_columns"), checked.filter(~fine))
 
 
 def rules_for(schemas: dict[str, T.StructType]) -> list[Rule]:

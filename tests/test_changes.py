@@ -15,14 +15,39 @@ def names(spark, *values):
 
 def test_append_twice_adds_nothing(spark):
     base = names(spark, "Ann", "Bob")
-    batch = names(spark, " ann ", "Cy", "CY", None)
+    batch = names(spark, " ann ", "Cy", "CY", None, None)
     once = changes.append_missing(base, batch, ["name"], [F.col("seq")])
-    assert rows_of(once.select("name")) == sorted([("Ann",), ("Bob",), ("Cy",), (None,)], key=repr)
-    known = batch.filter("name is not null")
-    twice = changes.append_missing(once, known, ["name"], [F.col("seq")])
+    assert rows_of(once.select("name")) == [("Ann",), ("Bob",), ("Cy",)]
+    twice = changes.append_missing(once, batch, ["name"], [F.col("seq")])
     assert rows_of(twice) == rows_of(once)
 
 
+def test_rows_with_a_null_key_are_all_kept_on_request(spark):
+    batch = names(spark, "Cy", None, None)
+    out = changes.append_missing(names(spark, "Ann"), batch, ["name"], [F.col("seq")], null_keys="keep")
+    assert rows_of(out) == sorted([("Ann", 0), ("Cy", 0), (None, 1), (None, 2)], key=repr)
+
+
+def test_mixed_keys_fold_text_only(spark):
+    base = spark.createDataFrame([("Blue", 7)], "colour string, size int")
+    batch = spark.createDataFrame([("blue", 7), ("BLUE", 8), (None, 7)], "colour string, size int")
+    order, key = [F.col("colour")], ["colour", "size"]
+    new, rejects = changes.load_batch(base, batch, key, None, order)
+    assert rows_of(new) == [("BLUE", 8)]
+    assert [r.reject_reason for r in rejects.collect()] == ["natural key is NULL"]
+    again, _ = changes.load_batch(base.unionByName(new), batch, key, None, order)
+    assert again.collect() == []
+
+
+def test_several_changes_for_a_key_need_an_order(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, s string")
+    change = spark.createDataFrame([(1, "x", 1), (1, "y", 2)], "k int, s string, seq int")
+    out = changes.update_matched(target, change, ["k"], ["s"], [F.col("seq").desc()])
+    assert rows_of(out) == [(1, "y"), (2, "b")]
+    with pytest.raises(Exception, match="several changes"):
+        changes.update_matched(target, change, ["k"], ["s"]).collect()
+
+
 def test_append_uses_the_whole_composite_key(spark):
     base = spark.createDataFrame([(1, 10)], "ticket int, promo int")
     batch = spark.createDataFrame([(1, 10), (1, 11), (2, 10), (1, 11)], "ticket int, promo int")

@@ -39,6 +39,7 @@ def test_concat_treats_null_as_empty(spark):
 def test_quarters(spark):
     assert dates.quarter_bounds(dt.date(2024, 11, 30)) == (dt.date(2024, 10, 1), dt.date(2025, 1, 1))
     assert dates.months_later(dt.date(2006, 2, 1), -3) == dt.date(2005, 11, 1)
+    assert dates.months_later(dt.date(2000, 5, 31), -3) == dt.date(2000, 2, 29)
     assert value(spark, text.quarter_label(F.lit(dt.date(2025, 5, 2)))) == "2025-Q2"
 
 

@@ -3,12 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as driver
+from salesloom import registry
 from salesloom.sources import roles
 from salesloom.sources.tables import Tables
 
 ROOT = "/root/testdata/sf0.001"
-QUERIES = driver.queries()
+registry.load_all()
+QUERIES = registry.QUERIES
 
 
 def plan_of(df) -> str:

@@ -123,7 +123,7 @@ def test_conform_casts_defaults_and_lists_failures(spark):
     df = spark.createDataFrame([("1", "no"), ("x", None)], "id string, flag string")
     wanted = T.StructType.fromDDL("id INT, flag BOOLEAN, opened DATE")
     out = conform(df, wanted, {"flag": False, "opened": D(2024, 1, 1)}, failures="bad")
-    assert rows_of(out) == [(1, False, D(2024, 1, 1), ""), (None, False, D(2024, 1, 1), "id")]
+    assert rows_of(out) == [(1, False, D(2024, 1, 1), ""), (None, None, D(2024, 1, 1), "id")]
 
 
 def test_principals_see_their_rows_only(spark):

@@ -110,11 +110,46 @@ def test_change_one_field_of_one_order(spark, tables):
     change = spark.createDataFrame(
         [(2, "order_status", "Shipped", 1)], "order_id int, column_name string, new_value string, sequence int"
     )
-    before, after = tables["orders"], book.change_order_fields(tables["orders"], change)
+    before = tables["orders"]
+    after, rejects = book.change_order_fields(before, change, tables["customer"], tables["employee"])
+    assert rejects.collect() == []
     assert after.schema.names == before.schema.names
     assert set(rows_of(after)) - set(rows_of(before)) == {(2, 1, 5, D(2025, 4, 2), "Shipped")}
 
 
+def test_changes_that_break_a_rule_are_rejected(spark, tables):
+    change = spark.createDataFrame(
+        [
+            (2, "order_status", "Bogus", 1),
+            (2, "order_date", "1990-01-01", 2),
+            (2, "order_date", "soon", 3),
+            (2, "customer_id", "999", 4),
+            (2, "note", "x", 5),
+            (2, "order_status", None, 6),
+            (77, "order_status", "Shipped", 7),
+            (2, "order_status", "Shipped", 8),
+        ],
+        "order_id int, column_name string, new_value string, sequence int",
+    )
+    after, rejects = book.change_order_fields(tables["orders"], change, tables["customer"], tables["employee"])
+    assert [r.reject_reason for r in rejects.orderBy("sequence").collect()] == [
+        "order_status not allowed",
+        "order_date too early",
+        "value does not fit the type",
+        "customer_id not found",
+        "column cannot be changed",
+        "value must not be NULL",
+        "order_id not found",
+    ]
+    assert set(rows_of(after)) - set(rows_of(tables["orders"])) == {(2, 1, 5, D(2025, 4, 2), "Shipped")}
+
+
+def test_a_line_total_beyond_its_type_is_a_reject(spark, tables):
+    added = add(spark, tables, (1, "ann@x", "Jane Ford", "Lamp", 2_000_000_000, None, None, Decimal("99999999.99")))
+    assert [r.reject_reason for r in added.rejects.collect()] == ["line_total does not fit"]
+    assert added.orders.collect() == []
+
+
 def test_orders_of_one_customer_newest_first(tables):
     out = book.orders_of_customer(tables["orders"], tables["customer"], tables["employee"], "ann@x")
     assert [(r.order_id, r.handled_by) for r in out.collect()] == [(2, "Jane Ford"), (3, "Jane Ford"), (1, "Jane Ford")]
@@ -123,6 +158,14 @@ def test_orders_of_one_customer_newest_first(tables):
 def test_rows_take_the_declared_shape(spark):
     raw = spark.createDataFrame([("1", "Ann", "Li", "ann@x")], "customer_id string, first_name string, last_name string, email string")
     schema = retail_schemas()["customer"]
-    shaped = as_declared(raw, "customer", schema, D(2024, 5, 1))
+    shaped, rejects = as_declared(raw, "customer", schema, D(2024, 5, 1))
+    assert rejects.collect() == []
+    bad = spark.createDataFrame(
+        [("1", "Ann", "Li", "ann@x", "soon"), ("x", None, "Li", "bo@x", "2024-01-02")],
+        "customer_id string, first_name string, last_name string, email string, created_on string",
+    )
+    fine, rejects = as_declared(bad, "customer", schema, D(2024, 5, 1))
+    assert fine.collect() == []
+    assert sorted(r.bad_columns for r in rejects.collect()) == ["created_on", "customer_id,first_name"]
     assert [(f.name, f.dataType) for f in shaped.schema] == [(f.name, f.dataType) for f in schema]
     assert rows_of(shaped) == [(1, "Ann", "Li", "ann@x", D(2024, 5, 1), "Ann Li")]
