@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from salesloom.llm.components import connected_components
 from salesloom.llm.shared import written
-from salesloom.llm.shingles import Bands, block_keys, parity, shingle_set
+from salesloom.llm.shingles import Bands, Parities, block_keys, parity, parity_words, shingle_set
 
 #: Keys that meet in a bucket, and keys of a packet, about.
 BUCKET_KEYS = 1 << 22
@@ -82,13 +82,14 @@ def packets(rows: DataFrame, words: int, bands: Bands, buckets: int) -> DataFram
             bucket = (all_keys % np.uint64(buckets)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")  # keys of a bucket stay in the order of their owners
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            ids, lengths, bits = np.array(nodes, "<i8"), np.array(sizes, "<i8"), np.array(sketches, "<u8")
+            ids, lengths = np.array(nodes, "<i8"), np.array(sizes, "<i8")
             found = []
             for number in range(buckets):
                 own = order[cuts[number] : cuts[number + 1]]
                 if len(own):
                     who, counts = np.unique(owner[own], return_counts=True)
-                    parts = ids[who], lengths[who], bits[who], counts.astype("<i8"), all_keys[own]
+                    bits = np.concatenate([sketches[w] for w in who.tolist()])
+                    parts = ids[who], lengths[who], bits, counts.astype("<i8"), all_keys[own]
                     found.append((number, *(p.tobytes() for p in parts)))
             kinds = [pa.int32(), *[pa.binary()] * 5]
             arrays = [pa.array(column, kind) for column, kind in zip(zip(*found, strict=True), kinds, strict=True)]
@@ -138,10 +139,13 @@ class _Forest:
                 self.links.append((x, y))
 
 
-def _close(bands: Bands, sizes: np.ndarray, sketches: np.ndarray, x, y) -> np.ndarray:
-    """Whether the sketches allow the classes x and y (numbers or arrays of them) to link."""
-    distance = np.bitwise_count(sketches[x] ^ sketches[y]).sum(axis=-1, dtype=np.int64)
-    return (distance <= bands.budget(sizes[x] + sizes[y])) & bands.possible(sizes[x], sizes[y])
+def _close(bands: Bands, sizes: np.ndarray, sketches: Parities, x, y: np.ndarray) -> np.ndarray:
+    """Whether sizes and sketches allow the classes x (one or as many as y) and y to link."""
+    found = bands.possible(sizes[x], sizes[y])
+    at = np.flatnonzero(found)
+    x = np.broadcast_to(x, y.shape)[at]
+    found[at] = sketches.distances(x, y[at]) <= bands.budget(sizes[x] + sizes[y[at]])
+    return found
 
 
 def _forest_of_bucket(bands: Bands):
@@ -151,7 +155,10 @@ def _forest_of_bucket(bands: Bands):
 
         counts, keys = joined("counts", "<i8"), joined("keys", "<u8")
         nodes, first, number = np.unique(joined("nodes", "<i8"), return_index=True, return_inverse=True)
-        sizes, sketches = joined("sizes", "<i8")[first], joined("sketches", "<u8").reshape(-1, 4)[first]
+        sizes = joined("sizes", "<i8")
+        ends = np.cumsum(parity_words(sizes))
+        sketches = Parities(sizes[first], (ends - parity_words(sizes))[first], joined("sketches", "<u8"))
+        sizes = sizes[first]
         owner = np.repeat(number, counts)
         order = np.lexsort((owner, keys))
         keys, owner = keys[order], owner[order]

@@ -120,10 +120,40 @@ def block_keys(shingles: np.ndarray, band: int, blocks: int) -> np.ndarray:
     return mixed(mixed(sketch) + number * np.uint64(_ODD) + np.uint64(band * 0xD6E8FEB86659FD93 % (1 << 64)))
 
 
+def parity_words(size):
+    """64-bit words of the parity sketch of a set of ``size`` elements: a power of two, 1.5 bits an element or more."""
+    return 1 << np.maximum(2, np.ceil(np.log2(np.maximum(size, 1) * 1.5 / 64))).astype(np.int64)
+
+
 def parity(shingles: np.ndarray) -> np.ndarray:
-    """256 parity bits of a whole set as four numbers."""
-    bits = np.uint64(1) << ((shingles >> np.uint64(8)) & np.uint64(63))
-    word = (shingles & np.uint64(3)).astype(np.int64)
-    found = np.zeros(4, np.uint64)
-    np.bitwise_xor.at(found, word, bits)
-    return found
+    """Parity bits of a whole set. The halves of a sketch, XORed, are the sketch of half as many words."""
+    words = int(parity_words(len(shingles)))
+    at = (shingles & np.uint64(words - 1)) * np.uint64(64) + ((shingles >> np.uint64(40)) & np.uint64(63))
+    bits = np.bincount(at.astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view("<u8")
+
+
+class Parities:
+    """Sketches of many sets, one after the other in ``words``."""
+
+    def __init__(self, sizes: np.ndarray, starts: np.ndarray, words: np.ndarray):
+        self._length, self._start, self._words = parity_words(sizes), starts, words
+
+    def _of(self, x: np.ndarray, length: int, folded: bool) -> np.ndarray:
+        found = self._words[self._start[x][:, None] + np.arange(length)]
+        return found[:, : length // 2] ^ found[:, length // 2 :] if folded else found
+
+    def distances(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Hamming distances of x[i] and y[i] (or of one x and all y), at most the symmetric differences.
+
+        Sketches of different length are compared in the shorter one; beyond a factor of two the distance is 0.
+        """
+        x = np.broadcast_to(x, y.shape)
+        found = np.zeros(len(y), np.int64)
+        a, b = self._length[x], self._length[y]
+        for one, other in np.unique(np.stack([a, b], axis=1), axis=0).tolist():
+            if max(one, other) <= 2 * min(one, other):
+                at = np.flatnonzero((a == one) & (b == other))
+                bits = self._of(x[at], one, one > other) ^ self._of(y[at], other, other > one)
+                found[at] = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+        return found
