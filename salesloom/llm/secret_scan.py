@@ -6,7 +6,7 @@ first-order character Markov models: if the mean log-likelihood ratio of its tra
 ``THRESHOLD``, it is a span of kind ``markov``. Base spans stay as they are; a token that overlaps one is not judged.
 
 The models are trained from labelled samples: a table of values and whether each is random. By default these are the
-distinct values of the base spans and the distinct long tokens outside of them, over all documents. Their transition
+distinct values of the base spans and the distinct long tokens outside of them that consist of words, over all documents. Their transition
 counts have at most 67 x 67 entries for either class. All work is built-in expressions.
 
 Offsets are code points, end exclusive; matches of a kind are leftmost and do not overlap. A null text counts as
@@ -38,6 +38,10 @@ RULES = (
 TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
 JUDGED = 20
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+#: What a long token must look like to be a sample of an ordinary identifier: words, each capitalised or not.
+IDENTIFIER = r"^[A-Z]?[a-z]+(?:[+/_=-]*[A-Z]?[a-z]{2,})*$"
+#: Weight of a character's share of all characters in the estimate of a transition to it.
+BACK_OFF = 8
 #: Natural logarithm by which a transition must on average be likelier in a random string.
 THRESHOLD = 0.5
 
@@ -98,7 +102,10 @@ def samples_of(rows: DataFrame) -> DataFrame:
         F.explode(
             F.concat(
                 F.transform("base", lambda s: F.struct(s["value"].alias("value"), F.lit(True).alias("random"))),
-                F.transform("others", lambda s: F.struct(s["value"].alias("value"), F.lit(False).alias("random"))),
+                F.transform(
+                    F.filter("others", lambda s: s["value"].rlike(IDENTIFIER)),
+                    lambda s: F.struct(s["value"].alias("value"), F.lit(False).alias("random")),
+                ),
             )
         ).alias("sample")
     ).select("sample.*")
@@ -131,12 +138,18 @@ def log_ratios(counts: list[Row]) -> list[float] | None:
     if {row["random"] for row in counts} != {True, False}:
         return None
     n = {(row["random"], row["first"], row["second"]): row["n"] for row in counts}
+    logs = {}
+    for kind in (True, False):
+        into = {b: sum(n.get((kind, a, b), 0) for a in ALPHABET) + 1 for b in ALPHABET}
+        share = {b: into[b] / sum(into.values()) for b in ALPHABET}  # of a character wherever it stands
+        for a in ALPHABET:
+            total = sum(n.get((kind, a, b), 0) for b in ALPHABET) + BACK_OFF
+            for b in ALPHABET:
+                logs[kind, a, b] = math.log((n.get((kind, a, b), 0) + BACK_OFF * share[b]) / total)
     ratios = [0.0] * (128 * 128)
     for a in ALPHABET:
-        totals = {kind: sum(n.get((kind, a, b), 0) for b in ALPHABET) + len(ALPHABET) for kind in (True, False)}
         for b in ALPHABET:
-            logs = {kind: math.log((n.get((kind, a, b), 0) + 1) / totals[kind]) for kind in (True, False)}
-            ratios[128 * ord(a) + ord(b)] = logs[True] - logs[False]
+            ratios[128 * ord(a) + ord(b)] = logs[True, a, b] - logs[False, a, b]
     return ratios
 
 

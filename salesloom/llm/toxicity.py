@@ -3,12 +3,12 @@
 A text's features are the distinct character 3-, 4- and 5-grams of its lower-cased UTF-8 bytes, hashed to 2^18
 places. Each is scaled by the log ratio of its smoothed shares of the two classes (Wang and Manning, 2012), the
 vector is brought to length one, and a logistic regression with a quadratic penalty is fitted to it. The score is the
-regression's probability of label 1.
+regression's probability of label 1; its intercept is fixed at the prior log odds.
 
 Labels are learned from at most ``MAX_LABELLED`` labelled rows, chosen by a hash of their id, whose features are made
 in parallel and fitted in one task; the model is two arrays of 2^18 floats. Scoring is one pass over whole texts.
 
-A null text counts as empty and gets the score of the intercept alone, as does an empty one. Rows without a label are
+A null text counts as empty and gets the prior as its score, as does an empty one. Rows without a label are
 not learned from; with no labelled row the score is 0, with labels of one class the scores stay on that side. Rows that
 repeat count as often as they come. Only the named columns are read. An empty table gives no rows.
 """
@@ -109,7 +109,7 @@ def _fitted(rows: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.
         slope = np.empty(size + 1)
         slope[:-1] = np.bincount(places, weights=np.repeat(error.astype(np.float32), lengths) * value, minlength=size) / n
         slope[:-1] += 2 * PENALTY * weights[:-1]
-        slope[-1] = error.mean()
+        slope[-1] = 0.0  # the intercept stays the prior, which is what a text without known features gets
         fit = np.mean(np.logaddexp(0, z) - labels * z) + PENALTY * weights[:-1].dot(weights[:-1])
         return float(fit), slope
 

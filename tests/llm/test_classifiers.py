@@ -24,7 +24,7 @@ def labelled(spark):
             text[rng.randrange(len(text))] = rng.choice(["idiot", "scumbag", "moron"])
         rows.append((i, " ".join(text)))
         labels.append((i, int(toxic), "x"))
-    rows += [(9000, None), (9001, ""), (9002, "house " * 200_000), (None, "tree"), (9003, "IDIOT moron")]
+    rows += [(9000, None), (9001, ""), (9002, "house tree river green walk bread stone light " * 20_000), (None, "tree"), (9003, "IDIOT moron")]
     labels += [(None, 1, "x"), (7000, None, "x"), (7001, 1, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     return docs, spark.createDataFrame(labels, "doc_id long, toxic int, text string")
@@ -37,7 +37,7 @@ def test_toxicity_on_held_out_rows(labelled):
     assert len(found) == 605 and all(0 <= s <= 1 for s in found.values())
     wrong = [i for i in range(600) if held(i, 5) == 0 and (found[i] >= 0.5) != (i % 5 == 0)]
     assert len(wrong) <= 2
-    assert found[9000] == found[9001] < 0.5 < found[9003]
+    assert found[9000] == found[9001] < 0.5 and found[9002] < 0.5 < found[9003]
     again = toxicity.train(docs, labels, F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
     assert all(np.array_equal(a, b) for a, b in zip(model, again, strict=True))
 
