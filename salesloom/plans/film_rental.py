@@ -275,13 +275,13 @@ def in_stock_by_title(
     films = film.filter(F.col("title").ilike(pattern))
     copies = inventory.select("inventory_id", "film_id").join(films.select("film_id"), "film_id", "left_semi")
     latest = F.max(F.struct("rental_date", "customer_id"))
-    per_copy = rental.groupBy("inventory_id").agg(
+    # Only rentals of the copies asked for are totalled.
+    asked = in_set(rental, copies, "inventory_id")
+    per_copy = asked.groupBy("inventory_id").agg(
         F.count_if(F.col("return_date").isNull()).alias("open"), latest.alias("latest")
     )
-    # Catalyst moves this filter below the aggregate when the copies are few enough to broadcast.
-    asked = in_set(per_copy, copies, "inventory_id")
     per_film = (
-        copies.join(asked, "inventory_id", "left")
+        copies.join(per_copy, "inventory_id", "left")
         .groupBy("film_id")
         .agg(
             F.count(F.lit(1)).alias("copies"),

@@ -13,14 +13,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesloom.functions.dates import with_calendar
 from salesloom.functions.money import cents, from_cents, percent, percent_text, rounded_cents
 from salesloom.functions.text import grouped_number
 from salesloom.operators import frames
-from salesloom.operators.lookup import in_all_periods, in_set
 from salesloom.operators.pivots import crosstab, sums_by_value
 from salesloom.operators.ranking import top_dense_ranks, top_k_per_group
 
@@ -71,13 +70,14 @@ def consistent_top_customers(
 ) -> DataFrame:
     """Sales by channel of the customers ranked within ``rank`` in every one of ``years`` (ties share a rank)."""
     dated = sales.withColumn("calendar_year", F.year("time_id")).filter(F.col("calendar_year").isin(*years))
-    totals = _total(dated, "cust_id", "calendar_year", "channel_desc")
-    yearly = _total(totals, "cust_id", "calendar_year")
-    periods = len(set(years))
-    ranked = top_dense_ranks(yearly, ["calendar_year"], "amount_cents", rank)
-    cohort = in_all_periods(ranked, "cust_id", "calendar_year", periods)
+    totals = _total(dated, "cust_id", "calendar_year", "channel_desc").withColumn(
+        "year_cents", frames.group_total("amount_cents", ["cust_id", "calendar_year"])
+    )
+    ranked = top_dense_ranks(totals, ["calendar_year"], "year_cents", rank)
+    held = F.size(F.collect_set("calendar_year").over(Window.partitionBy("cust_id")))
+    cohort = ranked.withColumn("_years", held).filter(F.col("_years") == len(set(years)))
     return (
-        _total(in_set(totals, cohort, "cust_id"), "channel_desc", "cust_id")
+        _total(cohort, "channel_desc", "cust_id")
         .join(customers, "cust_id")
         .orderBy(F.col("amount_cents").desc(), "cust_id", "channel_desc")
         .select("channel_desc", "cust_id", *_name_columns(customers), from_cents("amount_cents").alias("amount_sold"))

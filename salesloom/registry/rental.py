@@ -212,7 +212,7 @@ def _stock_oracle(pattern: str, nulls: str) -> str:
 WITH copies AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem),
 rent AS (
   SELECT l_partkey, l_suppkey, o_custkey, o_orderdate AS rental_date, l_linestatus = 'O' AS is_out
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag <> 'N'),
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 picked AS (
   SELECT DISTINCT ON (title) p_name || ' ' || p_brand AS title, p_type AS language, c_name, rental_date
   FROM part JOIN copies ON copies.l_partkey = p_partkey
@@ -233,7 +233,7 @@ WHERE NOT EXISTS (SELECT 1 FROM numbered)
 
 
 def _in_stock(t: Tables, pattern: str, never_rented_first: bool = False) -> DataFrame:
-    rental = roles.rentals(t).filter(F.col("kind") != "N")
+    rental = roles.rentals(t)
     customer = t.customer.select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"))
     return reports.in_stock_by_title(
         roles.film(t), roles.inventory(t), rental, customer, pattern, never_rented_first
