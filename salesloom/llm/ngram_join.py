@@ -35,8 +35,8 @@ from salesloom.llm.shared import written
 from salesloom.llm.shingles import Bands, Parities, block_keys, parity, parity_words, shingle_set
 
 #: Keys that meet in a bucket, and keys of a packet, about.
-BUCKET_KEYS = 1 << 22
-PACKET_KEYS = 1 << 21
+BUCKET_KEYS = 1 << 21
+PACKET_KEYS = 1 << 20
 #: Sets of a tile: those that look for partners, and those they are compared with.
 TILE_SEEKERS, TILE_MEMBERS = 256, 1024
 #: Bits of the broadcast filter that lets the sets of possible members pass; others may pass too.
@@ -149,32 +149,33 @@ def _close(bands: Bands, sizes: np.ndarray, sketches: Parities, x, y: np.ndarray
 
 
 def _forest_of_bucket(bands: Bands):
-    def forest(rows: pd.DataFrame) -> pd.DataFrame:
+    def forest(rows: pa.Table) -> pa.Table:
         def joined(name: str, kind: str) -> np.ndarray:
-            return np.frombuffer(b"".join(rows[name]), kind)
+            return np.concatenate([np.frombuffer(value.as_buffer(), kind) for value in rows.column(name)])
 
-        counts, keys = joined("counts", "<i8"), joined("keys", "<u8")
         nodes, first, number = np.unique(joined("nodes", "<i8"), return_index=True, return_inverse=True)
         sizes = joined("sizes", "<i8")
         ends = np.cumsum(parity_words(sizes))
         sketches = Parities(sizes[first], (ends - parity_words(sizes))[first], joined("sketches", "<u8"))
         sizes = sizes[first]
-        owner = np.repeat(number, counts)
-        order = np.lexsort((owner, keys))
+        owner = np.repeat(number.astype(np.int32), joined("counts", "<i8"))
+        keys = joined("keys", "<u8")
+        order = np.argsort(keys, kind="stable")
         keys, owner = keys[order], owner[order]
-        new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])])
-        keys, owner = keys[new], owner[new]  # copies of a class in several packets
+        del order
         starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         lengths = np.diff(np.append(starts, len(keys)))
+        del keys
         trees = _Forest(len(nodes))
         twos = starts[lengths == 2]
         if len(twos):
-            pairs = np.unique(np.stack([owner[twos], owner[twos + 1]], axis=1), axis=0)
+            pairs = np.sort(np.stack([owner[twos], owner[twos + 1]], axis=1), axis=1)
+            pairs = np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
             pairs = pairs[_close(bands, sizes, sketches, pairs[:, 0], pairs[:, 1])]
             for x, y in pairs.tolist():
                 trees.join(x, y)
         for start, length in zip(starts[lengths > 2].tolist(), lengths[lengths > 2].tolist(), strict=True):
-            left = owner[start : start + length]
+            left = np.unique(owner[start : start + length])  # a class may be in several packets
             while len(left):
                 queue, left = [int(left[0])], left[1:]
                 while queue and len(left):
@@ -185,7 +186,7 @@ def _forest_of_bucket(bands: Bands):
                         queue.append(y)
                     left = left[~near]
         links = np.array(trees.links, np.int64).reshape(-1, 2)
-        return pd.DataFrame({"a": nodes[links[:, 0]], "b": nodes[links[:, 1]]})
+        return pa.table({"a": nodes[links[:, 0]], "b": nodes[links[:, 1]]})
 
     return forest
 
@@ -312,7 +313,7 @@ def join(
     keys = 2 * elements * (denominator - numerator) * 2 // (denominator + numerator)
     buckets = max(8, keys // BUCKET_KEYS)
     usable = rows.where("id is not null")
-    forest = packets(usable, words, bands, buckets).groupBy("bucket").applyInPandas(_forest_of_bucket(bands), "a long, b long")
+    forest = packets(usable, words, bands, buckets).groupBy("bucket").applyInArrow(_forest_of_bucket(bands), "a long, b long")
     trees = written(connected_components(forest).toDF("node", "tree"), "trees")
     sets = sets_of(usable, words, trees).groupBy("node").agg(F.first("shingles").alias("shingles"))
     members = written(sets.join(trees, "node"), "members")
