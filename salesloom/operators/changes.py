@@ -72,7 +72,8 @@ def missing_pairs(
     """(item, place) pairs absent from ``existing``.
 
     The places are cut into blocks of about ``block_rows``; an item meets each block once, as an array, and
-    keeps what it does not hold yet. Only missing pairs are ever emitted, and no array outgrows a block.
+    keeps what it does not hold yet. Only missing pairs are ever emitted, and no array outgrows a block. Items are
+    dealt evenly: each block is there once for every part of the items.
     """
     distinct_places = places.select(place).filter(F.col(place).isNotNull()).distinct()
     blocks = distinct_places.agg(
@@ -82,16 +83,20 @@ def missing_pairs(
     def block(df: DataFrame) -> DataFrame:
         return df.withColumn("_block", F.pmod(F.xxhash64(F.col(place)), blocks).cast("int"))
 
+    parts = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    every_part = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
     offered = block(distinct_places).groupBy("_block").agg(F.collect_list(place).alias("_offered"))
+    offered = offered.withColumn("_part", every_part)
     held = (
         block(in_set(existing.select(item, place), distinct_places, place))
         .groupBy(item, "_block")
         .agg(F.collect_set(place).alias("_held"))
     )
     asked = items.select(item).distinct().withColumn("_block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    asked = asked.withColumn("_part", F.pmod(F.xxhash64(item), F.lit(parts)).cast("int"))
     open_places = F.when(F.col("_held").isNull(), F.col("_offered")).otherwise(F.array_except("_offered", "_held"))
     return (
-        asked.join(offered, "_block")
+        asked.join(offered, ["_block", "_part"])
         .join(held, [item, "_block"], "left")
         .select(item, F.explode(open_places).alias(place))
     )

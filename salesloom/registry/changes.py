@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from salesloom.operators.lookup import (
 )
 from salesloom.plans import film_rental
 from salesloom.registry import query
-from salesloom.sources import roles
+from salesloom.sources import roles, storage
 from salesloom.sources.inline import literal_rows
 from salesloom.sources.tables import Tables
 
@@ -387,6 +388,24 @@ def load_batch_rejects(t: Tables) -> DataFrame:
     return rejects.select("name", "nation", "reject_reason")
 
 
+@query(
+    "append_and_read_back",
+    """
+SELECT s_name AS name, s_nationkey AS nation_id FROM supplier
+UNION ALL SELECT c_name, c_nationkey FROM customer WHERE LOWER(c_name) NOT IN (SELECT LOWER(s_name) FROM supplier)
+""",
+)
+def append_and_read_back(t: Tables) -> DataFrame:
+    """An append to a stored table that is tried twice, as after a lost answer, and the table read back."""
+    path = f"{storage.shared_folder(t.spark)}/suppliers-{uuid.uuid4().hex}"
+    storage.replace_table(t.supplier.select(F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation_id")), path)
+    batch = t.customer.select(F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation_id"))
+    for _ in range(2):
+        known = t.spark.read.schema(batch.schema).parquet(path)
+        storage.append_table(changes.rows_to_append(known, batch, ["name"], [F.col("nation_id")]), path)
+    return t.spark.read.schema(batch.schema).parquet(path)
+
+
 @query(
     "append_null_keys",
     """

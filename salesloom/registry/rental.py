@@ -13,6 +13,7 @@ from salesloom.plans import film_rental as reports
 from salesloom.registry import query
 from salesloom.sources import roles
 from salesloom.sources.tables import Tables
+from salesloom.sources.views import create_views
 
 _CATEGORY_ORACLE = """
 SELECT CAST(o_orderkey AS VARCHAR) AS title
@@ -185,6 +186,20 @@ def quarter_category_revenue(t: Tables) -> DataFrame:
     return reports.category_revenue_in_quarter(roles.payments(t), categories, dt.date(1998, 5, 17))
 
 
+@query(
+    "quarter_revenue_view",
+    """
+SELECT p_type AS category, SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS total_sales_revenue
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
+WHERE YEAR(o_orderdate) = 1998 AND QUARTER(o_orderdate) = 2 AND p_type LIKE '%O%'
+GROUP BY p_type
+""",
+)
+def quarter_revenue_view(t: Tables) -> DataFrame:
+    create_views({"sales_revenue_by_category_quarter": quarter_category_revenue(t)})
+    return t.spark.sql("SELECT * FROM sales_revenue_by_category_quarter WHERE category LIKE '%O%'")
+
+
 @query(
     "popular_part_per_nation",
     """
