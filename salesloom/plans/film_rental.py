@@ -236,15 +236,17 @@ def most_popular_by_country(
     """Most rented film of every country whose name matches the pattern (case-insensitive LIKE).
 
     ``rentals``: film_id and the country of the customer. Films are told apart by ``film_columns``, which are
-    returned; ties go to the lowest values. With ``check`` a pattern that matches none of ``countries``
-    raises ``LookupError``; a country without rentals gives no row.
+    returned; ties go to the lowest values. A country without rentals gives no row. With ``check`` a pattern that
+    matches none of ``countries``, or only countries without rentals, raises ``LookupError``.
     """
     require_text(country_pattern, "country")
     if check and countries.filter(F.col("country").ilike(country_pattern)).isEmpty():
         raise LookupError(f"no country matches {country_pattern!r}")
+    placed = rentals.filter(F.col("country").ilike(country_pattern))
+    if check and placed.isEmpty():
+        raise LookupError(f"no rental information for {country_pattern!r}")
     counts = (
-        rentals.filter(F.col("country").ilike(country_pattern))
-        .groupBy("country", "film_id")
+        placed.groupBy("country", "film_id")
         .agg(F.count(F.lit(1)).alias("n"))
         .join(film.select("film_id", *film_columns), "film_id")
         .groupBy("country", *film_columns)

@@ -204,21 +204,21 @@ def quarter_revenue_view(t: Tables) -> DataFrame:
     "popular_part_per_nation",
     """
 WITH counted AS (
-  SELECT n_name AS country, p_name || ' ' || p_brand AS title, p_type AS rating, p_size AS length,
+  SELECT n_name AS country, p_name || ' ' || p_brand AS title, p_type AS rating, p_type AS language, p_size AS length,
          p_size + 1970 AS release_year, COUNT(*) AS rental_count
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
        JOIN nation ON c_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey
   WHERE n_name ILIKE 'nation%' GROUP BY ALL),
 ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY country
-                     ORDER BY rental_count DESC, title, rating, length, release_year) AS rn FROM counted)
-SELECT country, title, rating, length, release_year, rental_count FROM ranked WHERE rn = 1
+                     ORDER BY rental_count DESC, title, rating, language, length, release_year) AS rn FROM counted)
+SELECT country, title, rating, language, length, release_year, rental_count FROM ranked WHERE rn = 1
 """,
 )
 def popular_part_per_nation(t: Tables) -> DataFrame:
     orders = roles.regional_orders(t).select("l_orderkey", "country")
     rentals = t.lineitem.select("l_orderkey", F.col("l_partkey").alias("film_id")).join(orders, "l_orderkey")
     countries = t.nation.select(F.col("n_name").alias("country"))
-    film_columns = ["title", "rating", "length", "release_year"]
+    film_columns = ["title", "rating", "language", "length", "release_year"]
     return reports.most_popular_by_country(rentals, roles.film(t), countries, "nation%", film_columns)
 
 
