@@ -139,11 +139,10 @@ def blocks_of(page: str) -> tuple[Node, list[tuple[Node, bool, bool, str]]]:
                 own = True
             if tag not in _INLINE:
                 node = node.child(label)
-            elif own != never and own:
+            elif own and not never:
                 ended()
             inside = inside or tag in ("article", "main")
-            if not match[3].endswith("/") or tag not in ("br", "hr"):
-                stack.append((tag, node, never or own, inside))
+            stack.append((tag, node, never or own, inside))
         elif not token.startswith(("<!", "<?")):
             if not parts or owner[1:3] != stack[-1][1:3]:
                 ended()

@@ -1,4 +1,4 @@
-"""What the operators of this folder share: written intermediate tables, clean column sets, literal arrays."""
+"""What the operators of this folder share: written intermediate tables, literal arrays, source for the workers."""
 
 from __future__ import annotations
 
@@ -32,12 +32,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def literal_strings(values: list[str], separator: str = "\x00") -> Column:
-    """An array<string> literal; one ``split`` of one literal, which the optimizer folds to a constant."""
-    return F.split(F.lit(separator.join(values)), separator, -1)
-
-
 def literal_doubles(values: list[float]) -> Column:
+    """An array<double> literal, which the optimizer folds to a constant."""
     return F.from_json(F.lit("[" + ",".join(repr(float(v)) for v in values) + "]"), "array<double>")
 
 
