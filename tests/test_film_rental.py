@@ -101,6 +101,8 @@ def test_top_lists(shop, payments, rentals):
         ("Alpha Dawn", 2, "G – General Audiences (All ages admitted)"),
         ("beta dawn", 1, "R – Restricted (Under 17 requires parent)"),
     ]
+    known = shop["actor"].filter("actor_id <> 1")  # the busiest has no row
+    assert [r.actor_id for r in rental.busiest_actors(shop["film_actor"], shop["film"], known, 2015, k=1).collect()] == [2]
     unrated = rental.most_rented(rentals.filter("film_id = 3"), shop["film"])
     assert unrated.first().expected_audience == "Not Rated"
     staff = shop["store"].select(F.col("store_id").alias("staff_id"), F.lit("S").alias("staff_name"), "address", "address2")

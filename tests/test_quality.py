@@ -5,6 +5,8 @@ from pyspark.sql import types as T
 
 from helpers import rows_of
 from salesloom.operators.quality import (
+    NotNull,
+    Unique,
     conform,
     grants_by_name,
     integrity_report,
@@ -139,3 +141,10 @@ def test_grant_goes_to_the_lowest_key_of_a_name(spark):
     people = spark.createDataFrame([(4, "MIA", "STONE"), (2, "MIA", "STONE")], "customer_id int, first string, last string")
     principals = spark.createDataFrame([("m", "MIA", "STONE"), ("x", "NO", "ONE")], "principal string, first string, last string")
     assert rows_of(grants_by_name(principals, people, ["first", "last"], "customer_id")) == [("m", 2)]
+
+
+def test_sample_keys_are_ordered_by_their_type(spark):
+    rows = spark.createDataFrame([(9, None), (10, None), (100, None), (100, None), (None, None)], "k int, v string")
+    rules = [NotNull("t", "v"), Unique("t", ("k",))]
+    out = integrity_report({"t": rows}, rules, {"t": ["k"]}).collect()
+    assert [(r.violations, r.first_key, r.last_key) for r in out] == [(5, "NULL", "100"), (1, "100", "100")]

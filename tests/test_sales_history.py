@@ -148,3 +148,13 @@ def test_fact_from_a_normalised_star(spark):
     assert [tuple(r) for r in top.collect()] == [("web", 2, "Re", "Bo", Decimal("10.00"), "97.1817%")]
     share = sales.channel_share_by_year(fact, ["asia"], 2000, 2000).first()
     assert share["% BY CHANNELS"] == 100
+
+
+def test_week_52_ends_with_its_iso_year(spark):
+    """The first of January 2012 is the last day of week 52 of 2011, not the first of week 52 of 2012."""
+    days = [D(2011, 12, 31), D(2012, 1, 1), D(2012, 1, 2), D(2012, 12, 24)]
+    fact = facts(spark, *[(1, 1, day, "web", 100) for day in days])
+    last = sales.weekly_running_sales(fact, 2012, 52, 52).collect()
+    assert [(r.time_id, r.cum_sum) for r in last] == [(D(2012, 12, 24), Decimal("1.00"))]
+    first = sales.weekly_running_sales(fact, 2012, 1, 1).collect()
+    assert [(r.time_id, r.centered_3_day_avg) for r in first] == [(D(2012, 1, 2), Decimal("1.00"))]
