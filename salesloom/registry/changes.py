@@ -270,7 +270,7 @@ def assign_customer_keys(t: Tables) -> DataFrame:
     "header_detail",
     """
 WITH pairs AS (SELECT o_custkey, l_partkey, l_returnflag FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
-fresh AS (SELECT DISTINCT o_custkey, l_partkey FROM pairs WHERE l_returnflag = 'A'
+fresh AS (SELECT DISTINCT o_custkey, l_partkey FROM pairs WHERE l_returnflag <> 'R'
           EXCEPT SELECT o_custkey, l_partkey FROM pairs WHERE l_returnflag = 'R'),
 headers AS (SELECT (SELECT MAX(o_orderkey) FROM orders) + ROW_NUMBER() OVER (ORDER BY o_custkey, l_partkey)
               AS rental_id, * FROM fresh)
@@ -283,7 +283,7 @@ def header_detail(t: Tables) -> DataFrame:
     pairs = roles.rentals(t).select("customer_id", "film_id", "kind")
     highest = changes.highest_key(t.orders, "o_orderkey")
     rented = pairs.filter(F.col("kind") == "R").select("customer_id", "film_id")
-    wanted = pairs.filter(F.col("kind") == "A").select("customer_id", "film_id")
+    wanted = pairs.filter(F.col("kind") != "R").select("customer_id", "film_id")
     key = ["customer_id", "film_id"]
     headers = changes.new_headers(rented, wanted, key, "rental_id", [F.col(c) for c in key], highest)
     prices = t.part.select(F.col("p_partkey").alias("film_id"), from_cents(cents("p_retailprice")).alias("amount"))
@@ -440,7 +440,7 @@ def keyed_update_duplicates(t: Tables) -> DataFrame:
     "rent_and_pay",
     """
 WITH lines AS (SELECT o_custkey, l_partkey, l_suppkey, l_returnflag FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
-requests AS (SELECT DISTINCT o_custkey, l_partkey FROM lines WHERE l_returnflag = 'A'),
+requests AS (SELECT DISTINCT o_custkey, l_partkey FROM lines WHERE l_returnflag <> 'R'),
 copies AS (SELECT DISTINCT l_partkey, l_suppkey, s_nationkey FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
 clerk AS (SELECT s_nationkey, MIN(s_suppkey) AS staff_id FROM supplier GROUP BY s_nationkey),
 wanted AS (
@@ -458,7 +458,7 @@ FROM numbered JOIN part ON l_partkey = p_partkey
 )
 def rent_and_pay(t: Tables) -> DataFrame:
     lines = roles.rentals(t)
-    requests = lines.filter(F.col("kind") == "A").select("customer_id", "film_id")
+    requests = lines.filter(F.col("kind") != "R").select("customer_id", "film_id")
     home = t.customer.select(F.col("c_custkey").alias("customer_id"), F.col("c_nationkey").alias("store_id"))
     staff = t.supplier.select(F.col("s_suppkey").alias("staff_id"), F.col("s_nationkey").alias("store_id"))
     shelf = F.col("inventory_id.l_suppkey") == F.col("staff_id")

@@ -47,7 +47,7 @@ _RULES = [
     Check("orders", "date from 1996", "o_orderdate >= TIMESTAMP_NTZ '1996-01-01 00:00:00'"),
     Check("orders", "total not negative", "o_totalprice >= 0"),
     Unique("orders", ("o_orderkey",)),
-    ForeignKey("orders", ("o_custkey",), "active_customer", ("c_custkey",)),
+    ForeignKey("orders", ("o_custkey",), "customer", ("c_custkey",)),
     NotNull("line", "closed_on"),
     Check("line", "closed after start of 1996", "closed_on >= TIMESTAMP_NTZ '1996-01-01 00:00:00'"),
     Check("line", "tax not below discount", "l_tax >= l_discount"),
@@ -55,7 +55,7 @@ _RULES = [
     Unique("line", ("l_orderkey", "l_linenumber")),
     Unique("line", ("returned",)),
     ForeignKey("line", ("l_orderkey",), "orders", ("o_orderkey",)),
-    ForeignKey("line", ("returned",), "small_part", ("p_partkey",)),
+    ForeignKey("line", ("returned",), "part", ("p_partkey",)),
 ]
 
 _LINE = """
@@ -91,9 +91,9 @@ _INTEGRITY_ORACLE = f"WITH {_LINE} " + " UNION ALL ".join(
         ),
         _counted(
             "orders",
-            "o_custkey in active_customer",
+            "o_custkey in customer",
             "orders",
-            "o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)",
+            "o_custkey NOT IN (SELECT c_custkey FROM customer)",
             "o_custkey",
         ),
         _counted("line", "closed_on not null", "line", "closed_on IS NULL", "key"),
@@ -119,9 +119,9 @@ _INTEGRITY_ORACLE = f"WITH {_LINE} " + " UNION ALL ".join(
         _counted("line", "l_orderkey in orders", "line", "l_orderkey NOT IN (SELECT o_orderkey FROM orders)", "l_orderkey"),
         _counted(
             "line",
-            "returned in small_part",
+            "returned in part",
             "line",
-            "returned IS NOT NULL AND returned NOT IN (SELECT p_partkey FROM part WHERE p_size <= 25)",
+            "returned IS NOT NULL AND returned NOT IN (SELECT p_partkey FROM part)",
             "returned",
         ),
     ]
@@ -141,8 +141,8 @@ def integrity_report_all(t: Tables) -> DataFrame:
     tables = {
         "orders": t.orders,
         "line": line,
-        "active_customer": t.customer.filter(F.col("c_acctbal") > 0),
-        "small_part": t.part.filter(F.col("p_size") <= 25),
+        "customer": t.customer,
+        "part": t.part,
     }
     return integrity_report(tables, _RULES, {"orders": ["o_orderkey"], "line": ["l_orderkey", "l_linenumber"]})
 
@@ -210,12 +210,12 @@ def visible_rows_per_principal(t: Tables) -> DataFrame:
     "grants_by_name",
     """
 SELECT 'buyer of ' || p_name || ' ' || p_type AS principal, MIN(p_partkey) AS l_partkey FROM part
-WHERE p_type <> 'SMALL' GROUP BY p_name, p_type
+GROUP BY p_name, p_type
 """,
 )
 def grants_by_part_name(t: Tables) -> DataFrame:
     people = t.part.select("p_name", "p_type", F.col("p_partkey").alias("l_partkey"))
-    known = people.filter(F.col("p_type") != "SMALL").select("p_name", "p_type").distinct()
+    known = people.select("p_name", "p_type").distinct()
     nobody = known.select(F.lit("nobody").alias("p_name"), "p_type").distinct()
     principal = F.concat_ws(" ", F.lit("buyer of"), "p_name", "p_type").alias("principal")
     principals = known.unionByName(nobody).select("p_name", "p_type", principal)
