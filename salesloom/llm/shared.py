@@ -50,7 +50,17 @@ def _shipped(application_id: str) -> None:
     SparkContext.getOrCreate().addPyFile(archive)
 
 
+#: Rows of an Arrow batch: texts and shingle sets are large, and the JVM keeps the memory of its largest batches.
+BATCH_ROWS = 1000
+_ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> SparkSession:
-    """Hand the library's source to the Python workers, once per application; Spark copies it to the executors."""
+    """Hand the library's source to the Python workers, once per application; Spark copies it to the executors.
+
+    Arrow batches are made smaller unless the session already asks for less than Spark's default.
+    """
     _shipped(spark.sparkContext.applicationId)
+    if int(spark.conf.get(_ROWS_SETTING, "10000")) >= 10_000:
+        spark.conf.set(_ROWS_SETTING, str(BATCH_ROWS))
     return spark
