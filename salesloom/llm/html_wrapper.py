@@ -3,8 +3,11 @@
 Pages become small DOM trees: one node per path of block elements, siblings of one label (tag and classes) are one
 node. Per host the commonest tree is the reference, and every other tree of the host is aligned with it by simple tree
 matching (Yang, 1991). The texts of aligned nodes are counted over all pages of the host, and over all hosts along the
-commonest tree of all. A node whose texts are few for the number of times it occurs is constant and belongs to the
-template; a node whose texts vary is a slot that holds content. Elements that are never article text by their tag or
+commonest tree of all. A node is constant and belongs to the template if nearly all pages have the same texts there; a
+node whose texts vary is a slot that holds content. A text counts once per page, and pages whose smallest text hash is
+the same count as one, so that repeats in a page count once, a group of copies once and one of near copies a few times.
+Where a host has too few such pages, the other hosts decide; a node in an article or main element that varies on other
+hosts is no template either. Elements that are never article text by their tag or
 class (menus, footers, adverts, forms, reader comments and the like) are left out of the slots, and in a page with an
 article or main element everything outside of it.
 
@@ -24,14 +27,17 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.llm.shared import written
 
-#: A node is constant if it occurs at least so often and has at most this share of distinct texts.
+#: A node is constant if at least so many pages have it, and texts that fewer than the rest of this share of them have
+#: are at most this share of the pages.
 LEAST_TEXTS = 8
 CONSTANT_SHARE = 0.2
+#: Hosts that must tell the same of a node for hosts with fewer pages.
+LEAST_HOSTS = 2
 
 _TOKEN = re.compile(r"<!--|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<")
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -247,41 +253,69 @@ def _aligned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(arrays, names)
 
 
+def _article() -> Column:
+    """The blocks that can be text of the article, before the template is taken away."""
+    blocks = F.filter("blocks", lambda b: ~b["never"])
+    return F.when(F.exists(blocks, lambda b: b["inside"]), F.filter(blocks, lambda b: b["inside"])).otherwise(blocks)
+
+
+def _judged(texts: DataFrame, nodes: DataFrame, *slot: str) -> DataFrame:
+    """slot, constant of the slots that enough pages have; texts have df, nodes have total (of df) and pages."""
+    counts = nodes.where(F.col(slot[-1]).isNotNull()).groupBy(*slot)
+    counts = counts.agg(F.sum("total").alias("total"), F.sum("pages").alias("pages")).where(F.col("pages") >= LEAST_TEXTS)
+    frequent = texts.groupBy(*slot, "text").agg(F.sum("df").alias("df")).where(F.col("df") >= (1 - CONSTANT_SHARE) * LEAST_TEXTS)
+    frequent = frequent.join(counts, list(slot)).where(F.col("df") >= (1 - CONSTANT_SHARE) * F.col("pages"))
+    frequent = frequent.groupBy(*slot).agg(F.sum("df").alias("same"))
+    varying = F.col("total") - F.coalesce("same", F.lit(0))
+    return counts.join(frequent, list(slot), "left").select(*slot, (varying <= CONSTANT_SHARE * F.col("pages")).alias("constant"))
+
+
+def _counted(texts: DataFrame, *node: str) -> tuple[DataFrame, DataFrame]:
+    """(node, text, df) and (node, total, pages, inside) of distinct (node, text, page)."""
+    by_text = texts.groupBy(*node, "text").agg(F.count(F.lit(1)).alias("df"), F.max("inside").alias("inside"))
+    totals = by_text.groupBy(*node).agg(F.sum("df").alias("total"), F.max("inside").alias("inside"))
+    pages = texts.groupBy(*node, "page").agg(F.lit(1).alias("one")).groupBy(*node).agg(F.count(F.lit(1)).alias("pages"))
+    return by_text.drop("inside"), totals.join(pages, list(node))
+
+
 def induced(pages: DataFrame) -> DataFrame:
     """host, tree, template (the constant nodes) for every kind of tree on every host, from parsed pages."""
-    texts = pages.select("host", "tree", "signature", F.posexplode_outer("blocks").alias("at", "block")).select(
-        "host",
-        "tree",
-        F.col("block.node").alias("node"),
-        F.xxhash64("block.text").alias("text"),
-        F.when(F.coalesce("at", F.lit(0)) == 0, F.col("signature")).alias("signature"),
+    told = pages.select(
+        "host", "tree", F.transform(_article(), lambda b: F.struct(b["node"].alias("node"), b["inside"].alias("inside"), F.xxhash64(b["text"]).alias("text"))).alias("told")
     )
-    texts = texts.groupBy("host", "tree", "node", "text").agg(
-        F.count(F.lit(1)).alias("n"), F.max("signature").alias("signature")
-    )
-    nodes = texts.groupBy("host", "tree", "node").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"), F.max("signature").alias("signature")
-    )
-    nodes = written(nodes, "nodes")
-    trees = nodes.groupBy("host", "tree").agg(F.max("signature").alias("signature"), F.sum("n").alias("n"))
+    told = told.withColumn("page", F.array_min(F.transform("told", lambda b: b["text"])))
+    texts = told.select("host", "tree", "page", F.inline(F.array_distinct("told")))
+    texts = texts.groupBy("host", "tree", "node", "text", "page").agg(F.max("inside").alias("inside"))
+    texts = written(texts, "texts")
+    by_text, nodes = (written(df, "nodes") for df in _counted(texts, "host", "tree", "node"))
+    signatures = pages.groupBy("tree").agg(F.max("signature").alias("signature"))
+    trees = written(nodes.groupBy("host", "tree").agg(F.max("pages").alias("n")).join(signatures, "tree"), "trees")
     largest = F.max_by("signature", F.struct("n", "tree"))
     references = trees.groupBy("host").agg(largest.alias("reference"))
     alike = trees.groupBy("tree").agg(F.max("signature").alias("signature"), F.sum("n").alias("n"))
     common = alike.agg(largest.alias("common")).first()["common"] or "()"
     pairs = trees.join(references, "host").select("host", "tree", "signature", "reference")
     pairs = pairs.withColumn("common", F.lit(common))
-    slots = pairs.mapInArrow(_aligned, "host string, tree long, node int, slot int, common_slot int")
-    slots = written(nodes.drop("signature").join(slots, ["host", "tree", "node"]), "slots")
-
-    def constant(*slot: str) -> DataFrame:
-        counts = slots.groupBy(*slot).agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"))
-        few = (F.col("n") >= LEAST_TEXTS) & (F.col("texts") <= CONSTANT_SHARE * F.col("n"))
-        return counts.where(few & F.col(slot[-1]).isNotNull()).select(*slot)
-
-    here = slots.join(constant("host", "slot"), ["host", "slot"], "left_semi")
-    everywhere = slots.join(constant("common_slot"), "common_slot", "left_semi")
-    both = here.select("host", "tree", "node").union(everywhere.select("host", "tree", "node"))
-    return both.groupBy("host", "tree").agg(F.collect_set("node").alias("template"))
+    slots = written(pairs.mapInArrow(_aligned, "host string, tree long, node int, slot int, common_slot int"), "slots")
+    node = ["host", "tree", "node"]
+    by_text, nodes = by_text.join(slots, node), written(nodes.join(slots, node), "aligned")
+
+    here = _judged(by_text, nodes, "host", "slot").withColumnRenamed("constant", "here")
+    verdicts = _judged(by_text, nodes, "host", "common_slot").groupBy("common_slot")
+    share = F.avg(F.col("constant").cast("int"))
+    verdicts = verdicts.agg(F.count(F.lit(1)).alias("hosts"), share.alias("share"))
+    # pages that several hosts have count once
+    shared = slots.select("tree", "node", "common_slot").distinct()
+    all_texts, all_nodes = (
+        df.join(shared, ["tree", "node"]) for df in _counted(texts.drop("host").distinct(), "tree", "node")
+    )
+    everywhere = _judged(all_texts, all_nodes, "common_slot").withColumnRenamed("constant", "everywhere")
+    others_agree = F.coalesce(F.col("share"), F.lit(1.0)) >= 1 - CONSTANT_SHARE
+    by_others = others_agree & (F.coalesce("everywhere", F.lit(False)) | (F.coalesce("hosts", F.lit(0)) >= LEAST_HOSTS))
+    found = nodes.join(here, ["host", "slot"], "left").join(verdicts, "common_slot", "left")
+    found = found.join(everywhere, "common_slot", "left")
+    constant = F.when(F.col("here").isNull(), by_others).otherwise(F.col("here") & (~F.col("inside") | others_agree))
+    return found.where(constant).groupBy("host", "tree").agg(F.collect_set("node").alias("template"))
 
 
 def extract(
@@ -291,13 +325,11 @@ def extract(
     rows = parsed(pages, id_column, url_column, html_column)
     wrappers = written(induced(rows), "wrappers")
     rows = rows.drop("signature").join(wrappers, ["host", "tree"], "left")
-    blocks = F.filter("blocks", lambda b: ~b["never"])
-    blocks = F.when(F.exists(blocks, lambda b: b["inside"]), F.filter(blocks, lambda b: b["inside"])).otherwise(blocks)
     template = F.coalesce("template", F.array().cast("array<int>"))
     slots = F.filter("article", lambda b: ~F.array_contains("known", b["node"]))
     kept = F.when(F.size(slots) > 0, slots).otherwise(F.col("article"))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
-    rows = rows.select("id", "url", blocks.alias("article"), template.alias("known")).select("id", "url", text.alias("text"))
+    rows = rows.select("id", "url", _article().alias("article"), template.alias("known")).select("id", "url", text.alias("text"))
     return rows.select(
         F.col("id").alias(id_column), F.col("url").alias(url_column), "text", F.length("text").cast("long").alias("n_chars")
     )

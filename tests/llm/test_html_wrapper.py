@@ -56,3 +56,26 @@ def test_article_alone_counts(spark):
     html = "<p>outside</p><article><header>top</header><h1>T</h1><p>in</p><div class=comments><p>me too</p></div></article>"
     pages = spark.createDataFrame([(1, "http://h/", html)], "page_id long, url string, html string")
     assert html_wrapper.extract(pages).first().text == "top\nT\nin"
+
+
+def test_repeats_and_copies_are_no_template(spark):
+    def story(k, paragraphs):
+        return f"<article><h1>Title {k}</h1>" + "".join(f"<p>{p}</p>" for p in paragraphs) + "</article>"
+
+    def plain(k, paragraphs):
+        return f"<div class=a>Home Shop</div><div class=b><h1>Title {k}</h1>" + "".join(f"<p>{p}</p>" for p in paragraphs) + "</div>"
+
+    rows, expected = [], {}
+    for base, host, make in ((0, "lines.example", story), (10_000, "plain.example", plain)):
+        for k in range(20):
+            paragraphs = [f"paragraph {k} {n} of {host}" for n in range(3)]
+            rows.append((base + k, f"http://{host}/{k}", make(k, paragraphs)))
+            expected[base + k] = "\n".join([f"Title {k}", *paragraphs])
+        rows.append((base + 99, f"http://{host}/long", make(99, ["the same line"] * 5_000)))
+        expected[base + 99] = "\n".join(["Title 99"] + ["the same line"] * 5_000)
+        for k in range(100, 400):  # copies, and near copies with one paragraph of their own
+            paragraphs = [f"copied {n}" for n in range(12)] + [f"changed {k}"] * (k % 2)
+            rows.append((base + k, f"http://{host}/{k}", make("copied", paragraphs)))
+            expected[base + k] = "\n".join(["Title copied", *paragraphs])
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_wrapper.extract(pages).collect()} == expected
