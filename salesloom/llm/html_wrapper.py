@@ -9,7 +9,8 @@ the same count as one, so that repeats in a page count once, a group of copies o
 Where a host has too few such pages, the other hosts decide; a node in an article or main element that varies on other
 hosts is no template either. Elements that are never article text by their tag or
 class (menus, footers, adverts, forms, reader comments and the like) are left out of the slots, and in a page with an
-article or main element everything outside of it.
+article or main element everything outside of it. Names count as whole class tokens, not on html, body, main and
+article nor on what is around the first article, and if they would empty a page they do not count on it.
 
 Trees are aligned once per distinct pair, not once per page. Texts are counted as hashes, combined before each
 shuffle; no host's pages meet in one task. A page all of whose slots look constant, as on a host that holds copies of
@@ -55,13 +56,21 @@ _CLOSES = {  # a start tag on the left ends an open element on the right
 }
 _SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}}
 _NEVER_TAGS = set("head nav footer aside form button select dialog menu object audio video canvas".split())
-_NEVER_NAME = re.compile(
-    r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|breadcrumbs?|footer|sidebar|side|ads?|advert\w*|sponsor\w*|promo\w*|"
+#: Names of what is no article text, as whole words of class, id or role; also several of them, or with words of layout.
+_NEVER_WORD = (
+    r"(?:nav|navbar|navigation|menu|breadcrumbs?|footer|sidebar|side|ads?|advert\w*|sponsor\w*|promo\w*|"
     r"banner|cookies?|consent|notice|popup|modal|comments?|replies|respond|disqus|share|sharing|social|related|"
     r"recommend\w*|newsletter|subscribe|subscription|login|search|widget|pagination|pager|toolbar|masthead|"
-    r"contentinfo|complementary|skip)(?:$|[\s_-])",
-    re.I,
+    r"contentinfo|complementary|skip)"
+)
+_LAYOUT_WORD = r"(?:site|main|top|bottom|area|container|wrapper|wrap|box|block|bar|list|links?|buttons?|posts|section|form)"
+_NEVER_NAME = re.compile(
+    rf"(?:^|\s)(?:{_LAYOUT_WORD}[_-]+)*{_NEVER_WORD}(?:[_-]+(?:{_NEVER_WORD}|{_LAYOUT_WORD}))*(?:$|\s)", re.I
 )
+#: Elements that hold the article whatever their names are.
+_HOLDERS = {"html", "body", "main", "article"}
+#: How surely a block is no article text: not at all, by a name or a form around it, by its tag.
+_BY_NAME, _BY_TAG = 1, 2
 
 
 class Node:
@@ -74,22 +83,27 @@ class Node:
         return self.children.setdefault(label, Node(label))
 
 
-def _label(tag: str, attributes: str) -> tuple[str, bool]:
-    """Label of a node and whether its tag or its names say that it is no article text."""
+def _label(tag: str, attributes: str) -> tuple[str, int]:
+    """Label of a node and whether its tag or its names say that it is no article text (0, _BY_NAME or _BY_TAG)."""
     names = {}
     if "=" in attributes:
         names = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
-    never = tag in _NEVER_TAGS or any(_NEVER_NAME.search(name) for name in names.values())
+    never = 0
+    if tag in _NEVER_TAGS:
+        never = _BY_NAME if tag == "form" else _BY_TAG  # some sites wrap whole pages in a form
+    elif tag not in _HOLDERS and any(_NEVER_NAME.search(name) for name in names.values()):
+        never = _BY_NAME
     classes = ".".join(sorted(re.sub(r"[\d(),]+", "", names.get("class", "")).split()))
     return (f"{tag}.{classes}" if classes else tag), never
 
 
-def blocks_of(page: str) -> tuple[Node, list[tuple[Node, bool, bool, str]]]:
+def blocks_of(page: str) -> tuple[Node, list[tuple[Node, int, bool, str]]]:
     """The tree of a page and its blocks of text: node, whether it is never article text, whether in an article."""
     root = Node("")
-    blocks: list[tuple[Node, bool, bool, str]] = []
+    blocks: list[tuple[Node, int, bool, str]] = []
     # open elements: tag, node (that of the nearest block), never, inside an article
-    stack: list[tuple[str, Node, bool, bool]] = [("", root, False, False)]
+    stack: list[tuple[str, Node, int, bool]] = [("", root, 0, False)]
+    held = False  # whether an article or main element has begun
     parts: list[str] = []
     owner = stack[0]
 
@@ -139,16 +153,19 @@ def blocks_of(page: str) -> tuple[Node, list[tuple[Node, bool, bool, str]]]:
                     if open_tag in _CLOSES.get(tag, ()) or open_tag == "p":
                         close(at)
                         break
+            if tag in ("article", "main") and not held:  # names around the first of them tell nothing
+                held = True
+                stack[:] = [(t, n, 0 if v == _BY_NAME else v, i) for t, n, v, i in stack]
             _, node, never, inside = stack[-1]
             label, own = _label(tag, match[3])
             if tag == "header" and not inside:
-                own = True
+                own = _BY_TAG
             if tag not in _INLINE:
                 node = node.child(label)
-            elif own and not never:
+            elif own > never:
                 ended()
             inside = inside or tag in ("article", "main")
-            stack.append((tag, node, never or own, inside))
+            stack.append((tag, node, max(never, own), inside))
         elif not token.startswith(("<!", "<?")):
             if not parts or owner[1:3] != stack[-1][1:3]:
                 ended()
@@ -211,8 +228,8 @@ def matched(reference: Node, other: Node) -> dict[int, int]:
     return match(reference, other)[1]
 
 
-_BLOCK = pa.struct([("node", pa.int32()), ("never", pa.bool_()), ("inside", pa.bool_()), ("text", pa.string())])
-_PARSED = "id {id}, url string, host string, signature string, blocks array<struct<node:int,never:boolean,inside:boolean,text:string>>"
+_BLOCK = pa.struct([("node", pa.int32()), ("never", pa.int8()), ("inside", pa.bool_()), ("text", pa.string())])
+_PARSED = "id {id}, url string, host string, signature string, blocks array<struct<node:int,never:tinyint,inside:boolean,text:string>>"
 
 
 def _parsed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,7 +272,9 @@ def _aligned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _article() -> Column:
     """The blocks that can be text of the article, before the template is taken away."""
-    blocks = F.filter("blocks", lambda b: ~b["never"])
+    blocks = F.filter("blocks", lambda b: b["never"] == 0)
+    unnamed = F.filter("blocks", lambda b: b["never"] <= _BY_NAME)
+    blocks = F.when(F.size(blocks) > 0, blocks).otherwise(unnamed)  # names and forms never empty a page
     return F.when(F.exists(blocks, lambda b: b["inside"]), F.filter(blocks, lambda b: b["inside"])).otherwise(blocks)
 
 

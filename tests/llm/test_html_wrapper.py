@@ -79,3 +79,22 @@ def test_repeats_and_copies_are_no_template(spark):
             expected[base + k] = "\n".join(["Title copied", *paragraphs])
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert {r.page_id: r.text for r in html_wrapper.extract(pages).collect()} == expected
+
+
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        ("<body class='no-sidebar'><p>a</p></body>", "a"),
+        ("<html class=search><body class='side login'><p>a</p></body></html>", "a"),
+        ("<div id=page class='has-search'><p>a</p><div class='ad site-footer'>x</div></div>", "a"),
+        ("<article class='post comments-open'><p>a</p><div class='comments-area'><article>x</article></div></article>", "a"),
+        ("<div class=sidebar><main class='content side'><p>a</p></main></div><div class=menu><p>x</p></div>", "a"),
+        ("<form><div class=widget><article><p>a</p></article><article><p>b</p></article></div></form>", "a\nb"),
+        ("<div class='sidebar'><p>a</p></div><nav>x</nav>", "a"),
+        ("<form><p>a</p><footer>x</footer></form>", "a"),
+        ("<nav>x</nav><p>a</p><div class=comment-list>x</div>", "a"),
+    ],
+)
+def test_names_do_not_empty_a_page(spark, page, expected):
+    pages = spark.createDataFrame([(1, "http://h/", page)], "page_id long, url string, html string")
+    assert html_wrapper.extract(pages).first().text == expected
