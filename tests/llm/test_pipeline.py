@@ -11,7 +11,7 @@ ROOT = "/root/testdata/sf0.001"
 
 def test_registered_queries():
     jobs = driver.queries()
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert sum(name.startswith(f"op{number}_") for name in jobs) == 1
     assert jobs["pipeline"] is corpus_pipeline.run and len(corpus_pipeline.STAGES) == 5
     assert set(queries.ORACLES) <= set(driver.oracle_sql())
@@ -20,7 +20,7 @@ def test_registered_queries():
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_matches_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages", "embeddings", "labels"):
+    for table in ("documents", "pages", "embeddings", "labels", "conversations"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{ROOT}/{table}.parquet')")
     df = queries.QUERIES[name](spark, ROOT)
     expected = duck.execute(queries.ORACLES[name])
