@@ -18,6 +18,7 @@ from salesloom.llm import (
     language_id,
     ngram_join,
     packing,
+    quality_rules,
     secret_scan,
     toxicity,
     warc,
@@ -142,6 +143,17 @@ def op10_language_id(documents: DataFrame) -> DataFrame:
     return found.select("doc_id", (_id_hash(3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+@_query("op11_quality_rules", "documents labels")
+def op11_quality_rules(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    model = quality_rules.train(documents, labels, _id_hash(4) != 2)
+    return quality_rules.scored(documents, model).select(
+        "doc_id",
+        (_id_hash(4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 @_query("op12_embedding_whitening", "embeddings")
 def op12_embedding_whitening(embeddings: DataFrame) -> DataFrame:
     rows = embedding_whitening.encoded(embedding_whitening.whole_numbers(embeddings))
