@@ -68,3 +68,9 @@ def calendar_of(df: DataFrame, moment: str, day: str = "time_id") -> DataFrame:
     """Calendar dimension: one row per day that occurs in ``df``, with all attributes."""
     days = df.filter(F.col(moment).isNotNull()).select(F.to_date(moment).alias(day)).distinct()
     return with_calendar(days, day)
+
+
+def dense_calendar(df: DataFrame, moment: str, day: str = "time_id") -> DataFrame:
+    """One row per calendar day from the first to the last day of ``df``, days that do not occur included."""
+    ends = df.agg(F.min(F.to_date(moment)).alias("first"), F.max(F.to_date(moment)).alias("last"))
+    return ends.filter(F.col("first").isNotNull()).select(F.explode(F.sequence("first", "last")).alias(day))

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from salesloom.functions.text import folded
 from salesloom.operators.lookup import in_set, not_in_set, resolve_keys, split_rejects
-from salesloom.operators.ranking import latest_per_key, number_rows
+from salesloom.operators.ordered import By, number_rows
+from salesloom.operators.ranking import latest_per_key
 
 
 def split_null_keys(batch: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -174,11 +175,13 @@ def assign_keys(
 ) -> DataFrame:
     """Give each row of ``batch`` the next surrogate keys after the highest one in ``existing``.
 
-    ``highest`` is that key where the caller knows it. The numbers rest on a frozen copy of the batch, so every job
-    derived from the result sees the same keys.
+    ``highest`` is that key where the caller knows it. Rows equal in ``order`` follow their other columns, so the keys
+    depend on values only and every job derived from the result sees the same ones.
     """
     highest = highest_key(existing, key) if highest is None else highest
-    return number_rows(batch, order, "_number").withColumn(key, F.col("_number") + highest).drop("_number")
+    by = [By.of(item) for item in order]
+    others = [f.name for f in batch.schema if f.name not in {b.column for b in by} and f.dataType.typeName() != "map"]
+    return number_rows(batch, [*by, *others], "_number").withColumn(key, F.col("_number") + highest).drop("_number")
 
 
 def new_headers(

@@ -1,4 +1,4 @@
-"""Top-k, ranks, latest row per key and row numbers without a one-task window."""
+"""Top-k, ranks and latest row per key; row numbers and the nth row come from ``ordered``."""
 
 from __future__ import annotations
 
@@ -7,10 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesloom.sources.storage import frozen
+from salesloom.operators.ordered import nth_row, number_rows
 
-# monotonically_increasing_id keeps the partition number above this many bits.
-_POSITION_BITS = 33
+__all__ = ["latest_per_key", "nth_row", "number_rows", "top_dense_ranks", "top_k_per_group"]
 
 
 def top_k_per_group(
@@ -18,14 +17,11 @@ def top_k_per_group(
 ) -> DataFrame:
     """First ``k`` rows of each group; ``order`` must end in a unique key.
 
-    Every group is first cut to ``k`` rows in each of as many hashed parts as there are shuffle partitions,
-    so a group of any size reaches its last task as at most ``k`` rows per part.
+    One shuffle: every task first cuts its groups to ``k`` rows, so a group of any size reaches its last task as at
+    most ``k`` rows per task. Spark does so up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000); with a
+    greater ``k`` a whole group is sorted in one task, spilled to disk where it has to be.
     """
     rank = column or "_rank"
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parted = df.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(parts)))
-    window = Window.partitionBy(*group, "_part").orderBy(*order)
-    df = parted.withColumn("_first", F.row_number().over(window)).filter(F.col("_first") <= k).drop("_part", "_first")
     ranked = df.withColumn(rank, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
     kept = ranked.filter(F.col(rank) <= k)
     return kept if column else kept.drop(rank)
@@ -49,35 +45,3 @@ def top_dense_ranks(
     distinct = df.select(*keys).filter(F.col(value).isNotNull()).distinct()
     ranks = top_k_per_group(distinct, group, [F.col(value).desc_nulls_last()], n, column)
     return df.join(ranks, keys)
-
-
-def number_rows(df: DataFrame, order: Sequence[Column], column: str = "row_num") -> DataFrame:
-    """Consecutive numbers 1, 2, ... over the whole relation in ``order``.
-
-    Rows are range-partitioned and sorted, then frozen with their position inside the partition;
-    only the partition sizes (one row per partition) go through a running total. ``order`` should
-    identify a row: rows equal in all its columns land in one partition.
-    """
-    placed = frozen(
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_position", F.monotonically_increasing_id())
-    ).withColumn("_slice", F.shiftright("_position", _POSITION_BITS))
-    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy("_slice")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    )
-    local = F.col("_position").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    # One row per partition of the frozen copy: small whatever the table holds.
-    return (
-        placed.join(F.broadcast(offsets), "_slice")
-        .withColumn(column, F.col("_offset") + local + 1)
-        .drop("_slice", "_offset", "_position")
-    )
-
-
-def nth_row(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
-    """The row at position ``n`` (from 0) of the ordered relation."""
-    return df.orderBy(*order).offset(n).limit(1)

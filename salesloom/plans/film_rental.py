@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from salesloom.functions.dates import in_window, in_years, months_later, ntz, quarter_bounds, whole_days
 from salesloom.functions.money import from_cents
 from salesloom.functions.text import concat_skip_nulls, folded, require_text, same_text
-from salesloom.operators.changes import assign_keys, highest_key, new_headers, rows_to_append
+from salesloom.operators.changes import assign_keys, highest_key, rows_to_append
 from salesloom.operators.gaps import longest_gap, longest_gap_by_set
-from salesloom.operators.lookup import in_set, label_by_value, lowest_dimension_key, with_counts
+from salesloom.operators.lookup import in_set, label_by_value, lowest_dimension_key, not_in_set, with_counts
+from salesloom.operators.ordered import By, numbers_within
 from salesloom.operators.ranking import latest_per_key, number_rows, top_k_per_group
 from salesloom.sources.inline import with_fallback_row
 
@@ -360,6 +361,37 @@ def new_films(
     return rows, resolved.filter(F.col("reject_reason").isNotNull())
 
 
+def _asked(requests: DataFrame, customer: DataFrame) -> DataFrame:
+    """Distinct requests with the customer's own store."""
+    asked = requests.select("customer_id", "film_id").distinct()
+    return asked.join(customer.select("customer_id", "store_id"), "customer_id")
+
+
+def _every_copy(asked: DataFrame, copies: DataFrame, rental: DataFrame) -> DataFrame:
+    """Each copy goes to the lowest customer who asks for its film and never had this copy."""
+    natural = ["customer_id", "inventory_id"]
+    wanted = not_in_set(asked.join(copies, ["film_id", "store_id"]), rental, natural)
+    return wanted.groupBy("inventory_id", "film_id", "store_id").agg(F.min("customer_id").alias("customer_id"))
+
+
+def _one_copy_each(asked: DataFrame, copies: DataFrame, rental: DataFrame) -> DataFrame:
+    """Requests and copies of a film and store are ranked and joined by rank, so a copy has one renter at most.
+
+    A pair that was together before is undone; what is left on both sides is ranked again, copies from the last one.
+    """
+    place, natural = ["film_id", "store_id"], ["customer_id", "inventory_id"]
+
+    def paired(waiting: DataFrame, free: DataFrame, descending: bool) -> DataFrame:
+        left = numbers_within(waiting, place, ["customer_id"], "turn")
+        right = numbers_within(free, place, [By("inventory_id", descending)], "turn")
+        return not_in_set(left.join(right, [*place, "turn"]).drop("turn"), rental, natural)
+
+    first = paired(asked, copies, descending=False)
+    waiting = not_in_set(asked, first, ["customer_id", *place])
+    second = paired(waiting, not_in_set(copies, first, "inventory_id"), descending=True)
+    return first.unionByName(second)
+
+
 def rent_films(
     requests: DataFrame,
     customer: DataFrame,
@@ -371,23 +403,24 @@ def rent_films(
     rental_day: dt.date,
     payment_day: dt.date,
     highest_rental: Column | None = None,
+    one_each: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Rent the requested (customer_id, film_id) and pay: (new rentals, new payments).
 
-    Every copy of the film in the customer's own store is rented unless the customer had it before; the
-    first employee of the store serves. A payment follows its rental through the new rental key.
+    A copy has one renter, and nobody rents a copy that they had before. Every copy of the film in the customer's own
+    store is rented, each to the lowest customer who can have it; with ``one_each`` a request gets one copy, requests
+    are served in the order of customers. The first employee of the store serves. A payment follows its rental through
+    the new rental key. ``unmet_requests`` lists what nothing was rented for.
     """
-    copies = (
-        requests.select("customer_id", "film_id")
-        .distinct()
-        .join(customer.select("customer_id", "store_id"), "customer_id")
-        .join(inventory.select("inventory_id", "film_id", "store_id"), ["film_id", "store_id"])
-        .join(staff.groupBy("store_id").agg(F.min("staff_id").alias("staff_id")), "store_id", "left")
-        .join(film.select("film_id", "rental_duration", "rental_rate_cents"), "film_id")
-    )
+    asked = _asked(requests, customer)
+    shelf = inventory.select("inventory_id", "film_id", "store_id")
+    given = (_one_copy_each if one_each else _every_copy)(asked, shelf, rental)
+    copies = given.join(
+        staff.groupBy("store_id").agg(F.min("staff_id").alias("staff_id")), "store_id", "left"
+    ).join(film.select("film_id", "rental_duration", "rental_rate_cents"), "film_id")
     natural = ["customer_id", "inventory_id"]
     top_rental = highest_key(rental, "rental_id") if highest_rental is None else highest_rental
-    rented = new_headers(rental, copies, natural, "rental_id", [F.col(c) for c in natural], top_rental)
+    rented = assign_keys(rental, copies, "rental_id", natural, top_rental)
     rentals = rented.select(
         "rental_id",
         F.lit(rental_day).alias("rental_date"),
@@ -408,6 +441,26 @@ def rent_films(
     return rentals, payments
 
 
+def unmet_requests(
+    requests: DataFrame, customer: DataFrame, film: DataFrame, inventory: DataFrame, rentals: DataFrame
+) -> DataFrame:
+    """Requests (customer_id, film_id) that ``rentals`` of ``rent_films`` hold no copy for, with the reason."""
+    place = ["film_id", "store_id"]
+    served = rentals.join(inventory.select("inventory_id", "film_id"), "inventory_id").select("customer_id", "film_id")
+    asked = not_in_set(requests.select("customer_id", "film_id").distinct(), served, ["customer_id", "film_id"])
+    homes = customer.select("customer_id", "store_id", F.lit(True).alias("_customer"))
+    known = film.select("film_id", F.lit(True).alias("_film")).distinct()
+    shelf = inventory.select(*place, F.lit(True).alias("_copy")).distinct()
+    looked_up = asked.join(homes, "customer_id", "left").join(known, "film_id", "left").join(shelf, place, "left")
+    reason = (
+        F.when(F.col("_customer").isNull(), "customer not found")
+        .when(F.col("_film").isNull(), "film not found")
+        .when(F.col("_copy").isNull(), "no copy in the store")
+        .otherwise("no copy left")
+    )
+    return looked_up.select("customer_id", "film_id", reason.alias("reject_reason"))
+
+
 def loyal_customers(
     payments: DataFrame, customer: DataFrame, min_purchases: int, min_cents: int, period_end: dt.date, months: int = 3
 ) -> DataFrame:

@@ -16,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesloom.functions.dates import with_calendar
+from salesloom.functions.dates import dense_calendar, with_calendar
 from salesloom.functions.money import cents, from_cents, percent, percent_text, rounded_cents
 from salesloom.functions.text import grouped_number
 from salesloom.operators import frames
@@ -74,11 +74,16 @@ def consistent_top_customers(
         "year_cents", frames.group_total("amount_cents", ["cust_id", "calendar_year"])
     )
     ranked = top_dense_ranks(totals, ["calendar_year"], "year_cents", rank)
-    held = F.size(F.collect_set("calendar_year").over(Window.partitionBy("cust_id")))
-    cohort = ranked.withColumn("_years", held).filter(F.col("_years") == len(set(years)))
+    periods = sorted(set(years))
+    year = F.element_at(F.create_map(*[F.lit(x) for i, y in enumerate(periods) for x in (y, 1 << i)]), F.col("calendar_year"))
+    # One bit per year: combined in the map tasks, then over the few channels of a customer.
+    by_channel = ranked.groupBy("channel_desc", "cust_id").agg(
+        F.sum("amount_cents").alias("amount_cents"), F.bit_or(year).alias("_years")
+    )
+    held = F.bit_or("_years").over(Window.partitionBy("cust_id"))
+    cohort = by_channel.withColumn("_held", held).filter(F.col("_held") == (1 << len(periods)) - 1)
     return (
-        _total(cohort, "channel_desc", "cust_id")
-        .join(customers, "cust_id")
+        cohort.join(customers, "cust_id")
         .orderBy(F.col("amount_cents").desc(), "cust_id", "channel_desc")
         .select("channel_desc", "cust_id", *_name_columns(customers), from_cents("amount_cents").alias("amount_sold"))
     )
@@ -127,10 +132,11 @@ def weekly_running_sales(
     week = dt.timedelta(days=7)
     first, last = (monday - week, sunday + week) if edge_weeks else (monday, sunday)
     days = with_calendar(_total(sales, "time_id"), "time_id", "calendar_week_number", "day_name")
+    days = days.withColumn("_monday", F.date_trunc("week", "time_id"))  # week numbers repeat at the edges of a year
     read = days.filter(F.col("time_id").between(F.lit(first), F.lit(last)))
     framed = read.withColumns(
         {
-            "running": frames.running_sum("amount_cents", "time_id", ["calendar_week_number"]),
+            "running": frames.running_sum("amount_cents", "time_id", ["_monday"]),
             "centred": frames.centred_average("amount_cents", "time_id"),
         }
     )
@@ -144,7 +150,7 @@ def weekly_running_sales(
             from_cents("running").alias("cum_sum"),
             from_cents(rounded_cents(F.col("centred"))).alias("centered_3_day_avg"),
         )
-        .orderBy("calendar_week_number", "time_id")
+        .orderBy("time_id")
     )
 
 
@@ -243,3 +249,21 @@ def month_region_pivot(
     )
 
 
+
+
+def daily_balance(sales: DataFrame) -> DataFrame:
+    """Every calendar day from the first to the last sale: the day's sales, the latest day with sales, its sales, and
+    the running balance. Days without sales carry the latest values forward."""
+    totals = _total(sales, "time_id")
+    days = dense_calendar(totals, "time_id", "day").join(totals, F.col("day") == F.col("time_id"), "left")
+    upto = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # one row per calendar day
+    latest = F.last(F.when(F.col("amount_cents").isNotNull(), F.struct("time_id", "amount_cents")), ignorenulls=True)
+    carried = days.withColumns({"latest": latest.over(upto), "balance": F.sum("amount_cents").over(upto)})
+    return with_calendar(carried, "day", "day_name").orderBy("day").select(
+        "day",
+        "day_name",
+        from_cents(F.coalesce("amount_cents", F.lit(0))).alias("sales"),
+        F.col("latest.time_id").alias("last_sales_day"),
+        from_cents("latest.amount_cents").alias("last_sales"),
+        from_cents("balance").alias("balance"),
+    )

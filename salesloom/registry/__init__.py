@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from salesloom.sources.tables import Tables
 
-_MODULES = ("sales", "rental", "gaps", "orders", "changes", "quality")
+_MODULES = ("sales", "rental", "gaps", "orders", "changes", "quality", "ordered")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}

@@ -406,6 +406,28 @@ def append_and_read_back(t: Tables) -> DataFrame:
     return t.spark.read.schema(batch.schema).parquet(path)
 
 
+@query(
+    "append_retried",
+    """
+SELECT s_name AS name, s_nationkey AS nation_id FROM supplier
+UNION ALL SELECT c_name, c_nationkey FROM customer WHERE LOWER(c_name) NOT IN (SELECT LOWER(s_name) FROM supplier)
+UNION ALL SELECT c_name || ' jr', c_nationkey FROM customer WHERE c_custkey % 2 = 0
+""",
+)
+def append_retried(t: Tables) -> DataFrame:
+    """Three loads of a stored table, each tried twice as after a lost answer; a second try replaces the first."""
+    path = f"{storage.shared_folder(t.spark)}/people-{uuid.uuid4().hex}"
+    people = t.customer.select(F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation_id"))
+    children = t.customer.filter(F.pmod("c_custkey", F.lit(2)) == 0)
+    children = children.select(F.concat("c_name", F.lit(" jr")).alias("name"), F.col("c_nationkey").alias("nation_id"))
+    storage.append_batch(t.supplier.select(F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation_id")), path, "0")
+    for batch_id, batch in (("1", people), ("2", children)):
+        for _ in range(2):
+            known = storage.stored(t.spark, path, people.schema, without=batch_id)
+            storage.append_batch(changes.rows_to_append(known, batch, ["name"], [F.col("nation_id")]), path, batch_id)
+    return storage.stored(t.spark, path, people.schema)
+
+
 @query(
     "append_null_keys",
     """
@@ -436,27 +458,49 @@ def keyed_update_duplicates(t: Tables) -> DataFrame:
     return changes.update_matched(target, asked, ["c_custkey"], ["c_mktsegment"], [F.col("o_orderkey").desc()])
 
 
-@query(
-    "rent_and_pay",
-    """
+_RENTING = """
 WITH lines AS (SELECT o_custkey, l_partkey, l_suppkey, l_returnflag FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 requests AS (SELECT DISTINCT o_custkey, l_partkey FROM lines WHERE l_returnflag <> 'R'),
+history AS (SELECT DISTINCT o_custkey, l_partkey, l_suppkey FROM lines WHERE l_returnflag = 'R'),
 copies AS (SELECT DISTINCT l_partkey, l_suppkey, s_nationkey FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
 clerk AS (SELECT s_nationkey, MIN(s_suppkey) AS staff_id FROM supplier GROUP BY s_nationkey),
-wanted AS (
-  SELECT r.o_custkey, c.l_partkey, c.l_suppkey, staff_id FROM requests r JOIN customer ON c_custkey = r.o_custkey
-         JOIN copies c ON c.l_partkey = r.l_partkey AND c.s_nationkey = c_nationkey
-         JOIN clerk ON clerk.s_nationkey = c_nationkey
-  WHERE NOT EXISTS (SELECT 1 FROM lines h WHERE h.l_returnflag = 'R' AND h.o_custkey = r.o_custkey
-                    AND h.l_partkey = c.l_partkey AND h.l_suppkey = c.l_suppkey)),
-numbered AS (SELECT *, ROW_NUMBER() OVER (ORDER BY o_custkey, l_partkey, l_suppkey) AS n FROM wanted)
+asked AS (SELECT o_custkey, l_partkey, c_nationkey AS s_nationkey FROM requests JOIN customer ON c_custkey = o_custkey)
+"""
+
+_RENTED = """
+numbered AS (
+  SELECT given.*, staff_id, ROW_NUMBER() OVER (ORDER BY o_custkey, l_partkey, l_suppkey) AS n
+  FROM given JOIN clerk USING (s_nationkey))
 SELECT (SELECT MAX(o_orderkey) FROM orders) + n AS rental_id, (SELECT MAX(o_custkey) FROM orders) + n AS payment_id,
        o_custkey AS customer_id, l_partkey AS film_id, l_suppkey AS supplier_id, staff_id,
        CAST(DATE '2017-01-01' + p_size AS DATE) AS return_date, CAST(p_size AS DECIMAL(38,2)) AS amount
 FROM numbered JOIN part ON l_partkey = p_partkey
-""",
-)
-def rent_and_pay(t: Tables) -> DataFrame:
+"""
+
+_EVERY_COPY = """
+given AS (
+  SELECT l_partkey, l_suppkey, s_nationkey, MIN(o_custkey) AS o_custkey
+  FROM asked JOIN copies USING (l_partkey, s_nationkey) ANTI JOIN history USING (o_custkey, l_partkey, l_suppkey)
+  GROUP BY ALL)
+"""
+
+_ONE_EACH = """
+turns AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_partkey, s_nationkey ORDER BY o_custkey) AS turn FROM asked),
+shelf AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_partkey, s_nationkey ORDER BY l_suppkey) AS turn FROM copies),
+first_round AS (SELECT o_custkey, l_partkey, s_nationkey, l_suppkey FROM turns JOIN shelf USING (l_partkey, s_nationkey, turn)
+                ANTI JOIN history USING (o_custkey, l_partkey, l_suppkey)),
+waiting AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_partkey, s_nationkey ORDER BY o_custkey) AS turn
+            FROM asked ANTI JOIN first_round USING (o_custkey, l_partkey)),
+left_over AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_partkey, s_nationkey ORDER BY l_suppkey DESC) AS turn
+              FROM copies ANTI JOIN first_round USING (l_partkey, l_suppkey)),
+given AS (SELECT * FROM first_round UNION ALL
+          SELECT o_custkey, l_partkey, s_nationkey, l_suppkey FROM waiting JOIN left_over USING (l_partkey, s_nationkey, turn)
+          ANTI JOIN history USING (o_custkey, l_partkey, l_suppkey))
+"""
+
+
+def _rent(t: Tables, one_each: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """New rentals, their payments, and the requests that nothing was rented for."""
     lines = roles.rentals(t)
     requests = lines.filter(F.col("kind") != "R").select("customer_id", "film_id")
     home = t.customer.select(F.col("c_custkey").alias("customer_id"), F.col("c_nationkey").alias("store_id"))
@@ -467,9 +511,14 @@ def rent_and_pay(t: Tables) -> DataFrame:
     before = lines.filter(F.col("kind") == "R").select("customer_id", "inventory_id")
     payment = t.orders.select(F.col("o_custkey").alias("payment_id"))
     day = dt.date(2017, 1, 1)
+    film = roles.film(t)
     rentals, payments = film_rental.rent_films(
-        requests, home, roles.film(t), inventory, staff, before, payment, day, day, highest
+        requests, home, film, inventory, staff, before, payment, day, day, highest, one_each
     )
+    return rentals, payments, film_rental.unmet_requests(requests, home, film, inventory, rentals)
+
+
+def _paid(rentals: DataFrame, payments: DataFrame) -> DataFrame:
     return payments.join(rentals.select("rental_id", "inventory_id", "return_date"), "rental_id").select(
         "rental_id",
         "payment_id",
@@ -480,3 +529,28 @@ def rent_and_pay(t: Tables) -> DataFrame:
         "return_date",
         from_cents("amount_cents").alias("amount"),
     )
+
+
+@query("rent_and_pay", f"{_RENTING}, {_EVERY_COPY}, {_RENTED}")
+def rent_and_pay(t: Tables) -> DataFrame:
+    rentals, payments, _ = _rent(t, one_each=False)
+    return _paid(rentals, payments)
+
+
+@query("rent_one_each", f"{_RENTING}, {_ONE_EACH}, {_RENTED}")
+def rent_one_each(t: Tables) -> DataFrame:
+    rentals, payments, _ = _rent(t, one_each=True)
+    return _paid(rentals, payments)
+
+
+@query(
+    "rent_rejects",
+    f"""{_RENTING}, {_ONE_EACH}
+SELECT o_custkey AS customer_id, l_partkey AS film_id,
+       CASE WHEN EXISTS (SELECT 1 FROM copies c WHERE c.l_partkey = asked.l_partkey AND c.s_nationkey = asked.s_nationkey)
+            THEN 'no copy left' ELSE 'no copy in the store' END AS reject_reason
+FROM asked ANTI JOIN given USING (o_custkey, l_partkey)
+""",
+)
+def rent_rejects(t: Tables) -> DataFrame:
+    return _rent(t, one_each=True)[2]

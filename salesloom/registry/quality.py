@@ -21,8 +21,6 @@ from salesloom.operators.quality import (
 from salesloom.registry import query
 from salesloom.sources.tables import SCHEMAS, Tables
 
-_AUDITED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-
 
 def _columns(table: str) -> list[str]:
     return [part.split()[0] for part in SCHEMAS[table].split(", ")]
@@ -33,12 +31,12 @@ def _columns(table: str) -> list[str]:
     " UNION ALL ".join(
         f"SELECT '{table}' AS table_name, '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count "
         f"FROM {table}"
-        for table in _AUDITED
+        for table in SCHEMAS
         for c in _columns(table)
     ),
 )
 def null_audit_all(t: Tables) -> DataFrame:
-    return null_audit({name: getattr(t, name) for name in _AUDITED})
+    return null_audit({name: getattr(t, name) for name in SCHEMAS})
 
 
 _RULES = [

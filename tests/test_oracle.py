@@ -6,9 +6,9 @@ import pytest
 import __spark_entry__ as driver
 from helpers import canonical
 from salesloom import registry
+from salesloom.sources.tables import SCHEMAS
 
 ROOT = "/root/testdata/sf0.001"
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 registry.load_all()
 QUERIES = registry.QUERIES
 ORACLES = registry.ORACLES
@@ -17,7 +17,7 @@ ORACLES = registry.ORACLES
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for table in TABLES:
+    for table in SCHEMAS:
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{ROOT}/{table}.parquet')")
     return connection
 
