@@ -23,6 +23,7 @@ from salesloom.operators.lookup import in_set, label_by_value, lowest_dimension_
 from salesloom.operators.ordered import By, numbers_within
 from salesloom.operators.ranking import latest_per_key, number_rows, top_k_per_group
 from salesloom.sources.inline import with_fallback_row
+from salesloom.sources.storage import frozen
 
 # The audience text shown for each film rating.
 AUDIENCE = {
@@ -377,18 +378,20 @@ def _every_copy(asked: DataFrame, copies: DataFrame, rental: DataFrame) -> DataF
 def _one_copy_each(asked: DataFrame, copies: DataFrame, rental: DataFrame) -> DataFrame:
     """Requests and copies of a film and store are ranked and joined by rank, so a copy has one renter at most.
 
-    A pair that was together before is undone; what is left on both sides is ranked again, copies from the last one.
+    A pair that was together before is undone; what is left on both sides is ranked again, customers from the last one.
+    The sides and the first round are read several times, so each is written once.
     """
+    asked, copies = frozen(asked), frozen(copies)
     place, natural = ["film_id", "store_id"], ["customer_id", "inventory_id"]
 
     def paired(waiting: DataFrame, free: DataFrame, descending: bool) -> DataFrame:
-        left = numbers_within(waiting, place, ["customer_id"], "turn")
-        right = numbers_within(free, place, [By("inventory_id", descending)], "turn")
+        left = numbers_within(waiting, place, [By("customer_id", descending)], "turn")
+        right = numbers_within(free, place, ["inventory_id"], "turn")
         return not_in_set(left.join(right, [*place, "turn"]).drop("turn"), rental, natural)
 
-    first = paired(asked, copies, descending=False)
+    first = frozen(paired(asked, copies, descending=False))
     waiting = not_in_set(asked, first, ["customer_id", *place])
-    second = paired(waiting, not_in_set(copies, first, "inventory_id"), descending=True)
+    second = paired(frozen(waiting), frozen(not_in_set(copies, first, "inventory_id")), descending=True)
     return first.unionByName(second)
 
 
@@ -414,7 +417,7 @@ def rent_films(
     """
     asked = _asked(requests, customer)
     shelf = inventory.select("inventory_id", "film_id", "store_id")
-    given = (_one_copy_each if one_each else _every_copy)(asked, shelf, rental)
+    given = frozen((_one_copy_each if one_each else _every_copy)(asked, shelf, rental))
     copies = given.join(
         staff.groupBy("store_id").agg(F.min("staff_id").alias("staff_id")), "store_id", "left"
     ).join(film.select("film_id", "rental_duration", "rental_rate_cents"), "film_id")

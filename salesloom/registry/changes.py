@@ -489,9 +489,9 @@ turns AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_partkey, s_nationkey ORDER
 shelf AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_partkey, s_nationkey ORDER BY l_suppkey) AS turn FROM copies),
 first_round AS (SELECT o_custkey, l_partkey, s_nationkey, l_suppkey FROM turns JOIN shelf USING (l_partkey, s_nationkey, turn)
                 ANTI JOIN history USING (o_custkey, l_partkey, l_suppkey)),
-waiting AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_partkey, s_nationkey ORDER BY o_custkey) AS turn
+waiting AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_partkey, s_nationkey ORDER BY o_custkey DESC) AS turn
             FROM asked ANTI JOIN first_round USING (o_custkey, l_partkey)),
-left_over AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_partkey, s_nationkey ORDER BY l_suppkey DESC) AS turn
+left_over AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_partkey, s_nationkey ORDER BY l_suppkey) AS turn
               FROM copies ANTI JOIN first_round USING (l_partkey, l_suppkey)),
 given AS (SELECT * FROM first_round UNION ALL
           SELECT o_custkey, l_partkey, s_nationkey, l_suppkey FROM waiting JOIN left_over USING (l_partkey, s_nationkey, turn)

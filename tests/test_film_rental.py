@@ -219,3 +219,26 @@ def test_rent_and_pay_once(spark, shop):
         (7, days[0], 1, 52, dt.date(2024, 5, 3), 4),
     ]
     assert rows_of(payments) == [(6, 1, 4, 6, 199, days[1]), (7, 1, 4, 7, 199, days[1])]
+
+
+def test_one_copy_has_one_renter(spark, shop):
+    requests = spark.createDataFrame([(2, 2), (1, 2), (3, 5), (1, 5), (4, 5), (8, 5), (1, 9), (3, 3)], "customer_id int, film_id int")
+    homes = spark.createDataFrame([(c, 1) for c in (1, 2, 3, 4)], "customer_id int, store_id int")
+    staff = spark.createDataFrame([(9, 1)], "staff_id int, store_id int")
+    day = dt.date(2024, 5, 1)
+    tables = (homes, shop["film"], shop["inventory"], staff, shop["rental"], shop["payment"], day, day)
+
+    def rented(one_each):
+        rentals, payments = rental.rent_films(requests, *tables, one_each=one_each)
+        unmet = rental.unmet_requests(requests, homes, shop["film"], shop["inventory"], rentals)
+        assert payments.count() == rentals.count()
+        return [(r.customer_id, r.inventory_id) for r in rentals.collect()], rows_of(unmet)
+
+    unknown = [(1, 9, "film not found"), (3, 3, "no copy in the store"), (8, 5, "customer not found")]
+    # Copy 21 was with customer 1 before, so customer 2 gets it; copies 51 and 52 go to the two lowest customers.
+    given, unmet = rented(one_each=True)
+    assert sorted(given) == [(1, 51), (2, 21), (3, 52)]
+    assert unmet == sorted([(1, 2, "no copy left"), (4, 5, "no copy left"), *unknown], key=repr)
+    given, unmet = rented(one_each=False)
+    assert sorted(given) == [(1, 51), (1, 52), (2, 21)]
+    assert unmet == sorted([(1, 2, "no copy left"), (3, 5, "no copy left"), (4, 5, "no copy left"), *unknown], key=repr)

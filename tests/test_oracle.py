@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
-from helpers import canonical
+from helpers import canonical, plain
 from salesloom import registry
 from salesloom.sources.tables import SCHEMAS
 
@@ -36,3 +36,30 @@ def test_every_query_has_sql():
 
 def test_entry_runs(spark):
     assert driver.entry(spark).columns == ["channel_desc", "cust_id", "cust_name", "total_sales", "sales_percentage"]
+
+
+#: The order each report promises, as SQL over its own columns.
+ORDERS = {
+    "top5_per_channel": "channel_desc, total_sales DESC, cust_id",
+    "cohort_all_years": "amount_sold DESC, cust_id, channel_desc",
+    "channel_share_yoy": "country_region, calendar_year, channel_desc",
+    "weekly_running_centered": "time_id",
+    "weekly_running_full_year": "time_id",
+    "rolling_range_days": "time_id",
+    "rolling_rows": "prod_id, time_id",
+    "rolling_groups": "promo_category_id, promo_category",
+    "quarter_crosstab": "year_sum DESC, prod_id",
+    "month_region_pivot": "calendar_month_desc, prod_category",
+    "max_gap_lead": "max_gap DESC, actor_id",
+    "inactivity_gap": "inactivity_gap_years DESC NULLS FIRST, actor_id",
+    "calendar_dense": "day",
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERS))
+def test_rows_come_in_the_order_of_the_report(spark, duck, name):
+    df = QUERIES[name](spark, ROOT)
+    expected = duck.execute(f"SELECT * FROM ({ORACLES[name]}) ORDER BY {ORDERS[name]}")
+    places = [df.columns.index(column[0]) for column in expected.description]
+    found = [tuple(plain(row[i]) for i in places) for row in df.collect()]
+    assert found == [tuple(map(plain, row)) for row in expected.fetchall()]

@@ -158,3 +158,23 @@ def test_week_52_ends_with_its_iso_year(spark):
     assert [(r.time_id, r.cum_sum) for r in last] == [(D(2012, 12, 24), Decimal("1.00"))]
     first = sales.weekly_running_sales(fact, 2012, 1, 1).collect()
     assert [(r.time_id, r.centered_3_day_avg) for r in first] == [(D(2012, 1, 2), Decimal("1.00"))]
+
+
+def test_days_without_sales_carry_the_balance(spark):
+    fact = facts(spark, (1, 1, D(2000, 2, 27), "web", 100), (1, 1, D(2000, 3, 1), "web", 50), (1, 1, D(2000, 3, 1), "web", 25))
+    found = [tuple(r)[:1] + tuple(r)[2:] for r in sales.daily_balance(fact).collect()]
+    one, cents = D(2000, 2, 27), Decimal("1.00")
+    assert found == [
+        (one, cents, one, cents, cents),
+        (D(2000, 2, 28), 0, one, cents, cents),
+        (D(2000, 2, 29), 0, one, cents, cents),
+        (D(2000, 3, 1), Decimal("0.75"), D(2000, 3, 1), Decimal("0.75"), Decimal("1.75")),
+    ]
+    assert sales.daily_balance(fact.limit(0)).collect() == []
+
+
+def test_weeks_of_two_years_are_told_apart(spark):
+    days = [D(2012, 12, 24), D(2012, 12, 25), D(2012, 12, 26), D(2011, 12, 31), D(2012, 1, 1)]
+    fact = facts(spark, *[(1, 1, day, "web", 100) for day in days])
+    full = sales.weekly_running_sales(fact, 2012, 1, 52).collect()
+    assert [(r.time_id, r.cum_sum) for r in full] == [(days[i], Decimal(f"{i + 1}.00")) for i in range(3)]

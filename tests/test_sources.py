@@ -67,3 +67,15 @@ def test_cluster_settings_follow_the_input():
     assert small["spark.sql.shuffle.partitions"] == "300"
     assert large["spark.sql.shuffle.partitions"] == "51200"
     assert large["spark.sql.files.maxPartitionBytes"] == str(512 << 20)
+
+
+def test_a_second_try_of_a_load_replaces_the_first(spark, tmp_path):
+    path, schema = f"{tmp_path}/table", spark.range(0).schema
+    storage.append_batch(spark.range(3), path, "a")
+    storage.append_batch(spark.range(3, 5), path, "b")
+    storage.append_batch(spark.range(3, 6), path, "b")
+    assert [r.id for r in storage.stored(spark, path, schema).orderBy("id").collect()] == [0, 1, 2, 3, 4, 5]
+    others = storage.stored(spark, path, schema, without="b")
+    assert [r.id for r in others.orderBy("id").collect()] == [0, 1, 2]
+    storage.append_batch(others.select((F.col("id") + 10).alias("id")), path, "b")  # reads the table it appends to
+    assert [r.id for r in storage.stored(spark, path, schema).orderBy("id").collect()] == [0, 1, 2, 10, 11, 12]
