@@ -4,9 +4,12 @@
    with the same 64 bits are an error).
 2. Sets are cut into blocks by their elements' hashes, for their size band and, where a partner can be larger, for the
    next one. A block's key is its parity sketch. Linked sets have fewer differences than blocks, so they agree in one.
-   Tasks send keys in packets to buckets of bounded size. In a bucket, classes with one key are compared by a parity
-   sketch of the whole set, whose Hamming distance is at most the symmetric difference; those within the budget are
-   linked into a spanning forest. Every pair that links lies in one tree of all forests.
+   Tasks send keys and classes, 16 bytes a key, in packets to buckets of bounded size, which leave out keys of one
+   class. The other keys meet the parity sketches of their classes, whose Hamming distance is at most the symmetric
+   difference, and go to buckets again, where classes with one key are compared by sketch; those within the budget
+   are linked into a spanning forest. A key that more than ``HOT_KEY`` classes of a packet or bucket have links all of
+   them with the smallest one without a look at sketches: no task holds such a key whole, and step 3 decides.
+   Every pair that links lies in one tree of all forests.
 3. In each tree every class is compared exactly with its smallest class. What does not link with that one is compared
    exactly with all others of the tree, in tiles of bounded size. Components of these links are the result.
 
@@ -22,6 +25,7 @@ read. An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -39,8 +43,11 @@ BUCKET_KEYS = 1 << 21
 PACKET_KEYS = 1 << 20
 #: Sets of a tile: those that look for partners, and those they are compared with.
 TILE_SEEKERS, TILE_MEMBERS = 256, 1024
-#: Bits of the broadcast filter that lets the sets of possible members pass; others may pass too.
-FILTER_BITS = 1 << 23
+#: Classes of a packet or bucket that share a key at most, before they are linked without comparing sketches.
+HOT_KEY = 2000
+#: Bits of the broadcast filter that lets the sets of possible members pass, for each of them, and at most (16 MB).
+#: Others may pass too.
+FILTER_BITS_EACH, MOST_FILTER_BITS = 8, 1 << 27
 
 
 def _node(shingles: np.ndarray) -> int:
@@ -52,7 +59,7 @@ def _rows(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 
 def fingerprints(rows: DataFrame, words: int) -> DataFrame:
-    """id, n, node (the class), digest of every row."""
+    """id, n, node (the class), digest, parity sketch of every row."""
 
     def fingerprint(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -60,26 +67,119 @@ def fingerprints(rows: DataFrame, words: int) -> DataFrame:
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
             nodes = [int.from_bytes(d[:8], "little", signed=True) for d in digests]
             arrays = [batch.column("id"), pa.array(map(len, sets), pa.int64()), pa.array(nodes, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(digests, pa.binary())], ["id", "n", "node", "digest"])
+            arrays += [pa.array(digests, pa.binary()), pa.array([parity(s).tobytes() for s in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["id", "n", "node", "digest", "sketch"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return written(rows.mapInArrow(fingerprint, f"id {kind}, n long, node long, digest binary"), "shingles")
+    return written(rows.mapInArrow(fingerprint, f"id {kind}, n long, node long, digest binary, sketch binary"), "shingles")
 
 
-_PACKET = ["bucket", "nodes", "sizes", "sketches", "counts", "keys"]
+def _cut_hot(keys: np.ndarray, nodes: np.ndarray, most: int, known: np.ndarray):
+    """Distinct (key, node) in order without those of hot keys but their smallest nodes, links of the latter, hot keys.
+
+    A key is hot that more than ``most`` nodes have, or that is ``known`` to be hot elsewhere.
+    """
+    order = np.lexsort((nodes, keys))
+    keys, nodes = keys[order], nodes[order]
+    if len(keys):
+        new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])])
+        keys, nodes = keys[new], nodes[new]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    lengths = np.diff(np.append(starts, len(keys)))
+    hot = (lengths > most) | np.isin(keys[starts], known)
+    rest = np.repeat(hot, lengths)
+    rest[starts] = False  # the smallest node of a key stays
+    smallest = np.repeat(nodes[starts], lengths)
+    links = np.unique(np.stack([smallest[rest], nodes[rest]], axis=1), axis=0)
+    return keys[~rest], nodes[~rest], links, keys[starts[hot]]
 
 
-def packets(rows: DataFrame, words: int, bands: Bands, buckets: int) -> DataFrame:
-    """Block keys of all classes of a task, one row per bucket."""
+def key_packets(rows: DataFrame, words: int, bands: Bands, buckets: int, hot_key: int) -> DataFrame:
+    """Block keys and classes of a task and which keys are hot, a row per bucket; those of bucket -1 hold links."""
 
     def packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        nodes, keys, waiting = [], [], 0
+
+        def out() -> pa.RecordBatch:
+            owners = np.repeat(np.array(nodes, np.int64), [len(k) for k in keys])
+            own_keys, owners, links, hot = _cut_hot(np.concatenate(keys), owners, hot_key, np.zeros(0, np.uint64))
+            hot_bucket = hot % np.uint64(buckets)
+            bucket = (own_keys % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            found = [(-1, links[:, 0].tobytes(), links[:, 1].tobytes(), b"")] if len(links) else []
+            for number in range(buckets):
+                own = order[cuts[number] : cuts[number + 1]]
+                if len(own):
+                    own_hot = hot[hot_bucket == number].tobytes()
+                    found.append((number, own_keys[own].tobytes(), owners[own].tobytes(), own_hot))
+            columns = zip(zip(*found, strict=True), (pa.int32(), *[pa.binary()] * 3), strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in columns], ["bucket", "keys", "nodes", "hot"])
+
+        for batch in batches:
+            for text in batch.column("text"):
+                shingles = shingle_set(text.as_py(), words)
+                node = _node(shingles)
+                if not len(shingles) or node in seen:
+                    continue
+                seen.add(node)
+                nodes.append(node)
+                keys.append(np.concatenate([block_keys(shingles, *cut) for cut in bands.of(len(shingles))]))
+                waiting += len(keys[-1])
+                if waiting >= PACKET_KEYS:
+                    yield out()
+                    nodes, keys, waiting = [], [], 0
+                    seen.clear()
+        if keys:
+            yield out()
+
+    return rows.select("text").mapInArrow(packed, "bucket int, keys binary, nodes binary, hot binary")
+
+
+def _shared_keys(rows: pa.Table, hot_key: int) -> pa.Table:
+    """node, keys: the keys of a bucket that several classes have, by class; a, b: links of hot keys."""
+    empty = pa.schema([("node", pa.int64()), ("keys", pa.binary()), ("a", pa.int64()), ("b", pa.int64())])
+    keys, nodes, hot = (
+        np.concatenate([np.frombuffer(value.as_buffer(), kind) for value in rows.column(name)])
+        for name, kind in (("keys", "<u8"), ("nodes", "<i8"), ("hot", "<u8"))
+    )
+    if rows.column("bucket")[0].as_py() < 0:
+        nothing = pa.nulls(len(keys))
+        return pa.table([nothing.cast(pa.int64()), nothing.cast(pa.binary()), keys.view("<i8"), nodes], schema=empty)
+    keys, nodes, links, _ = _cut_hot(keys, nodes, hot_key, hot)
+    same = keys[1:] == keys[:-1]
+    shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+    keys, nodes = keys[shared], nodes[shared]
+    order = np.argsort(nodes, kind="stable")
+    keys, nodes = keys[order], nodes[order]
+    starts = np.flatnonzero(np.concatenate([[True], nodes[1:] != nodes[:-1]])) if len(nodes) else np.zeros(0, np.int64)
+    content = [part.tobytes() for part in np.split(keys, starts[1:])] if len(starts) else []
+    none = [None] * len(starts)
+    return pa.table(
+        [
+            pa.array([*nodes[starts].tolist(), *[None] * len(links)], pa.int64()),
+            pa.array([*content, *[None] * len(links)], pa.binary()),
+            pa.array([*none, *links[:, 0].tolist()], pa.int64()),
+            pa.array([*none, *links[:, 1].tolist()], pa.int64()),
+        ],
+        schema=empty,
+    )
+
+
+_PACKET = ["bucket", "nodes", "sizes", "sketches", "counts", "keys"]
+
+
+def packets(classes: DataFrame, buckets: int) -> DataFrame:
+    """Classes (node, n, sketch, keys) in packets, one row per bucket that one of their keys falls into."""
+
+    def packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, sizes, sketches, keys, waiting = [], [], [], [], 0
 
         def out() -> pa.RecordBatch:
             all_keys = np.concatenate(keys)
             owner = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
-            bucket = (all_keys % np.uint64(buckets)).astype(np.int32)
+            bucket = (all_keys // np.uint64(buckets) % np.uint64(buckets)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")  # keys of a bucket stay in the order of their owners
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
             ids, lengths = np.array(nodes, "<i8"), np.array(sizes, "<i8")
@@ -96,26 +196,21 @@ def packets(rows: DataFrame, words: int, bands: Bands, buckets: int) -> DataFram
             return pa.RecordBatch.from_arrays(arrays, _PACKET)
 
         for batch in batches:
-            for text in batch.column("text"):
-                shingles = shingle_set(text.as_py(), words)
-                node = _node(shingles)
-                if not len(shingles) or node in seen:
-                    continue
-                seen.add(node)
-                nodes.append(node)
-                sizes.append(len(shingles))
-                sketches.append(parity(shingles))
-                keys.append(np.concatenate([block_keys(shingles, *cut) for cut in bands.of(len(shingles))]))
+            columns = (batch.column(c) for c in ("node", "n", "sketch", "keys"))
+            for node, n, sketch, parts in zip(*columns, strict=True):
+                nodes.append(node.as_py())
+                sizes.append(n.as_py())
+                sketches.append(np.frombuffer(sketch.as_py(), "<u8"))
+                keys.append(np.frombuffer(b"".join(parts.as_py()), "<u8"))
                 waiting += len(keys[-1])
                 if waiting >= PACKET_KEYS:
                     yield out()
                     nodes, sizes, sketches, keys, waiting = [], [], [], [], 0
-                    seen.clear()
         if keys:
             yield out()
 
     kinds = ", ".join(f"{name} binary" for name in _PACKET[1:])
-    return rows.select("text").mapInArrow(packed, f"bucket int, {kinds}")
+    return classes.select("node", "n", "sketch", "keys").mapInArrow(packed, f"bucket int, {kinds}")
 
 
 class _Forest:
@@ -192,15 +287,17 @@ def _forest_of_bucket(bands: Bands):
 
 
 def _filter(nodes: DataFrame) -> np.ndarray:
-    """Bits of the nodes' hashes; tasks make partial filters, and eight of them come to the driver."""
+    """Bits of the nodes' hashes, a power of two by their number; eight partial filters come to the driver."""
+    size = 1 << max(16, (FILTER_BITS_EACH * nodes.count()).bit_length())
+    size = min(size, MOST_FILTER_BITS)
 
     def partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(FILTER_BITS, bool)
+        bits = np.zeros(size, bool)
         for batch in batches:
-            bits[batch.column("node").to_numpy() % FILTER_BITS] = True
+            bits[batch.column("node").to_numpy() % size] = True
         yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()])], ["bits"])
 
-    found = np.zeros(FILTER_BITS // 8, np.uint8)
+    found = np.zeros(size // 8, np.uint8)
     for row in nodes.select("node").coalesce(8).mapInArrow(partial, "bits binary").toLocalIterator():
         found |= np.frombuffer(row["bits"], np.uint8)
     return np.unpackbits(found).astype(bool)
@@ -208,7 +305,7 @@ def _filter(nodes: DataFrame) -> np.ndarray:
 
 def sets_of(rows: DataFrame, words: int, nodes: DataFrame) -> DataFrame:
     """node, shingles of the classes in ``nodes`` (and of a few others)."""
-    sent = rows.sparkSession.sparkContext.broadcast(np.packbits(_filter(nodes)))  # 1 MB
+    sent = rows.sparkSession.sparkContext.broadcast(np.packbits(_filter(nodes)))  # 16 MB at most
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, seen = np.unpackbits(sent.value).astype(bool), set()
@@ -217,7 +314,7 @@ def sets_of(rows: DataFrame, words: int, nodes: DataFrame) -> DataFrame:
             for text in batch.column("text"):
                 shingles = shingle_set(text.as_py(), words)
                 node = _node(shingles)
-                if wanted[node % FILTER_BITS] and node not in seen:
+                if wanted[node % len(wanted)] and node not in seen:
                     seen.add(node)
                     found.append((node, shingles.tobytes()))
             if found:
@@ -297,23 +394,43 @@ def _exact_links(members: DataFrame, bands: Bands) -> DataFrame:
     return compared.where("linked").select(F.col("tree").alias("a"), F.col("node").alias("b")).unionByName(found)
 
 
-def join(
-    docs: DataFrame, words: int, numerator: int, denominator: int, id_column: str = "doc_id", text_column: str = "text"
+def _forest(
+    rows: DataFrame, classes: DataFrame, words: int, bands: Bands, keys: int, hot_key: int
 ) -> DataFrame:
+    """a, b: links that join all classes which may link into trees; ``keys`` is about the number of all keys."""
+    sent = key_packets(rows, words, bands, max(8, keys // BUCKET_KEYS), hot_key)
+    # Rows of bucket -1 are links on their way, dealt like any other bucket's by their first bytes.
+    turn = F.when(F.col("bucket") < 0, F.xxhash64("nodes")).otherwise(F.col("bucket").cast("long"))
+    schema = "node long, keys binary, a long, b long"
+    buckets = sent.withColumn("turn", turn).groupBy("turn")
+    found = written(buckets.applyInArrow(lambda part: _shared_keys(part, hot_key), schema), "shared-keys")
+    shared = found.where("node is not null")
+    left = shared.agg(F.sum(F.octet_length("keys"))).first()[0] or 0
+    by_class = shared.groupBy("node").agg(F.collect_list("keys").alias("keys"))  # the keys of one class
+    sketched = by_class.join(classes.select("node", "n", "sketch"), "node")
+    dealt = packets(sketched, max(8, left // 8 // BUCKET_KEYS)).groupBy("bucket")
+    compared = dealt.applyInArrow(_forest_of_bucket(bands), "a long, b long")
+    return compared.unionByName(found.where("a is not null").select("a", "b"))
+
+
+def join(
+    docs: DataFrame, words: int, numerator: int, denominator: int, id_column: str = "doc_id", text_column: str = "text",
+    hot_key: int = HOT_KEY,
+) -> DataFrame:
     """id, n_shingles, component_id: texts link if their shingle sets' Jaccard similarity is at least the fraction."""
     bands, rows = Bands(numerator, denominator), _rows(docs, id_column, text_column)
     prints = fingerprints(rows, words)
     classes = prints.where("n > 0 and id is not null").groupBy("node").agg(
-        F.min("id").alias("smallest"), F.max("n").alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high")
-    )
+        F.min("id").alias("smallest"), F.max("n").alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high"),
+        F.first("sketch").alias("sketch"),
+    )
     collision = F.raise_error(F.lit("two shingle sets share 64 bits of their digests")).cast("long")
     classes = classes.withColumn("n", F.when(F.col("low") == F.col("high"), F.col("n")).otherwise(collision))
-    classes = written(classes.select("node", "smallest", "n"), "shingle-classes")
+    classes = written(classes.select("node", "smallest", "n", "sketch"), "shingle-classes")
     elements = classes.agg(F.sum("n")).first()[0] or 0
     keys = 2 * elements * (denominator - numerator) * 2 // (denominator + numerator)
-    buckets = max(8, keys // BUCKET_KEYS)
     usable = rows.where("id is not null")
-    forest = packets(usable, words, bands, buckets).groupBy("bucket").applyInArrow(_forest_of_bucket(bands), "a long, b long")
+    forest = _forest(usable, classes, words, bands, keys, hot_key)
     trees = written(connected_components(forest).toDF("node", "tree"), "trees")
     sets = sets_of(usable, words, trees).groupBy("node").agg(F.first("shingles").alias("shingles"))
     members = written(sets.join(trees, "node"), "members")
@@ -332,8 +449,25 @@ def without_near_copies(
     docs: DataFrame, words: int = 5, numerator: int = 80, denominator: int = 100, id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its group, with all their columns; rows without an id stay."""
-    found = join(docs, words, numerator, denominator, id_column, text_column)
-    dropped = found.where(F.col("component_id") != F.col(id_column)).select(F.col(id_column).alias("_id")).distinct()
-    dropped = written(dropped, "dropped")
-    return docs.join(dropped, F.col("_id") == docs[id_column], "left_anti")
+    """One row of each group of near copies, that of the smallest id, with all its columns.
+
+    Rows are told apart by id and text, so a row with an id of its group's smallest row but another text is judged by
+    its own text. Of rows equal in both one stays. Rows without an id or without words stay all.
+    """
+    mark = f"text_{uuid.uuid4().hex}"  # a name that no column has
+    digest = F.xxhash64(F.coalesce(F.col(text_column), F.lit("")))
+    rows = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+    key = F.when(F.col("id").isNotNull(), F.struct("id", F.xxhash64("text").alias("own")))
+    found = join(rows.withColumn("key", key), words, numerator, denominator, "key", "text")
+    found = found.where("n_shingles > 0 and key is not null")
+    usable = found.select("key", "component_id").distinct()
+    dropped = written(usable.where("key <> component_id").select("key"), "dropped")
+    repeated = found.groupBy("key").count().where("count > 1")
+    repeated = written(repeated.select(F.col("key").alias("again")), "repeated")
+    marked = docs.withColumn(mark, F.struct(F.col(id_column).alias("id"), digest.alias("own")))
+    left = marked.join(dropped, marked[mark] == dropped["key"], "left_anti")
+    if repeated.isEmpty():
+        return left.drop(mark)
+    once = left.join(repeated, left[mark] == repeated["again"], "left_anti").drop(mark)
+    again = left.join(repeated, left[mark] == repeated["again"], "left_semi").dropDuplicates([mark]).drop(mark)
+    return once.unionByName(again)

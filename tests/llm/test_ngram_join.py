@@ -80,6 +80,47 @@ def test_rows_without_id_and_empty_table(texts):
     assert sorted(r.doc_id or 0 for r in left.collect()) == [0, 1]
 
 
+def test_hot_keys_lose_no_link(texts):
+    """Nearly every key counts as hot, so the exact step has to tell the classes of a tree apart."""
+    rows = corpus(11, 160)
+    out = ngram_join.join(texts(rows).repartition(3), 3, 90, 100, hot_key=2)
+    assert sorted(map(tuple, out.collect())) == brute(rows, 3, 90, 100)
+
+
+def test_cut_hot_keys():
+    keys = np.array([5, 7, 5, 5, 5, 9, 7, 5], np.uint64)
+    nodes = np.array([3, 1, -2, 8, 3, 4, 6, 0])
+    kept, owners, links, hot = ngram_join._cut_hot(keys, nodes, 3, np.array([], np.uint64))
+    assert list(zip(kept.tolist(), owners.tolist())) == [(5, -2), (7, 1), (7, 6), (9, 4)]
+    assert links.tolist() == [[-2, 0], [-2, 3], [-2, 8]] and hot.tolist() == [5]
+    kept, owners, links, hot = ngram_join._cut_hot(keys, nodes, 9, np.array([7], np.uint64))
+    assert len(kept) == 6 and links.tolist() == [[1, 6]] and hot.tolist() == [7]
+    assert [len(x) for x in ngram_join._cut_hot(keys[:0], nodes[:0], 3, keys[:0])] == [0, 0, 0, 0]
+
+
+def test_sent_bytes_do_not_grow_with_the_buckets(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice("abcdefghij") + str(rng.randrange(900)) for _ in range(300))) for i in range(60)]
+    table = spark.createDataFrame(rows, "id long, text string")
+    sent = {}
+    for buckets in (8, 1024):
+        found = ngram_join.key_packets(table.coalesce(1), 5, Bands(80, 100), buckets, 2000).collect()
+        sent[buckets] = sum(len(r["keys"]) + len(r["nodes"]) + len(r["hot"]) for r in found)
+    assert sent[8] == sent[1024] > 0
+
+
+def test_near_copies_by_id_and_text(texts):
+    """An id with two texts: only the one that is a near copy goes; of equal rows one stays."""
+    near = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(1, near), (2, near + " x"), (2, other), (3, other), (1, near), (4, ""), (4, ""), (None, near)]
+    left = ngram_join.without_near_copies(texts(rows), 5, 80)
+    assert left.columns == texts(rows).columns
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted(
+        [(1, near), (2, other), (4, ""), (4, ""), (None, near)], key=repr
+    )
+
+
 def test_linked_sets_share_a_block():
     rng = np.random.default_rng(5)
     for numerator in (80, 90):
