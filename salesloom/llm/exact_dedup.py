@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.llm import fuse_filter
-from salesloom.llm.shared import written
+from salesloom.llm.shared import fresh_name, written
 
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 #: Digests of a bucket on average, which bounds a filter and the rows that build it.
@@ -151,8 +151,17 @@ def dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
 
 
 def without_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    dropped = dedup(docs, id_column, text_column).where("not kept")
-    dropped = written(dropped.select(F.col(id_column).alias("_id"), F.unhex("text_sha256").alias("_digest")), "dropped")
-    same = F.col("_id").eqNullSafe(docs[id_column]) & (F.col("_digest") == _digest(docs[text_column]))
-    return docs.join(dropped, same, "left_anti")
+    """One row of each group of equal texts, with all its columns; of rows equal in id and text one stays."""
+    key, again = fresh_name("key"), fresh_name("again")
+    found = dedup(docs, id_column, text_column)
+    found = found.select(F.struct(F.col(id_column).alias("id"), F.unhex("text_sha256").alias("digest")).alias(key), "kept")
+    found = written(found, "kept")
+    dropped = found.where("not kept").select(F.col(key).alias(again))
+    marked = docs.withColumn(key, F.struct(F.col(id_column).alias("id"), _digest(F.col(text_column)).alias("digest")))
+    left = marked.join(dropped, F.col(key) == F.col(again), "left_anti")
+    repeated = written(found.where("kept").groupBy(F.col(key).alias(again)).count().where("count > 1").select(again), "repeated")
+    if repeated.isEmpty():
+        return left.drop(key)
+    once = left.join(repeated, F.col(key) == F.col(again), "left_anti").drop(key)
+    one = left.join(repeated, F.col(key) == F.col(again), "left_semi").dropDuplicates([key]).drop(key)
+    return once.unionByName(one)

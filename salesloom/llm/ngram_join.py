@@ -25,7 +25,6 @@ read. An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -35,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.llm.components import connected_components
-from salesloom.llm.shared import written
+from salesloom.llm.shared import fresh_name, written
 from salesloom.llm.shingles import Bands, Parities, block_keys, parity, parity_words, shingle_set
 
 #: Keys that meet in a bucket, and keys of a packet, about.
@@ -454,20 +453,20 @@ def without_near_copies(
     Rows are told apart by id and text, so a row with an id of its group's smallest row but another text is judged by
     its own text. Of rows equal in both one stays. Rows without an id or without words stay all.
     """
-    mark = f"text_{uuid.uuid4().hex}"  # a name that no column has
+    mark, key_name, again = fresh_name("text"), fresh_name("key"), fresh_name("again")
     digest = F.xxhash64(F.coalesce(F.col(text_column), F.lit("")))
     rows = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     key = F.when(F.col("id").isNotNull(), F.struct("id", F.xxhash64("text").alias("own")))
     found = join(rows.withColumn("key", key), words, numerator, denominator, "key", "text")
     found = found.where("n_shingles > 0 and key is not null")
     usable = found.select("key", "component_id").distinct()
-    dropped = written(usable.where("key <> component_id").select("key"), "dropped")
+    dropped = written(usable.where("key <> component_id").select(F.col("key").alias(key_name)), "dropped")
     repeated = found.groupBy("key").count().where("count > 1")
-    repeated = written(repeated.select(F.col("key").alias("again")), "repeated")
+    repeated = written(repeated.select(F.col("key").alias(again)), "repeated")
     marked = docs.withColumn(mark, F.struct(F.col(id_column).alias("id"), digest.alias("own")))
-    left = marked.join(dropped, marked[mark] == dropped["key"], "left_anti")
+    left = marked.join(dropped, F.col(mark) == F.col(key_name), "left_anti")
     if repeated.isEmpty():
         return left.drop(mark)
-    once = left.join(repeated, left[mark] == repeated["again"], "left_anti").drop(mark)
-    again = left.join(repeated, left[mark] == repeated["again"], "left_semi").dropDuplicates([mark]).drop(mark)
+    once = left.join(repeated, F.col(mark) == F.col(again), "left_anti").drop(mark)
+    again = left.join(repeated, F.col(mark) == F.col(again), "left_semi").dropDuplicates([mark]).drop(mark)
     return once.unionByName(again)

@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from salesloom.llm.shared import literal_doubles, written
+from salesloom.llm.shared import fresh_name, literal_doubles, written
 
 #: Fixed patterns of the rules: kind, pattern, group of the value, its least length.
 RULES = (
@@ -192,13 +192,17 @@ def listed(spans: Column) -> Column:
 
 
 def redacted(docs: DataFrame, text_column: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """``docs`` with every span of its texts replaced by ``[secret]``; spans that overlap by one mark together."""
+    """``docs`` with every span of its texts replaced by ``[secret]``; spans that overlap by one mark together.
+
+    All other columns stay as they are, whatever their names. A null text stays null.
+    """
+    base, found_tokens = fresh_name("base"), fresh_name("tokens")
     ratios = learned(found(docs, id_column, text_column))
     text = F.col(text_column)
     anything = text.rlike("|".join(f"(?:{rule[1]})" for rule in RULES)) | text.rlike(TOKEN)
-    rows = docs.withColumns({"_base": base_spans(text), "_tokens": tokens(text)})
-    others = F.filter("_tokens", lambda t: _outside(t, F.col("_base")))
-    spans = with_markov(F.col("_base"), others, ratios)
+    rows = docs.withColumns({base: base_spans(text), found_tokens: tokens(text)})
+    others = F.filter(found_tokens, lambda t: _outside(t, F.col(base)))
+    spans = with_markov(F.col(base), others, ratios)
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def following(done: Column, span: Column) -> Column:
@@ -214,4 +218,4 @@ def redacted(docs: DataFrame, text_column: str = "text", id_column: str = "doc_i
         return F.array_join(F.concat(done["parts"], F.array(rest)), "")
 
     clean = F.aggregate(spans, start, following, joined)
-    return rows.withColumn(text_column, F.when(anything, clean).otherwise(text)).drop("_base", "_tokens")
+    return rows.withColumn(text_column, F.when(anything, clean).otherwise(text)).drop(base, found_tokens)

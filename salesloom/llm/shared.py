@@ -32,6 +32,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh_name(use: str) -> str:
+    """A column name that no table has, in any case."""
+    return f"{use}_{uuid.uuid4().hex}"
+
+
 def literal_doubles(values: list[float]) -> Column:
     """An array<double> literal, which the optimizer folds to a constant."""
     return F.from_json(F.lit("[" + ",".join(repr(float(v)) for v in values) + "]"), "array<double>")

@@ -155,8 +155,11 @@ def train(
     return np.frombuffer(model[0].weights, "<f4"), np.frombuffer(model[0].squares, "<f4"), model[0].intercept
 
 
-def scored(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float] | None, text_column: str = "text") -> DataFrame:
-    """``docs`` with a column ``toxicity`` between 0 and 1."""
+def scored(
+    docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float] | None, text_column: str = "text",
+    score_column: str = "toxicity",
+) -> DataFrame:
+    """``docs`` with a column ``score_column`` between 0 and 1, which takes the place of one of that name."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,9 +174,9 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float] | None,
                     found[i] = float(weights[places].sum(dtype=np.float64)) / norm + intercept
                 found = 1 / (1 + np.exp(-np.clip(found, -50, 50)))
             columns = [batch.column(i) for i in keep] + [pa.array(found)]
-            yield pa.RecordBatch.from_arrays(columns, [*names, "toxicity"])
+            yield pa.RecordBatch.from_arrays(columns, [*names, score_column])
 
-    names = [name for name in docs.columns if name != "toxicity"]
+    names = [name for name in docs.columns if name.lower() != score_column.lower()]
     keep = [docs.columns.index(name) for name in names]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "toxicity")
-    return docs.mapInArrow(score, f"{fields}, toxicity double")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in names)
+    return docs.mapInArrow(score, f"{fields}, `{score_column}` double")

@@ -38,3 +38,29 @@ def test_stages_one_after_the_other(spark):
     for r in documents.collect():
         texts.setdefault("".join((r.text or "").split()), []).append(r.doc_id)
     assert all(len(kept & set(group)) <= 1 for group in texts.values())
+
+
+ODD = "doc_id long, text string, lang string, source string, TOXICITY double, _id int, _digest int, _base int, _tokens int"
+
+
+@pytest.mark.parametrize("number", range(4))
+def test_stages_on_odd_tables(spark, number):
+    """Nulls, empty and long texts, repeated rows, clashing names, no n_chars, and no rows at all."""
+    long_text = " ".join(f"word{i % 700}x{i}" for i in range(20_000))
+    plain = "The river runs past the old stone house and the green meadow behind it every single day."
+    rows = [(1, None), (2, ""), (3, long_text), (4, plain), (4, plain), (5, plain), (None, plain + " More of it."), (6, "Hi.")]
+    docs = spark.createDataFrame([(i, t, None, "s", 0.5, 1, 2, 3, 4) for i, t in rows], ODD)
+    stage = corpus_pipeline.STAGES[number][1]
+    found = stage(spark, docs, ROOT)
+    assert found.columns == docs.columns
+    kept = sorted((r.doc_id or 0 for r in found.collect()))
+    assert {1, 3, 6} <= set(kept) or number == 1 and {2, 3, 6} & set(kept)
+    assert kept.count(4) == (1 if number in (1, 2) else 2) and kept.count(5) == (0 if number in (1, 2) else 1)
+    assert stage(spark, docs.limit(0), ROOT).collect() == []
+
+
+def test_packing_odd_tables(spark):
+    docs = spark.createDataFrame([(1, None, 5), (None, "a b", 6), (1, "c", 7)], "doc_id long, text string, tier int")
+    found = corpus_pipeline.pack_sequences(spark, docs, ROOT)
+    assert {r.doc_id for r in found.collect()} == {1, None}
+    assert corpus_pipeline.pack_sequences(spark, docs.limit(0), ROOT).collect() == []
