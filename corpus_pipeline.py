@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.llm import exact_dedup, ngram_join, packing, secret_scan, toxicity
-from salesloom.llm.shared import shared_folder, ship
+from salesloom.llm.shared import fresh_name, shared_folder, ship
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go; all labels may be learned from."""
     labels = ship(spark).read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels, F.lit(True))
-    return toxicity.scored(docs, model).where("toxicity < 0.5").select(*docs.columns)
+    score = fresh_name("score")
+    return toxicity.scored(docs, model, score_column=score).where(F.col(score) < 0.5).drop(score)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +34,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets become ``[secret]``; the number of characters follows."""
+    """Secrets become ``[secret]``; the number of characters, where there is such a column, follows."""
     clean = secret_scan.redacted(docs)
+    if "n_chars" not in docs.columns:
+        return clean
     return clean.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")).select(*docs.columns)
 
 
