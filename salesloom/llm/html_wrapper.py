@@ -17,6 +17,9 @@ shuffle; no host's pages meet in one task. A page all of whose slots look consta
 one page only, keeps them. Character references are decoded, white space inside a block is one space, blocks are
 joined by a line break.
 
+A tag's name begins with a letter and goes on with letters, digits and ``_ : . -``; any other ``<`` is text, as is a
+tag that no ``>`` ends. Pages may be nested to any depth and be of any length; a page is read in one pass.
+
 A null or empty html gives an empty text, a null url an empty host. Null ids stay null; rows that repeat are extracted
 one by one. Only the named columns are read. An empty table gives no rows.
 """
@@ -25,6 +28,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -40,7 +44,12 @@ CONSTANT_SHARE = 0.2
 #: Hosts that must tell the same of a node for hosts with fewer pages.
 LEAST_HOSTS = 2
 
-_TOKEN = re.compile(r"<!--|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<")
+#: Text, a tag without angle brackets in its attributes, or the begin of another tag, a comment or a declaration.
+_TOKEN = re.compile(
+    r"[^<]+|<(/?)([a-zA-Z][\w:.-]*+)(?=[\s/>])(?:([^<>\"']*+(?:\"[^\"<>]*+\"[^<>\"']*+|'[^'<>]*+'[^<>\"']*+)*+)>)?|<!--|<[!?]|<",
+    re.ASCII,
+)
+_UNQUOTED = re.compile(r"[^>\"']*")
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", re.I)
 #: Fixed names of the HTML standard.
@@ -58,9 +67,9 @@ _SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table
 _NEVER_TAGS = set("head nav footer aside form button select dialog menu object audio video canvas".split())
 #: Names of what is no article text, as whole words of class, id or role; also several of them, or with words of layout.
 _NEVER_WORD = (
-    r"(?:nav|navbar|navigation|menu|breadcrumbs?|footer|sidebar|side|ads?|advert\w*|sponsor\w*|promo\w*|"
+    r"(?:nav|navbar|navigation|menu|breadcrumbs?|footer|sidebar|side|ads?|advert\w*+|sponsor\w*+|promo\w*+|"
     r"banner|cookies?|consent|notice|popup|modal|comments?|replies|respond|disqus|share|sharing|social|related|"
-    r"recommend\w*|newsletter|subscribe|subscription|login|search|widget|pagination|pager|toolbar|masthead|"
+    r"recommend\w*+|newsletter|subscribe|subscription|login|search|widget|pagination|pager|toolbar|masthead|"
     r"contentinfo|complementary|skip)"
 )
 _LAYOUT_WORD = r"(?:site|main|top|bottom|area|container|wrapper|wrap|box|block|bar|list|links?|buttons?|posts|section|form)"
@@ -97,6 +106,37 @@ def _label(tag: str, attributes: str) -> tuple[str, int]:
     return (f"{tag}.{classes}" if classes else tag), never
 
 
+class _Ends:
+    """Where the tags of a page end: at the first ``>`` outside of quotes.
+
+    A tag whose quotes do not pair, and every tag up to its unpaired quote, ends at the first ``>`` instead. So no
+    part of a page is searched for quotes twice, and a page without a further ``>`` is known as such.
+    """
+
+    def __init__(self, page: str):
+        self._page, self._last, self._unpaired = page, page.rfind(">"), -1
+
+    def after(self, position: int) -> int:
+        """Index of the ``>`` that ends the tag or declaration whose attributes begin here; -1 if there is none."""
+        page = self._page
+        if position > self._last:
+            return -1
+        at = position
+        while at >= self._unpaired:
+            at = _UNQUOTED.match(page, at).end()
+            if page[at : at + 1] == ">":
+                return at
+            close = page.find(page[at], at + 1) if at < len(page) else -1
+            if close < 0:
+                self._unpaired = at + 1
+            else:
+                at = close + 1
+        return page.find(">", position)
+
+    def plain(self, position: int) -> int:
+        return -1 if position > self._last else self._page.find(">", position)
+
+
 def blocks_of(page: str) -> tuple[Node, list[tuple[Node, int, bool, str]]]:
     """The tree of a page and its blocks of text: node, whether it is never article text, whether in an article."""
     root = Node("")
@@ -106,6 +146,8 @@ def blocks_of(page: str) -> tuple[Node, list[tuple[Node, int, bool, str]]]:
     held = False  # whether an article or main element has begun
     parts: list[str] = []
     owner = stack[0]
+    opened: defaultdict[str, int] = defaultdict(int)  # open elements by tag
+    ends = _Ends(page)
 
     def ended() -> None:
         if parts:
@@ -115,25 +157,44 @@ def blocks_of(page: str) -> tuple[Node, list[tuple[Node, int, bool, str]]]:
                 blocks.append((owner[1], owner[2], owner[3], text))
 
     def close(at: int) -> None:
-        if any(tag not in _INLINE for tag, *_ in stack[at:]):
+        breaks = False
+        for element in stack[at:]:
+            opened[element[0]] -= 1
+            breaks = breaks or element[0] not in _INLINE
+        if breaks:
             ended()
         del stack[at:]
 
     position, size = 0, len(page)
     while position < size:
         match = _TOKEN.match(page, position)
-        token = match[0]
+        token, slash, tag, attributes = match.group(0, 1, 2, 3)
         position = match.end()
         if token == "<!--":
             end = page.find("-->", position)
             position = size if end < 0 else end + 3
-        elif match[2]:
-            tag = match[2].lower()
-            if match[1]:
-                for at in range(len(stack) - 1, 0, -1):
-                    if stack[at][0] == tag:
-                        close(at)
-                        break
+            continue
+        if attributes is None:
+            end = -1
+            if tag:
+                end = ends.after(position)
+            elif token in ("<!", "<?"):
+                end = ends.plain(position)
+            if end < 0:  # text, or a tag without an end, which is text as well
+                if not parts or owner[1:3] != stack[-1][1:3]:
+                    ended()
+                    owner = stack[-1]
+                parts.append(token)
+                continue
+            attributes, position = page[position:end], end + 1
+        if tag:
+            tag = tag.lower()
+            if slash:
+                if opened[tag]:
+                    for at in range(len(stack) - 1, 0, -1):
+                        if stack[at][0] == tag:
+                            close(at)
+                            break
                 continue
             if tag in _RAW:
                 end = re.compile(f"</{tag}[\\s/>]", re.I).search(page, position)
@@ -146,18 +207,20 @@ def blocks_of(page: str) -> tuple[Node, list[tuple[Node, int, bool, str]]]:
                 continue
             if tag not in _INLINE:
                 ended()
-                for at in range(len(stack) - 1, 0, -1):
-                    open_tag = stack[at][0]
-                    if open_tag in _SCOPES.get(tag, ()):
-                        break
-                    if open_tag in _CLOSES.get(tag, ()) or open_tag == "p":
-                        close(at)
-                        break
+                closes, scopes = _CLOSES.get(tag, ()), _SCOPES.get(tag, ())
+                if opened["p"] or any(opened[t] for t in closes):
+                    for at in range(len(stack) - 1, 0, -1):
+                        open_tag = stack[at][0]
+                        if open_tag in scopes:
+                            break
+                        if open_tag == "p" or open_tag in closes:
+                            close(at)
+                            break
             if tag in ("article", "main") and not held:  # names around the first of them tell nothing
                 held = True
                 stack[:] = [(t, n, 0 if v == _BY_NAME else v, i) for t, n, v, i in stack]
             _, node, never, inside = stack[-1]
-            label, own = _label(tag, match[3])
+            label, own = _label(tag, attributes)
             if tag == "header" and not inside:
                 own = _BY_TAG
             if tag not in _INLINE:
@@ -166,24 +229,26 @@ def blocks_of(page: str) -> tuple[Node, list[tuple[Node, int, bool, str]]]:
                 ended()
             inside = inside or tag in ("article", "main")
             stack.append((tag, node, max(never, own), inside))
-        elif not token.startswith(("<!", "<?")):
-            if not parts or owner[1:3] != stack[-1][1:3]:
-                ended()
-                owner = stack[-1]
-            parts.append(token)
+            opened[tag] += 1
     ended()
     return root, blocks
 
 
 def signature_of(root: Node) -> str:
     """The tree as text; numbers the nodes in preorder."""
-    counter = iter(range(1 << 40))
-
-    def told(node: Node) -> str:
-        node.number = next(counter)
-        return node.label + "(" + "".join(told(child) for child in node.children.values()) + ")"
-
-    return told(root)
+    parts, number, left = [], 0, [iter([root])]
+    while left:
+        node = next(left[-1], None)
+        if node is None:
+            left.pop()
+            if left:
+                parts.append(")")
+            continue
+        node.number = number
+        number += 1
+        parts += [node.label, "("]
+        left.append(iter(node.children.values()))
+    return "".join(parts)
 
 
 def tree_of(signature: str) -> Node:
@@ -201,31 +266,37 @@ def tree_of(signature: str) -> Node:
 
 def matched(reference: Node, other: Node) -> dict[int, int]:
     """Simple tree matching: number of a node of ``other`` -> number of the node of ``reference`` it is aligned with."""
-
-    def match(a: Node, b: Node) -> tuple[int, dict[int, int]]:
-        if a.label != b.label:
-            return 0, {}
+    if reference.label != other.label:
+        return {}
+    pairs = [(reference, other)]  # siblings have different labels, so a node can only be aligned with one other
+    for a, b in pairs:
+        pairs += [(x, b.children[x.label]) for x in a.children.values() if x.label in b.children]
+    scores, chosen = {}, {}
+    for a, b in reversed(pairs):
         first, second = list(a.children.values()), list(b.children.values())
         best = [[0] * (len(second) + 1) for _ in range(len(first) + 1)]
-        pairs = {}
         for i, x in enumerate(first, 1):
             for j, y in enumerate(second, 1):
                 best[i][j] = max(best[i - 1][j], best[i][j - 1])
                 if x.label == y.label:
-                    pairs[i, j] = match(x, y)
-                    best[i][j] = max(best[i][j], best[i - 1][j - 1] + pairs[i, j][0])
-        aligned, i, j = {b.number: a.number}, len(first), len(second)
+                    best[i][j] = max(best[i][j], best[i - 1][j - 1] + scores[y.number])
+        taken, i, j = [], len(first), len(second)
         while i and j:
-            if (i, j) in pairs and best[i][j] == best[i - 1][j - 1] + pairs[i, j][0]:
-                aligned |= pairs[i, j][1]
+            x, y = first[i - 1], second[j - 1]
+            if x.label == y.label and best[i][j] == best[i - 1][j - 1] + scores[y.number]:
+                taken.append((x, y))
                 i, j = i - 1, j - 1
             elif best[i][j] == best[i - 1][j]:
                 i -= 1
             else:
                 j -= 1
-        return best[-1][-1] + 1, aligned
-
-    return match(reference, other)[1]
+        scores[b.number], chosen[b.number] = best[-1][-1] + 1, taken
+    aligned, left = {}, [(reference, other)]
+    while left:
+        a, b = left.pop()
+        aligned[b.number] = a.number
+        left += chosen[b.number]
+    return aligned
 
 
 _BLOCK = pa.struct([("node", pa.int32()), ("never", pa.int8()), ("inside", pa.bool_()), ("text", pa.string())])

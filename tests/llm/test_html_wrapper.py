@@ -1,3 +1,6 @@
+import random
+import time
+
 import pytest
 
 from salesloom.llm import html_wrapper
@@ -18,6 +21,12 @@ def blocks(page):
         ("<span class=ad>x</span>y < z", ["y < z"]),
         ("<p title='a>b'>t</p></div></p>", ["t"]),
         ("<!-- never ends <p>x", []),
+        ("<p>for(i=0;i<n;i++) then x>3</p>y", ["for(i=0;i<n;i++) then x>3", "y"]),
+        ("a <b c='d\"e' f=\"<g>\">h</b> i", ["a h i"]),
+        ("<p x='1>a</p><p>b", ["a", "b"]),
+        ("a <b", ["a <b"]),
+        ("<!x <p>y", ["y"]),
+        ("a <! b", ["a <! b"]),
         ("", []),
     ],
 )
@@ -31,6 +40,63 @@ def test_simple_tree_matching():
     assert html_wrapper.matched(a, b) == {0: 0, 1: 1, 2: 3, 3: 5, 4: 6, 6: 7}
 
 
+ODD = {
+    "deep": "<div>" * 20_000 + "x" + "</div>" * 20_000,
+    "unclosed": "<p>x" + "<a " * 300_000,
+    "quotes": "<p>x" + '<a ">" ' * 100_000 + '"',
+    "declarations": "<p>x" + "<!" * 300_000,
+    "closers": "<div>" * 20_000 + "x" + "</i>" * 20_000,
+    "names": f"<div class='{'advert_' * 300}!'>x",
+    "brackets": "<p>x" + "".join(f"<a{k});(>" for k in range(20)),
+}
+
+
+@pytest.mark.parametrize("kind", ODD)
+def test_odd_pages_take_one_pass(kind):
+    begin = time.monotonic()
+    root, found = html_wrapper.blocks_of(ODD[kind])
+    signature = html_wrapper.signature_of(root)
+    tree = html_wrapper.tree_of(signature)
+    assert found[0][3].startswith("x") and signature == html_wrapper.signature_of(tree)
+    aligned = html_wrapper.matched(tree, tree)
+    assert all(a == b for a, b in aligned.items()) and len(aligned) == signature.count("(")
+    assert time.monotonic() - begin < 20
+
+
+def test_odd_pages_among_others(spark):
+    rows = [(k, "http://h/", html) for k, html in enumerate(ODD.values())]
+    rows += [(100 + k, f"http://h/{k}", f"<div class=a>Home Shop</div><p>Story {k}</p>") for k in range(20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html_wrapper.extract(pages).collect()}
+    assert len(found) == len(rows) and all(found[k].startswith("x") for k in range(len(ODD)))
+    assert found[105] == "Story 5"
+
+
+def test_matching_against_all_alignments():
+    rng = random.Random(8)
+
+    def tree(depth):
+        labels = rng.sample("abcd", rng.randint(0, 4)) if depth else []
+        return "".join(f"{label}({tree(depth - 1)})" for label in labels)
+
+    def largest(a, b):
+        """Most nodes that an order-preserving alignment of two nodes of one label has."""
+        first, second = list(a.children.values()), list(b.children.values())
+
+        def best(i, j):
+            if i == len(first) or j == len(second):
+                return 0
+            taken = largest(first[i], second[j]) + best(i + 1, j + 1) if first[i].label == second[j].label else 0
+            return max(taken, best(i + 1, j), best(i, j + 1))
+
+        return 1 + best(0, 0)
+
+    for _ in range(100):
+        a, b = (html_wrapper.tree_of(f"({tree(3)})") for _ in range(2))
+        assert len(html_wrapper.matched(a, b)) == largest(a, b)
+    assert html_wrapper.matched(html_wrapper.tree_of("a()"), html_wrapper.tree_of("b()")) == {0: 0}
+
+
 def page(k, words):
     """No class or tag of this page tells the menu and the closing line from the story."""
     return f"<div><div class=a>Home Shop</div><div class=b><p>Story {k} {words}</p><p>More {words} {k * 7}</p></div><div class=c>All rights</div></div>"
