@@ -5,8 +5,9 @@ places. Each is scaled by the log ratio of its smoothed shares of the two classe
 vector is brought to length one, and a logistic regression with a quadratic penalty is fitted to it. The score is the
 regression's probability of label 1; its intercept is fixed at the prior log odds.
 
-Labels are learned from at most ``MAX_LABELLED`` labelled rows, chosen by a hash of their id, whose features are made
-in parallel and fitted in one task; the model is two arrays of 2^18 floats. Scoring is one pass over whole texts.
+Labels are learned from at most ``MAX_LABELLED`` labelled rows, chosen by a hash of their id, then of their text, whose
+features are made in parallel and fitted in one task, block by block. That task takes rows in this order until they have
+``MAX_FEATURES`` features together. The model is two arrays of 2^18 floats. Scoring is one pass over whole texts.
 
 A null text counts as empty and gets the prior as its score, as does an empty one. Rows without a label are
 not learned from; with no labelled row the score is 0, with labels of one class the scores stay on that side. Rows that
@@ -19,11 +20,16 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Labelled rows that the classifier is fitted on at most.
 MAX_LABELLED = 4_000
+#: Features of these rows at most; 8 bytes each in the fit.
+MAX_FEATURES = 1 << 25
+#: Rows whose features are multiplied together.
+BLOCK = 128
 BITS = 18
 ORDERS = (3, 4, 5)
 PENALTY = 3e-5
@@ -49,8 +55,8 @@ def _featured(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     mark = np.empty(1 << BITS, np.int32)
     for batch in batches:
         places = [_features(text.as_py(), mark).astype("<u4").tobytes() for text in batch.column("text")]
-        columns = [batch.column("id_hash"), batch.column("label"), pa.array(places, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, ["id_hash", "label", "places"])
+        columns = [*(batch.column(name) for name in _ORDER), pa.array(places, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, [*_ORDER, "places"])
 
 
 def _minimum(loss: Callable[[np.ndarray], tuple[float, np.ndarray]], start: np.ndarray) -> np.ndarray:
@@ -90,26 +96,26 @@ def _minimum(loss: Callable[[np.ndarray], tuple[float, np.ndarray]], start: np.n
 def _fitted(rows: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     """Weights with the ratios multiplied in, squared ratios, intercept."""
     size, n = 1 << BITS, len(rows)
-    lengths = np.array([len(r) for r in rows])
-    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    places = np.concatenate(rows).astype(np.intp)
-    share = []
-    for label in (1, 0):
-        own = [r for r, y in zip(rows, labels, strict=True) if y == label]
-        counts = np.bincount(np.concatenate([np.zeros(0, np.uint32), *own]), minlength=size) + 1.0
-        share.append(counts / counts.sum())
-    ratio = np.log(share[0] / share[1])
-    value = ratio.astype(np.float32)[places]
-    norm = np.sqrt(np.add.reduceat(value**2, starts, dtype=np.float64))
-    value /= np.repeat(np.maximum(norm, 1e-9).astype(np.float32), lengths)
+    counts = {1: np.ones(size), 0: np.ones(size)}
+    for row, label in zip(rows, labels, strict=True):
+        counts[int(label)][row] += 1  # the places of a row are distinct
+    ratio = np.log(counts[1] / counts[1].sum() / (counts[0] / counts[0].sum()))
+    scale = ratio.astype(np.float32)
+    norms = np.array([max(float((scale[row] ** 2).sum(dtype=np.float64)) ** 0.5, 1e-9) for row in rows])
+    blocks = [slice(start, min(start + BLOCK, n)) for start in range(0, n, BLOCK)]
 
     def loss(weights: np.ndarray) -> tuple[float, np.ndarray]:
-        z = np.add.reduceat(weights.astype(np.float32)[places] * value, starts, dtype=np.float64) + weights[-1]
-        error = 1 / (1 + np.exp(-np.clip(z, -50, 50))) - labels
-        slope = np.empty(size + 1)
-        slope[:-1] = np.bincount(places, weights=np.repeat(error.astype(np.float32), lengths) * value, minlength=size) / n
-        slope[:-1] += 2 * PENALTY * weights[:-1]
-        slope[-1] = 0.0  # the intercept stays the prior, which is what a text without known features gets
+        scaled = (weights[:-1] * ratio).astype(np.float32)
+        z, slope = np.empty(n), np.zeros(size + 1)
+        for block in blocks:
+            own = rows[block]
+            z[block] = [float(scaled[row].sum(dtype=np.float64)) for row in own]
+            z[block] = z[block] / norms[block] + weights[-1]
+            error = (1 / (1 + np.exp(-np.clip(z[block], -50, 50))) - labels[block]) / norms[block]
+            errors = np.repeat(error, [len(row) for row in own])
+            slope[:-1] += np.bincount(np.concatenate(own), weights=errors, minlength=size)
+        slope[:-1] = slope[:-1] * ratio / n + 2 * PENALTY * weights[:-1]
+        # slope[-1] stays 0: the intercept is the prior, which is what a text without known features gets
         fit = np.mean(np.logaddexp(0, z) - labels * z) + PENALTY * weights[:-1].dot(weights[:-1])
         return float(fit), slope
 
@@ -122,15 +128,18 @@ def _fitted(rows: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def _trained(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = pa.Table.from_batches(list(batches), _FEATURED).sort_by([("id_hash", "ascending"), ("label", "ascending")])
+    table = pa.Table.from_batches(list(batches), _FEATURED).sort_by([(name, "ascending") for name in _ORDER])
+    sizes = np.cumsum(pc.binary_length(table.column("places")).to_numpy() // 4)
+    table = table.slice(0, int(np.searchsorted(sizes, MAX_FEATURES, side="right")))
     if len(table):
-        rows = [np.frombuffer(p.as_py(), "<u4") for p in table.column("places")]
+        rows = [np.frombuffer(p.as_buffer(), "<u4") for p in table.column("places")]
         weights, squares, intercept = _fitted(rows, table.column("label").to_numpy().astype(float))
         arrays = [pa.array([weights.tobytes()]), pa.array([squares.tobytes()]), pa.array([intercept])]
         yield pa.RecordBatch.from_arrays(arrays, ["weights", "squares", "intercept"])
 
 
-_FEATURED = pa.schema([("id_hash", pa.int64()), ("label", pa.int32()), ("places", pa.binary())])
+_ORDER = ("id_hash", "text_hash", "label")
+_FEATURED = pa.schema([("id_hash", pa.int64()), ("text_hash", pa.int64()), ("label", pa.int32()), ("places", pa.binary())])
 
 
 def labelled_sample(labels: DataFrame, learn: Column, id_column: str, label_column: str) -> DataFrame:
@@ -148,8 +157,10 @@ def train(
     sample = F.broadcast(labelled_sample(labels, learn, id_column, label_column))  # at most MAX_LABELLED rows
     text = F.coalesce(F.col(text_column), F.lit("")).alias("text")
     rows = docs.select(F.col(id_column).alias("id"), text).join(sample, F.col("id") == F.col("labelled_id"))
-    rows = rows.select("id_hash", "label", "text").mapInArrow(_featured, "id_hash long, label int, places binary")
-    model = rows.repartition(1).mapInArrow(_trained, "weights binary, squares binary, intercept double").collect()
+    rows = rows.select("id_hash", F.xxhash64("text").alias("text_hash"), "label", "text")
+    rows = rows.mapInArrow(_featured, "id_hash long, text_hash long, label int, places binary")
+    rows = rows.orderBy(*_ORDER).limit(MAX_LABELLED)  # ids may repeat; one task holds the rows that remain
+    model = rows.mapInArrow(_trained, "weights binary, squares binary, intercept double").collect()
     if not model:
         return None
     return np.frombuffer(model[0].weights, "<f4"), np.frombuffer(model[0].squares, "<f4"), model[0].intercept
