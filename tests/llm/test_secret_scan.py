@@ -63,3 +63,38 @@ def test_redacted_keeps_columns_and_empty_tables(texts):
     assert out.columns == docs.columns
     assert {r.doc_id: r.text for r in out.collect()} == {1: None, 2: "a [secret] b [secret]", 3: ""}
     assert secret_scan.scan(docs.limit(0)).collect() == []
+
+
+def test_many_matches_in_one_text(spark, texts):
+    def text(n):
+        return " ".join(f"token=abcdefgh{k} internationalised_words{'xyz'[k % 3]} secret: {'ab' * 20} é" for k in range(n))
+
+    rows = [(1, text(5_000)), (2, text(3)), (3, "plain")]
+    found = secret_scan.scan(texts(rows)).select("doc_id", secret_scan.listed(F.col("base")).alias("base")).collect()
+    assert {r.doc_id: r.base for r in found} == {i: brute(t) for i, t in rows}
+    for i, t in rows:
+        clean = re.sub(rf"(?:{NAME})[=:] ?[a-z0-9]+", "[secret]", t)
+        assert secret_scan.redacted(texts([(i, t)])).first().text == clean
+
+
+def test_tokens_outside_of_spans(spark):
+    rng = random.Random(7)
+    span = "array<struct<start:int,kind:int,end:int,value:string>>"
+
+    def spans(kinds, count):
+        found = []
+        for kind in kinds:
+            at = 0
+            for _ in range(rng.randint(0, count)):
+                at += rng.randint(0, 30)
+                found.append((at, kind, at + rng.randint(1, 40), "v"))
+                at = found[-1][2]
+        return found
+
+    rows = [(i, spans(range(3), 6), spans([3], 8)) for i in range(200)] + [(900, spans(range(3), 400), spans([3], 900))]
+    rows += [(901, [], spans([3], 5)), (902, spans([0], 5), [])]
+    frame = spark.createDataFrame(rows, f"id int, base {span}, tokens {span}")
+    out = frame.select("id", secret_scan._outside(F.col("tokens"), F.col("base")).alias("left")).collect()
+    for r in out:
+        _, base, tokens = next(x for x in rows if x[0] == r.id)
+        assert [tuple(t) for t in r.left] == [t for t in tokens if not any(b[0] < t[2] and t[0] < b[2] for b in base)]
