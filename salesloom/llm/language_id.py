@@ -7,11 +7,13 @@ language; the language with the smallest product wins, ties go to the smaller na
 separator for any run of other characters, whole, in segments of ``SEGMENT`` characters; many segments take a step
 through all automata together.
 
-Samples are at most ``SAMPLE_CHARS`` characters from at most ``SAMPLE_DOCS`` labelled documents of each language,
-chosen by a hash of the id. Only these samples leave the cluster's tables; every Python worker builds its automata
-from them once. More than ``MAX_LANGUAGES`` labels are an error.
+Samples are at most ``SAMPLE_CHARS`` characters of each language, from at most ``SAMPLE_DOCS`` different labelled texts
+chosen by their hash. A text gives a passage of at most ``PASSAGE`` characters from a place that its hash chooses, and
+passages are cut to one length where together they are longer than a sample. Only these samples leave the cluster's
+tables; every Python worker builds its automata from them once. More than ``MAX_LANGUAGES`` labels are an error. Every
+letter of the samples has a symbol of its own; letters that no sample has are alike, as none of them continues a match.
 
-A null text and a text without a letter give ``und`` with score 0, and so does any text if nothing was learned. With
+A text whose letters no sample has gets the language of the shortest sample. A null text and a text without a letter give ``und`` with score 0, and so does any text if nothing was learned. With
 one language every other text gets it with score 1; else the score is the runner-up's share of the sum of both
 products, from 0.5 to 1. Rows without a language or an id are not learned from. Rows that repeat are answered alike.
 Only the named columns are read. An empty table gives no rows.
@@ -21,7 +23,7 @@ from __future__ import annotations
 
 import functools
 import math
-from collections import Counter
+import sys
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -33,9 +35,11 @@ from pyspark.sql import functions as F
 SAMPLE_CHARS = 1 << 15
 SAMPLE_DOCS = 64
 MAX_LANGUAGES = 64
-#: Letters with a symbol of their own; all others share one.
-LETTERS = 250
+#: Characters of one text in a sample at most.
+PASSAGE = SAMPLE_CHARS // 8
 SEGMENT = 512
+#: Entries of a table of all (state, symbol) at most; beyond it only the transitions that exist are kept, sorted.
+TABLE_CELLS = 1 << 25
 #: Symbols parsed together.
 TOGETHER = 1 << 20
 
@@ -73,39 +77,64 @@ def _automaton(text: np.ndarray) -> list[dict[int, int]]:
 
 
 def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-16-le", "surrogatepass"), "<u2")
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+@functools.lru_cache(maxsize=1)
+def _lowered() -> np.ndarray:
+    """Lower-case letter of every code point, 0 for those that are no letters."""
+    letters = filter(str.isalpha, map(chr, range(sys.maxunicode + 1)))
+    pairs = np.array([(ord(c), ord(c.lower()[0])) for c in letters], np.int32)
+    table = np.zeros(sys.maxunicode + 1, np.int32)
+    table[pairs[:, 0]] = pairs[:, 1]
+    return table
 
 
 class Parser:
-    """The automata of all languages in one table: entry (state, symbol) is the next state, or the complement of
-    the state after the symbol has ended a phrase."""
+    """The automata of all languages: (state, symbol) gives the next state, or the complement of the state after the
+    symbol has ended a phrase. Symbol 0 is a separator, the last one stands for all letters that no sample has."""
 
     def __init__(self, samples: tuple[tuple[str, str], ...]):
         self.names = [name for name, _ in samples]
-        counts = Counter(c.lower()[0] for _, text in samples for c in text if c.isalpha() and ord(c) < 1 << 16)
-        own = {c: k for k, (c, _) in enumerate(counts.most_common(LETTERS), 1)}
-        other = len(own) + 1
-        self._symbol_of = np.zeros(1 << 16, np.uint8)
-        for code in range(1 << 16):
-            if chr(code).isalpha():
-                self._symbol_of[code] = own.get(chr(code).lower()[0], other)
-        self._width = other + 1
-        tables, self._roots, size = [], [], 0
-        self._weights = []
+        letters = np.unique(np.concatenate([np.zeros(1, np.int32), *(_lowered()[_codes(text)] for _, text in samples)]))
+        self._width = len(letters) + 1
+        lowered = _lowered()
+        place = np.minimum(np.searchsorted(letters, lowered), len(letters) - 1)
+        self._symbol_of = np.where(letters[place] == lowered, place, self._width - 1).astype(np.int32)
+        self._roots, self._weights, size = [], [], 0
+        keys, targets, symbol_after = [], [], []
         for _, text in samples:
             symbols = self.symbols(text)[:SAMPLE_CHARS]
             following = _automaton(symbols)
-            table = np.full((len(following), self._width), ~size, np.int32)
+            for state, row in enumerate(following, size):
+                keys.append(np.fromiter(row, np.int64, len(row)) + state * self._width)
+                targets.append(np.fromiter(row.values(), np.int32, len(row)) + np.int32(size))
+            fallback = np.full(self._width, ~size, np.int64)
             for symbol, state in following[0].items():
-                table[:, symbol] = ~(state + size)
-            for state, row in enumerate(following):
-                for symbol, target in row.items():
-                    table[state, symbol] = target + size
-            tables.append(table)
+                fallback[symbol] = ~(state + size)
+            symbol_after.append(fallback)
             self._roots.append(size)
             self._weights.append(math.log2(len(symbols) + 2))
             size += len(following)
-        self._table = np.concatenate(tables).ravel()
+        self._keys, self._targets = np.concatenate(keys), np.concatenate(targets)
+        order = np.argsort(self._keys)
+        self._keys, self._targets = self._keys[order], self._targets[order]
+        self._after = np.concatenate(symbol_after).astype(np.int32)  # by language and symbol
+        self._table = None
+        if size * self._width <= TABLE_CELLS:
+            counts = np.diff([*self._roots, size])
+            self._table = np.repeat(self._after.reshape(len(counts), -1), counts, axis=0).ravel()
+            self._table[self._keys] = self._targets
+
+    def _following(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """Next states of all languages (rows) and segments (columns)."""
+        at = states * self._width
+        at += symbols
+        if self._table is not None:
+            return self._table.take(at)
+        place = np.minimum(np.searchsorted(self._keys, at), len(self._keys) - 1)
+        languages = np.arange(len(self._roots))[:, None] * self._width
+        return np.where(self._keys[place] == at, self._targets[place], self._after[languages + symbols])
 
     def symbols(self, text: str) -> np.ndarray:
         found = self._symbol_of[_codes(text)]
@@ -126,9 +155,7 @@ class Parser:
         active = np.searchsorted(-lengths, -np.arange(SEGMENT), side="left")  # segments longer than each step
         for step in range(int(lengths[0]) if len(lengths) else 0):
             n = active[step]
-            at = states[:, :n] * self._width
-            at += data[starts[:n] + step]
-            following = self._table.take(at)
+            following = self._following(states[:, :n], data[starts[:n] + step])
             counts[:, :n] += following < 0
             following ^= following >> 31
             states[:, :n] = following
@@ -165,20 +192,34 @@ def learn(
 ) -> tuple[tuple[str, str], ...]:
     """(language, sample) in order of names, from the rows that satisfy ``learnable``."""
     named = F.col(lang_column).isNotNull() & F.col(text_column).isNotNull() & F.col(id_column).isNotNull()
-    share = SAMPLE_CHARS // 8  # no document makes up more than an eighth of a sample
-    rows = docs.where(learnable & named).select(
-        F.col(lang_column).alias("lang"),
-        F.xxhash64(id_column).alias("turn"),
-        F.substring(text_column, 1, share).alias("part"),
+    texts = docs.where(learnable & named).select(
+        F.col(lang_column).alias("lang"), F.xxhash64(text_column).alias("turn"), F.col(text_column).alias("text")
     )
-    turn = F.row_number().over(W.partitionBy("lang").orderBy("turn", "part"))
-    rows = rows.withColumn("number", turn).where(F.col("number") <= SAMPLE_DOCS)
-    parts: dict[str, list[tuple[int, str]]] = {}
-    for row in rows.limit(MAX_LANGUAGES * SAMPLE_DOCS + 1).collect():
-        parts.setdefault(row.lang, []).append((row.number, row.part))
-    if len(parts) > MAX_LANGUAGES:
+    turns = texts.select("lang", "turn").distinct()
+    turns = turns.withColumn("number", F.row_number().over(W.partitionBy("lang").orderBy("turn")))
+    turns = turns.where(F.col("number") <= SAMPLE_DOCS).limit(MAX_LANGUAGES * SAMPLE_DOCS + 1)
+    places = F.greatest(F.length("text") - PASSAGE + 1, F.lit(1))
+    passage = F.substring("text", (F.pmod("turn", places) + 1).cast("int"), F.lit(PASSAGE))
+    rows = texts.join(F.broadcast(turns), ["lang", "turn"]).select("lang", "number", passage.alias("passage"))
+    passages: dict[str, list[tuple[int, str]]] = {}
+    for row in rows.distinct().limit(2 * MAX_LANGUAGES * SAMPLE_DOCS).collect():
+        passages.setdefault(row.lang, []).append((row.number, row.passage))
+    if len(passages) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    return tuple((lang, " ".join(p for _, p in sorted(found))[:SAMPLE_CHARS]) for lang, found in sorted(parts.items()))
+    return tuple((lang, _sample([p for _, p in sorted(found)])) for lang, found in sorted(passages.items()))
+
+
+def _sample(passages: list[str]) -> str:
+    """Passages joined, those cut that are longer than an even share of what the shorter ones leave."""
+    left, share = SAMPLE_CHARS - len(passages), 0
+    for shorter, size in enumerate(sorted(map(len, passages))):
+        share = left // (len(passages) - shorter)
+        if size > share:
+            break
+        left -= size
+    else:
+        share = PASSAGE
+    return " ".join(p[:share] for p in passages)
 
 
 def identified(

@@ -90,7 +90,8 @@ def test_phrases_against_a_plain_parse():
     texts = [words(rng, rng.choice(["aa", "bb", "cc"]), n) for n in (1, 3, 40, 900)] + ["?"]
 
     def plain(text, sample):
-        symbols, known = bytes(parser.symbols(text)), bytes(parser.symbols(sample)[: language_id.SAMPLE_CHARS])
+        symbols, known = (bytes(parser.symbols(t).tolist()) for t in (text, sample))
+        known = known[: language_id.SAMPLE_CHARS]
         phrases = 0
         for start in range(0, len(symbols), language_id.SEGMENT):
             part, match = symbols[start : start + language_id.SEGMENT], b""
@@ -106,3 +107,77 @@ def test_phrases_against_a_plain_parse():
     found = parser.phrases([parser.symbols(t) for t in texts])
     expected = [[plain(t, s) * parser._weights[k] for t in texts] for k, (_, s) in enumerate(samples)]
     assert np.allclose(found, expected)
+
+
+def test_scripts_of_many_letters_and_beyond_the_basic_plane(monkeypatch):
+    """Letters are told apart however many there are; both forms of the transitions answer alike."""
+    rng = random.Random(9)
+    many = [chr(0x4E00 + 2 * k) for k in range(700)]
+    others = [chr(0x4E00 + 2 * k + 1) for k in range(700)]
+    gothic = [chr(0x10330 + k) for k in range(26)]
+    runs = {"aa": many, "bb": others, "cc": gothic, "dd": gothic[::-1][:13]}
+
+    def text(lang, n):
+        start = rng.randrange(len(runs[lang]))
+        return "".join(runs[lang][(start + k) % len(runs[lang])] for k in range(n))
+
+    samples = tuple((lang, " ".join(text(lang, 40) for _ in range(200))) for lang in runs)
+    questions = [(lang, " ".join(text(lang, 20) for _ in range(3))) for lang in runs for _ in range(10)]
+    dense = language_id.Parser(samples)
+    found = dense.identify([t for _, t in questions])
+    assert [name for name, _ in found] == [lang for lang, _ in questions]
+    monkeypatch.setattr(language_id, "TABLE_CELLS", 0)
+    assert language_id.Parser(samples).identify([t for _, t in questions]) == found
+
+
+def test_samples_come_from_many_texts_and_any_place(spark):
+    rows = [(k, "x" * 50_000 + chr(0x100 + k) * 50_000, "aa") for k in range(80)] + [(k, "same text", "bb") for k in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    (_, long), (_, short) = language_id.learn(docs, F.lit(True))
+    passages = long.split(" ")
+    assert len(passages) == language_id.SAMPLE_DOCS and len(long) <= language_id.SAMPLE_CHARS < len(long) + 200
+    assert len({len(p) for p in passages}) == 1 and 10 < sum(p[0] == "x" for p in passages) < 54
+    assert short == "same text"
+
+
+def test_toxicity_fit_against_plain_features():
+    """Features, ratios, norms and the minimum itself, without blocks or hashing by numpy."""
+    rng = random.Random(2)
+    words = ["tree", "river", "idiot", "moron"]
+    texts = [" ".join(rng.choice(words[: 2 + 2 * (k % 2)]) for _ in range(rng.randint(1, 9))) for k in range(60)]
+    labels = np.array([float("idiot" in t or "moron" in t) for t in texts])
+
+    def plain(text):
+        data, places = f" {text.lower()} ".encode(), set()
+        for order in toxicity.ORDERS:
+            for start in range(len(data) - order + 1):
+                value = data[start]
+                for byte in data[start + 1 : start + order]:
+                    value = value * 0x01000193 % 2**32 ^ byte
+                places.add(value * 0x9E3779B1 % 2**32 >> 32 - toxicity.BITS)
+        return places
+
+    mark = np.empty(1 << toxicity.BITS, np.int32)
+    rows = [toxicity._features(t, mark) for t in texts]
+    assert all(set(r.tolist()) == plain(t) and len(r) == len(plain(t)) for r, t in zip(rows, texts, strict=True))
+    weights, squares, intercept = toxicity._fitted(rows, labels)
+    used = sorted(set().union(*map(plain, texts)))
+    counts = [{p: 1 + sum(p in plain(t) for t, y in zip(texts, labels, strict=True) if y == c) for p in used} for c in (0, 1)]
+    totals = [sum(c.values()) + (1 << toxicity.BITS) - len(used) for c in counts]
+    ratio = np.array([np.log(counts[1][p] / totals[1] / (counts[0][p] / totals[0])) for p in used])
+    assert np.allclose(squares[used], ratio**2, rtol=1e-5)
+    matrix = np.array([[p in plain(t) for p in used] for t in texts]) * ratio
+    matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+    free = weights[used] / ratio
+    error = 1 / (1 + np.exp(-(matrix @ free + intercept))) - labels
+    slope = matrix.T @ error / len(texts) + 2 * toxicity.PENALTY * free
+    at_start = matrix.T @ (1 / (1 + np.exp(-intercept)) - labels) / len(texts)
+    assert np.abs(slope).max() < 0.02 * np.abs(at_start).max()
+
+
+def test_toxicity_learns_alike_from_repeated_ids(labelled):
+    docs, labels = labelled
+    learn = F.lit(True)
+    many = docs.union(docs.where("doc_id = 5")).repartition(7)
+    first, again = (toxicity.train(d, labels, learn) for d in (many, many.repartition(3)))
+    assert all(np.array_equal(a, b) for a, b in zip(first, again, strict=True))
