@@ -3,7 +3,7 @@
 Three rules find base spans: values assigned to a secret's name (``assign``), access keys (``access``) and long
 hexadecimal runs (``hex``). Everything else that looks like one token of 16 or more characters is judged by two
 first-order character Markov models: if the mean log-likelihood ratio of its transitions exceeds
-``THRESHOLD``, it is a span of kind ``markov``. Base spans stay as they are; a token that overlaps one is not judged.
+``THRESHOLD``, it is a span of kind ``markov``; one without lower-case letters is judged in lower case. Base spans stay as they are; a token that overlaps one is not judged.
 
 The models are trained from labelled samples: a table of values and whether each is random. By default these are the
 distinct values of the base spans and the distinct long tokens outside of them that consist of words, over all documents. Their transition
@@ -207,7 +207,9 @@ def log_ratios(counts: list[Row]) -> list[float] | None:
 
 def _random(token: Column, ratios: list[float]) -> Column:
     """Whether the mean log ratio of a token's transitions exceeds the threshold."""
-    codes = F.transform(_characters(token["value"]), F.ascii)
+    value = token["value"]
+    value = F.when(value == F.upper(value), F.lower(value)).otherwise(value)  # a word in capitals is still a word
+    codes = F.transform(_characters(value), F.ascii)
     table = literal_doubles(ratios)
     pairs = F.zip_with(codes, F.slice(codes, F.lit(2), F.size(codes)), lambda a, b: a * 128 + b)
     total = F.aggregate(
