@@ -10,14 +10,15 @@ from __future__ import annotations
 import functools
 import string
 from collections.abc import Iterable, Iterator
-from itertools import islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Fragments a Python worker remembers; about 200 bytes each.
 REMEMBERED = 800_000
-#: Texts whose fragments are looked up together.
-TOGETHER = 256
+#: Characters of texts whose fragments are looked up together.
+TOGETHER = 1 << 22
 #: Fragments that are encoded as one text.
 LINES = 1024
 
@@ -38,23 +39,26 @@ class Encoder:
 
     def _learn(self, fragments: set[str]) -> None:
         known = self._known
-        new = [f for f in fragments if f not in known]
+        new = fragments.difference(known)
         if len(known) + len(new) > REMEMBERED:
             known.clear()
             self._ends.clear()
-            new = list(fragments)
-        plain, marked = [], []
+            new = fragments
+        plain, lined, marked = [], [], []
         for fragment in new:
             stem = fragment.rstrip(string.punctuation)
             if len(stem) < len(fragment) and stem.isalpha():  # the pre-tokenizer cuts between letters and marks
                 marked.append((fragment, stem, fragment[len(stem) :]))
             elif fragment.isprintable() and fragment:  # without any white space
                 plain.append(fragment)
+            elif all(line.isprintable() and line for line in fragment.split("\n")):
+                lined.append(fragment)
             elif fragment and not fragment[0].isspace() and not fragment[-1].isspace():
                 known[fragment] = self._encoded([" " + fragment])[0]
             else:
                 known[fragment] = None  # more white space than one space at this place
         plain += {stem for _, stem, _ in marked}.difference(known).difference(plain)
+        plain += lined
         for start in range(0, len(plain), LINES):
             self._learn_lines(plain[start : start + LINES])
         ends = list({end for *_, end in marked}.difference(self._ends))
@@ -63,28 +67,60 @@ class Encoder:
             known[fragment] = known[stem] + self._ends[end]
 
     def _learn_lines(self, fragments: list[str]) -> None:
-        """Fragments are encoded as the lines of one text: a line break before a space is a token by itself."""
+        """Fragments are encoded as the lines of one text: a line break is a token by itself unless white space precedes
+        it or two follow each other. A fragment may hold such line breaks too."""
         text = " " + "\n ".join(fragments) + "\n"
         ids = np.asarray(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
-        ends = (4 * np.flatnonzero(ids == self._break)).tolist()
+        last = np.cumsum([fragment.count("\n") + 1 for fragment in fragments]) - 1
+        ends = (4 * np.flatnonzero(ids == self._break)[last]).tolist()
         data, begins = ids.tobytes(), [0, *(end + 4 for end in ends[:-1])]
         self._known.update(zip(fragments, [data[b:e] for b, e in zip(begins, ends, strict=True)], strict=True))
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """Ids as little-endian unsigned 32-bit integers."""
-        texts = iter(texts)
-        while group := list(islice(texts, TOGETHER)):
-            parts = [text.split(" ") for text in group]
-            self._learn(set().union(*(p[1:] for p in parts)))
-            known = self._known
-            firsts = self._encoded([p[0] for p in parts])
-            for text, first, part in zip(group, firsts, parts, strict=True):
-                try:
-                    if len(part) > 1 and part[0][-1:].isspace():
-                        raise TypeError
-                    yield first + b"".join(map(known.__getitem__, part[1:]))
-                except TypeError:
-                    yield self._encoded([text])[0]
+        group, chars = [], 0
+        for text in texts:
+            group.append(text)
+            chars += len(text)
+            if chars >= TOGETHER:
+                yield from self._group(group)
+                group, chars = [], 0
+        if group:
+            yield from self._group(group)
+
+    def _group(self, texts: list[str]) -> Iterator[bytes]:
+        """Every distinct fragment is looked up once; numpy puts the ids of all texts together."""
+        parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        starts = parts.offsets.to_numpy()
+        starts, size = starts[:-1], starts[-1]
+        coded = parts.values.dictionary_encode()
+        places = coded.indices.to_numpy().copy()
+        distinct = coded.dictionary.to_pylist()
+        later = np.ones(size, dtype=bool)
+        later[starts] = False  # the first fragment of a text has no space before it
+        used = np.bincount(places[later], minlength=len(distinct)) > 0
+        self._learn({fragment for fragment, is_used in zip(distinct, used.tolist(), strict=True) if is_used})
+        firsts = [distinct[place] for place in places[starts].tolist()]
+        places[starts] = np.arange(len(distinct), len(distinct) + len(texts))
+        found = [*map(self._known.get, distinct), *self._encoded(firsts)]
+
+        unknown = np.fromiter((ids is None for ids in found), dtype=bool, count=len(found))
+        whole = np.logical_or.reduceat(unknown[places], starts)
+        several = np.diff(starts, append=size) > 1
+        whole |= several & np.fromiter((f[-1:].isspace() for f in firsts), dtype=bool, count=len(firsts))
+
+        lengths = np.fromiter((len(ids or b"") // 4 for ids in found), dtype=np.int64, count=len(found))
+        table = np.frombuffer(b"".join(ids or b"" for ids in found), dtype="<u4")
+        begins = np.cumsum(lengths) - lengths
+        counts = lengths[places]
+        ends = np.cumsum(counts)
+        ids = table[np.repeat(begins[places] - (ends - counts), counts) + np.arange(ends[-1])]
+        limits = [0, *ends[np.append(starts[1:], size) - 1].tolist()]
+        for number, (text, by_itself) in enumerate(zip(texts, whole.tolist(), strict=True)):
+            if by_itself:
+                yield self._encoded([text])[0]
+            else:
+                yield ids[limits[number] : limits[number + 1]].tobytes()
 
 
 @functools.lru_cache(maxsize=2)
