@@ -3,11 +3,18 @@
 A text is cut before every single space between two characters that are not white space. The pre-tokenizer of
 byte-level BPE always cuts there too, so the fragments can be encoded by themselves, and natural text repeats them.
 A text with any other white space next to a space is encoded as it is.
+
+A space and letters are one pre-token, so they need the merges only. These are done by ``tiktoken``, which joins the two
+neighbours whose joint bytes have the lowest rank, however they are cut. This is the same as the listed merges if every
+token, encoded by itself, gives that one token: two neighbours that make up a token's bytes were made by merges inside
+these bytes alone, hence are the two that the list joins last. A vocabulary is asked for this when it is loaded; one
+without this property, or with a normalizer, takes the way of all other fragments.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import string
 from collections.abc import Iterable, Iterator
 
@@ -23,6 +30,37 @@ TOGETHER = 1 << 22
 LINES = 1024
 
 
+def _byte_letters() -> dict[str, int]:
+    """The letters that stand for bytes in the vocabulary: printable ones for themselves, others from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = sorted(set(range(256)).difference(plain))
+    return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(others)}
+
+
+def _merger(tokenizer_json: str, model):
+    """(tiktoken encoding for lines of letters, token id of each of its ranks), or None if results could differ."""
+    import tiktoken
+
+    parts = json.loads(tokenizer_json)
+    settings = parts["model"]
+    letters = _byte_letters()
+    added = [token["content"] for token in parts.get("added_tokens") or []]
+    if parts.get("normalizer") or settings.get("dropout") or not letters.keys() <= settings["vocab"].keys():
+        return None
+    if settings.get("continuing_subword_prefix") or settings.get("end_of_word_suffix"):
+        return None
+    if any(all(c == " " or c.isalpha() for c in content) for content in added):  # would be found inside of words
+        return None
+    pairs = [merge.split(" ") if isinstance(merge, str) else merge for merge in settings["merges"]]
+    tokens = [*letters, *map("".join, pairs)]
+    whole = all([found.value for found in model.tokenize(token)] == [token] for token in tokens)
+    if not whole or len(set(tokens)) < len(tokens):
+        return None
+    ranks = {bytes(map(letters.__getitem__, token)): rank for rank, token in enumerate(tokens)}
+    encoding = tiktoken.Encoding("merges", pat_str=r"\n| [^\n]+", mergeable_ranks=ranks, special_tokens={})
+    return encoding, np.array([settings["vocab"][token] for token in tokens], dtype="<u4")
+
+
 class Encoder:
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
@@ -30,6 +68,7 @@ class Encoder:
         self._tokenizer = Tokenizer.from_str(tokenizer_json)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         (self._break,) = self._tokenizer.encode("\n", add_special_tokens=False).ids
+        self._merger = _merger(tokenizer_json, self._tokenizer.model)
         self._known: dict[str, bytes | None] = {}
         self._ends: dict[str, bytes] = {}
 
@@ -57,20 +96,27 @@ class Encoder:
                 known[fragment] = self._encoded([" " + fragment])[0]
             else:
                 known[fragment] = None  # more white space than one space at this place
-        plain += {stem for _, stem, _ in marked}.difference(known).difference(plain)
-        plain += lined
-        for start in range(0, len(plain), LINES):
-            self._learn_lines(plain[start : start + LINES])
+        stems = {stem for _, stem, _ in marked}.difference(known)
+        stems.update(plain)
+        letters = [f for f in stems if f.isalpha()]
+        others = [f for f in stems if not f.isalpha()]
+        for fragments, by_merges in ((letters, self._merger), (others + lined, None)):
+            for start in range(0, len(fragments), LINES):
+                self._learn_lines(fragments[start : start + LINES], by_merges)
         ends = list({end for *_, end in marked}.difference(self._ends))
         self._ends.update(zip(ends, self._encoded(ends), strict=True))
         for fragment, stem, end in marked:
             known[fragment] = known[stem] + self._ends[end]
 
-    def _learn_lines(self, fragments: list[str]) -> None:
+    def _learn_lines(self, fragments: list[str], by_merges) -> None:
         """Fragments are encoded as the lines of one text: a line break is a token by itself unless white space precedes
         it or two follow each other. A fragment may hold such line breaks too."""
         text = " " + "\n ".join(fragments) + "\n"
-        ids = np.asarray(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        if by_merges:
+            encoding, ids_of_ranks = by_merges
+            ids = ids_of_ranks[encoding.encode_to_numpy(text, disallowed_special=())]
+        else:
+            ids = np.asarray(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
         last = np.cumsum([fragment.count("\n") + 1 for fragment in fragments]) - 1
         ends = (4 * np.flatnonzero(ids == self._break)[last]).tolist()
         data, begins = ids.tobytes(), [0, *(end + 4 for end in ends[:-1])]

@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 from collections import defaultdict
@@ -73,3 +74,29 @@ def test_step_groups_are_balanced(texts):
 
 def test_empty_table(texts):
     assert packing.pack(texts([(1, "x")]).limit(0), PATH).collect() == []
+
+
+def test_letters_of_every_script_are_one_pretoken(tokenizer):
+    letters = [chr(c) for c in range(0x110000) if chr(c).isalpha()]
+    texts = [f"x a{letter}b" for letter in letters]
+    expected = tokenizer.encode_batch(texts, add_special_tokens=False)
+    with open(PATH, encoding="utf-8") as file:
+        encoder = Encoder(file.read())
+    assert encoder._merger
+    found = list(encoder.encode(texts))
+    assert [t for t, f, e in zip(texts, found, expected, strict=True) if f != np.array(e.ids, "<u4").tobytes()] == []
+
+
+def test_a_vocabulary_whose_tokens_do_not_encode_to_themselves_is_left_to_the_library():
+    with open(PATH, encoding="utf-8") as file:
+        parts = json.load(file)
+    letters = [token for token in parts["model"]["vocab"] if len(token) == 1]
+    # "abc" is listed as ab + c, but b and c are joined first, so it never occurs
+    merges = [["b", "c"], ["a", "b"], ["ab", "c"]]
+    vocab = {token: n for n, token in enumerate([*letters, "bc", "ab", "abc"])}
+    parts["model"] |= {"merges": merges, "vocab": vocab}
+    parts["added_tokens"] = []
+    encoder = Encoder(json.dumps(parts))
+    assert encoder._merger is None
+    expected = Tokenizer.from_str(json.dumps(parts)).encode("x abc abab", add_special_tokens=False).ids
+    assert next(encoder.encode(["x abc abab"])) == np.array(expected, "<u4").tobytes()
