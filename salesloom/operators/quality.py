@@ -105,30 +105,54 @@ def _row_rules(df: DataFrame, rules: Sequence[NotNull | Check], key: Sequence[st
     return counters.select(F.inline(F.array(*rows)))
 
 
-def _key_totals(keys: DataFrame, rule: Unique | ForeignKey, count: Column) -> DataFrame:
-    """Lowest and highest key by the keys' own types; text only for display."""
-    key = F.struct(*rule.columns)
-    totals = keys.agg(count.alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
-    first, last = (_key_text(F.col(c), rule.columns) for c in ("lo", "hi"))
-    return totals.select(F.inline(F.array(_report(rule, F.col("n"), first, last))))
-
-
-def _unique_rule(df: DataFrame, rule: Unique) -> DataFrame:
-    repeated = (
-        df.filter(_complete(rule.columns))
-        .groupBy(*rule.columns)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .filter(F.col("_copies") > 1)
-    )
-    return _key_totals(repeated, rule, F.count(F.lit(1)))
+def _key_rules(
+    table: DataFrame, rules: Sequence[Unique | ForeignKey], parents: Mapping[str, DataFrame]
+) -> DataFrame:
+    """All unique and foreign keys of a table in one pass: its rows become one row per key, parents add their keys with
+    a bit that names the rule, and every key is counted once, in the map tasks first.
+
+    A key has columns of its own, so it keeps its types; it is NULL in the rows of other keys.
+    """
+    tuples = list(dict.fromkeys(rule.columns for rule in rules))
 
+    def slot(key: int, part: int) -> str:
+        return f"k{key}_{part}"
 
-def _foreign_key_rule(child: DataFrame, parent: DataFrame, rule: ForeignKey) -> DataFrame:
-    """Child keys are counted before the join, so a key that fills the table crosses the network once per task."""
-    keys = child.filter(_complete(rule.columns)).groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("_rows"))
-    known = parent.select(*[F.col(p).alias(c) for p, c in zip(rule.parent_columns, rule.columns)])
-    orphans = keys.join(known, list(rule.columns), "left_anti")
-    return _key_totals(orphans, rule, F.sum("_rows"))
+    def entry(key: int, source: Sequence[str], copies: int, parent: int) -> Column:
+        types = [(k, i, f.dataType) for k, columns in enumerate(tuples) for i, f in enumerate(table.select(*columns).schema)]
+        values = [
+            (F.col(source[i]) if k == key else F.lit(None).cast(kind)).alias(slot(k, i)) for k, i, kind in types
+        ]
+        marks = [F.lit(copies).cast("long").alias("copies"), F.lit(parent).cast("long").alias("parents")]
+        return F.when(_complete(source), F.struct(F.lit(key).alias("key"), *values, *marks))
+
+    own = [entry(k, columns, 1, 0) for k, columns in enumerate(tuples)]
+    rows = table.select(F.inline(F.array(*own)))
+    for bit, rule in enumerate(rules):
+        if isinstance(rule, ForeignKey):
+            one = entry(tuples.index(rule.columns), rule.parent_columns, 0, 1 << bit)
+            rows = rows.unionByName(parents[rule.parent].select(F.inline(F.array(one))))
+    slots = [slot(k, i) for k, columns in enumerate(tuples) for i in range(len(columns))]
+    counted = rows.filter(F.col("key").isNotNull()).groupBy("key", *slots)
+    counted = counted.agg(F.sum("copies").alias("copies"), F.bit_or("parents").alias("parents"))
+
+    aggregates, reports = [], []
+    for bit, rule in enumerate(rules):
+        key = tuples.index(rule.columns)
+        if isinstance(rule, Unique):
+            broken, count = F.col("copies") > 1, F.lit(1)
+        else:
+            broken, count = (F.col("copies") > 0) & (F.col("parents").bitwiseAND(F.lit(1 << bit)) == 0), F.col("copies")
+        broken &= F.col("key") == key
+        offender = F.when(broken, F.struct(*[F.col(slot(key, i)).alias(c) for i, c in enumerate(rule.columns)]))
+        aggregates += [
+            F.sum(F.when(broken, count)).alias(f"n{bit}"),
+            F.min(offender).alias(f"lo{bit}"),
+            F.max(offender).alias(f"hi{bit}"),
+        ]
+        first, last = (_key_text(F.col(f"{c}{bit}"), rule.columns) for c in ("lo", "hi"))
+        reports.append(_report(rule, F.col(f"n{bit}"), first, last))
+    return counted.agg(*aggregates).select(F.inline(F.array(*reports)))
 
 
 def integrity_report(
@@ -137,7 +161,8 @@ def integrity_report(
     """One row per rule: table, rule, number of violations, lowest and highest offending key.
 
     Row rules count rows, unique rules count repeated keys, foreign keys count orphan rows. ``keys`` names
-    the identifying columns of each table.
+    the identifying columns of each table. A table is read at most twice for its own rules, and once for every foreign
+    key that refers to it.
     """
     parts = []
     for table in dict.fromkeys(rule.table for rule in rules):
@@ -145,8 +170,9 @@ def integrity_report(
         per_row = [r for r in own if isinstance(r, NotNull | Check)]
         if per_row:
             parts.append(_row_rules(tables[table], per_row, keys[table]))
-        parts += [_unique_rule(tables[table], r) for r in own if isinstance(r, Unique)]
-        parts += [_foreign_key_rule(tables[table], tables[r.parent], r) for r in own if isinstance(r, ForeignKey)]
+        on_keys = [r for r in own if isinstance(r, Unique | ForeignKey)]
+        if on_keys:
+            parts.append(_key_rules(tables[table], on_keys, tables))
     return functools.reduce(DataFrame.unionByName, parts)
 
 

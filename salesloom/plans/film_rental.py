@@ -234,18 +234,20 @@ def most_popular_by_country(
     country_pattern: str,
     film_columns: Sequence[str],
     check: bool = True,
+    renters: DataFrame | None = None,
 ) -> DataFrame:
     """Most rented film of every country whose name matches the pattern (case-insensitive LIKE).
 
     ``rentals``: film_id and the country of the customer. Films are told apart by ``film_columns``, which are
     returned; ties go to the lowest values. A country without rentals gives no row. With ``check`` a pattern that
-    matches none of ``countries``, or only countries without rentals, raises ``LookupError``.
+    matches none of ``countries``, or only countries without rentals, raises ``LookupError``. ``renters``: a cheaper
+    source of the countries with rentals than ``rentals``, such as the countries of customers with an order.
     """
     require_text(country_pattern, "country")
     if check and countries.filter(F.col("country").ilike(country_pattern)).isEmpty():
         raise LookupError(f"no country matches {country_pattern!r}")
     placed = rentals.filter(F.col("country").ilike(country_pattern))
-    if check and placed.isEmpty():
+    if check and (rentals if renters is None else renters).filter(F.col("country").ilike(country_pattern)).isEmpty():
         raise LookupError(f"no rental information for {country_pattern!r}")
     counts = (
         placed.groupBy("country", "film_id")

@@ -215,11 +215,13 @@ SELECT country, title, rating, language, length, release_year, rental_count FROM
 """,
 )
 def popular_part_per_nation(t: Tables) -> DataFrame:
-    orders = roles.regional_orders(t).select("l_orderkey", "country")
+    orders = roles.national_orders(t)
     rentals = t.lineitem.select("l_orderkey", F.col("l_partkey").alias("film_id")).join(orders, "l_orderkey")
     countries = t.nation.select(F.col("n_name").alias("country"))
     film_columns = ["title", "rating", "language", "length", "release_year"]
-    return reports.most_popular_by_country(rentals, roles.film(t), countries, "nation%", film_columns)
+    return reports.most_popular_by_country(
+        rentals, roles.film(t), countries, "nation%", film_columns, renters=orders.select("country")
+    )
 
 
 def _stock_oracle(pattern: str, nulls: str) -> str:

@@ -36,6 +36,14 @@ def regional_orders(t: Tables, start: dt.date | None = None, end: dt.date | None
     return dated_orders(t, start, end).join(customers(t).drop("cust_name"), "cust_id")
 
 
+def national_orders(t: Tables) -> DataFrame:
+    """Orders (l_orderkey) with the country of their customer, for reports that need no region."""
+    nations = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country"))
+    customers = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey").join(nations, "c_nationkey")
+    orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    return orders.join(customers, "o_custkey").select("l_orderkey", "country")
+
+
 def sales_lines(t: Tables, orders: DataFrame | None = None) -> DataFrame:
     """Sales at line grain with the columns of ``orders`` (default: all dated orders)."""
     lines = t.lineitem.select(

@@ -5,6 +5,7 @@ from pyspark.sql import types as T
 
 from helpers import rows_of
 from salesloom.operators.quality import (
+    ForeignKey,
     NotNull,
     Unique,
     conform,
@@ -148,3 +149,33 @@ def test_sample_keys_are_ordered_by_their_type(spark):
     rules = [NotNull("t", "v"), Unique("t", ("k",))]
     out = integrity_report({"t": rows}, rules, {"t": ["k"]}).collect()
     assert [(r.violations, r.first_key, r.last_key) for r in out] == [(5, "NULL", "100"), (1, "100", "100")]
+
+
+def test_keys_of_all_rules_are_counted_together(spark):
+    """Keys of several types, one key under three rules, NULL parts, and parents of another integer type."""
+    child = spark.createDataFrame(
+        [(1, "a", 7), (1, "a", 7), (2, "b", None), (3, None, 9), (3, None, 9), (9, "z", 8)], "k int, s string, n bigint"
+    )
+    one = spark.createDataFrame([(1,), (2,), (2,), (None,)], "id bigint")
+    two = spark.createDataFrame([(1,), (3,)], "id smallint")
+    named = spark.createDataFrame([("a", 1), ("b", 2)], "s string, k int")
+    rules = [
+        Unique("t", ("k",)),
+        ForeignKey("t", ("k",), "one", ("id",)),
+        ForeignKey("t", ("k",), "two", ("id",)),
+        Unique("t", ("k", "s")),
+        ForeignKey("t", ("s", "k"), "named", ("s", "k")),
+        Unique("t", ("n",)),
+    ]
+    tables = {"t": child, "one": one, "two": two, "named": named}
+    out = integrity_report(tables, rules, {"t": ["k"]}).collect()
+    assert [(r.violations, r.first_key, r.last_key) for r in out] == [
+        (2, "1", "3"),
+        (3, "3", "9"),
+        (2, "2", "9"),
+        (1, "1|a", "1|a"),
+        (1, "z|9", "z|9"),
+        (2, "7", "9"),
+    ]
+    none = {name: df.limit(0) for name, df in tables.items()}
+    assert {r.violations for r in integrity_report(none, rules, {"t": ["k"]}).collect()} == {0}
