@@ -139,6 +139,29 @@ def test_numbers_within_groups(table, rows):
         assert found[i] == sum(r[1] == k and r[0] >= i for r in rows)
 
 
+@pytest.mark.parametrize("crowd", [0, 100, 1_000_000])
+def test_numbers_of_groups_in_slices_or_not(monkeypatch, table, rows, crowd):
+    """All groups in slices, the group of half of the rows, or none; the first column may be NULL and repeat."""
+    monkeypatch.setattr(ordered, "CROWD_ROWS", crowd)
+    found = {r.id: r.n for r in ordered.numbers_within(table, ["k"], [By("t"), By("id", descending=True)], "n").collect()}
+    numbers = {r.id: r.n for r in ordered.number_rows_by(table, "k", ["t", "id"], "n").collect()}
+    by_key = sorted(rows, key=lambda r: (nulls_first(r[1]), nulls_first(r[2]), -r[0]))
+    places = {}
+    for i, k, _, _ in by_key:
+        places[k] = places.get(k, 0) + 1
+        assert found[i] == places[k]
+    ranked = sorted(rows, key=lambda r: (nulls_first(r[1]), nulls_first(r[2]), r[0]))
+    assert [numbers[r[0]] for r in ranked] == list(range(1, len(rows) + 1))
+
+
+def test_small_groups_are_not_cut_into_slices(table):
+    """One shuffle by the group; numbering all rows in slices first took most of the time of ``rent_one_each``."""
+    numbered = ordered.numbers_within(table, ["k"], ["id"], "n")
+    numbered.collect()
+    final = numbered._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Window" in final and "_slice" not in final
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], "id int, k int, t int, v bigint")
     other = spark.createDataFrame([(1, 1, 2)], "k int, at int, x int")
