@@ -179,6 +179,10 @@ def merged_with_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 # Words -------------------------------------------------------------------------------------------------------------
 
 
+#: White space other than the plain space.
+_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
+
+
 class Words:
     """Words of texts by a pattern. Texts are cut before single spaces between other characters, where the pattern
     cuts too, so each distinct fragment is matched once."""
@@ -193,14 +197,12 @@ class Words:
 
     def fragments(self, text: str) -> list[str] | None:
         """The fragments without their leading spaces (the first has none), or None if the text can't be cut so."""
-        parts = text.split(" ")
-        if "" in parts[1:]:
+        if "  " in text or text.endswith(" "):
             return None
-        for at in [k for k, part in enumerate(parts) if not part.isprintable()]:  # others hold no white space
-            part = parts[at]
-            if at and part[0].isspace() or at < len(parts) - 1 and part[-1].isspace():
+        for space in _SPACES:
+            if space in text and (space + " " in text or " " + space in text):
                 return None
-        return parts
+        return text.split(" ")
 
 
 @functools.lru_cache(maxsize=2)
@@ -337,10 +339,15 @@ def decode(rows: DataFrame, ranks: dict[bytes, int], id_column: str = "doc_id",
     sent = rows.sparkSession.sparkContext.broadcast(tokens)
 
     def decoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = sent.value.__getitem__
+        pieces = pa.array(sent.value, pa.binary())
+
+        def content(ids: bytes) -> bytes:
+            taken = pieces.take(pa.array(np.frombuffer(ids, "<u4")))  # its pieces lie one after the other
+            return taken.buffers()[2].to_pybytes() if ids else b""
+
         for batch in batches:
-            content = ((i.as_py(), ids.as_py() or b"") for i, ids in zip(batch["id"], batch["ids"], strict=True))
-            found = ((i, ids, b"".join(map(piece, np.frombuffer(ids, "<u4").tolist()))) for i, ids in content)
+            held = ((i.as_py(), ids.as_py() or b"") for i, ids in zip(batch["id"], batch["ids"], strict=True))
+            found = ((i, ids, content(ids)) for i, ids in held)
             kinds = [batch.schema.field("id").type, pa.binary(), pa.binary()]
             yield from _batches(found, kinds, ["id", "ids", "bytes"], lambda row: len(row[1]) + len(row[2]) + 64)
 

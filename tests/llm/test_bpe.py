@@ -55,3 +55,25 @@ def test_texts_against_the_library(texts, ranks, library, monkeypatch, words):
 def test_empty_table(texts, ranks):
     ids = bpe.encode(texts([(1, "x")]).limit(0), ranks, public_tokenizers.PATTERN)
     assert bpe.decode(ids, ranks).collect() == []
+
+
+def test_fragments_are_cut_as_word_by_word():
+    words = bpe.words_of(public_tokenizers.PATTERN)
+    assert bpe._SPACES == [c for c in map(chr, range(0x110000)) if c.isspace() and c != " "]
+    rng = random.Random(8)
+    texts = ["".join(rng.choice(["a", "é", " ", " ", "\n", "\xa0", "\u2003", "\x00", "b"][: rng.randint(1, 9)]) for _ in range(rng.randint(0, 9))) for _ in range(3000)]
+    for text in texts:
+        parts = text.split(" ")
+        apart = "" not in parts[1:] and not any(
+            (k and p[:1].isspace()) or (k < len(parts) - 1 and p[-1:].isspace()) for k, p in enumerate(parts)
+        )
+        assert words.fragments(text) == (parts if apart else None)
+
+
+def test_decoding_joins_the_pieces_of_any_ids(spark, ranks):
+    tokens = sorted(ranks, key=ranks.__getitem__)
+    rng = random.Random(9)
+    ids = [b"", None, *(np.array([rng.randrange(len(tokens)) for _ in range(n)], "<u4").tobytes() for n in (1, 2, 5000))]
+    rows = spark.createDataFrame(list(enumerate(ids)), "doc_id long, ids binary").coalesce(1)
+    found = {r.doc_id: bytes(r.bytes) for r in bpe.decode(rows, ranks).collect()}
+    assert found == {i: b"".join(tokens[k] for k in np.frombuffer(x or b"", "<u4")) for i, x in enumerate(ids)}
