@@ -30,6 +30,8 @@ MAX_LABELLED = 4_000
 MAX_FEATURES = 1 << 25
 #: Rows whose features are multiplied together.
 BLOCK = 128
+#: Bytes of features in a batch on its way to the JVM: a text has several times its size in features.
+BATCH_BYTES = 2 << 20
 BITS = 18
 ORDERS = (3, 4, 5)
 PENALTY = 3e-5
@@ -54,9 +56,15 @@ def _features(text: str, mark: np.ndarray) -> np.ndarray:
 def _featured(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     mark = np.empty(1 << BITS, np.int32)
     for batch in batches:
-        places = [_features(text.as_py(), mark).astype("<u4").tobytes() for text in batch.column("text")]
-        columns = [*(batch.column(name) for name in _ORDER), pa.array(places, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, [*_ORDER, "places"])
+        held, held_bytes, start = [], 0, 0
+        for end, text in enumerate(batch.column("text"), 1):
+            held.append(_features(text.as_py(), mark).astype("<u4").tobytes())
+            held_bytes += len(held[-1])
+            if held_bytes >= BATCH_BYTES or end == len(batch):
+                rows = batch.slice(start, end - start)
+                columns = [*(rows.column(name) for name in _ORDER), pa.array(held, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, [*_ORDER, "places"])
+                held, held_bytes, start = [], 0, end
 
 
 def _minimum(loss: Callable[[np.ndarray], tuple[float, np.ndarray]], start: np.ndarray) -> np.ndarray:
@@ -128,12 +136,15 @@ def _fitted(rows: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def _trained(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = pa.Table.from_batches(list(batches), _FEATURED).sort_by([(name, "ascending") for name in _ORDER])
-    sizes = np.cumsum(pc.binary_length(table.column("places")).to_numpy() // 4)
-    table = table.slice(0, int(np.searchsorted(sizes, MAX_FEATURES, side="right")))
-    if len(table):
-        rows = [np.frombuffer(p.as_buffer(), "<u4") for p in table.column("places")]
-        weights, squares, intercept = _fitted(rows, table.column("label").to_numpy().astype(float))
+    table = pa.Table.from_batches(batches, _FEATURED)
+    places = table.column("places")  # put in order without a copy of the features
+    order = pc.sort_indices(table.select(list(_ORDER)), sort_keys=[(name, "ascending") for name in _ORDER])
+    sizes = np.cumsum(pc.binary_length(places).take(order).to_numpy() // 4)
+    order = order.slice(0, int(np.searchsorted(sizes, MAX_FEATURES, side="right")))
+    if len(order):
+        rows = [np.frombuffer(places[i].as_buffer(), "<u4") for i in order.to_pylist()]
+        labels = table.column("label").take(order).to_numpy().astype(float)
+        weights, squares, intercept = _fitted(rows, labels)
         arrays = [pa.array([weights.tobytes()]), pa.array([squares.tobytes()]), pa.array([intercept])]
         yield pa.RecordBatch.from_arrays(arrays, ["weights", "squares", "intercept"])
 

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -181,3 +182,17 @@ def test_toxicity_learns_alike_from_repeated_ids(labelled):
     many = docs.union(docs.where("doc_id = 5")).repartition(7)
     first, again = (toxicity.train(d, labels, learn) for d in (many, many.repartition(3)))
     assert all(np.array_equal(a, b) for a, b in zip(first, again, strict=True))
+
+
+def test_toxicity_features_leave_in_small_batches():
+    """A batch of long texts has several times their size in features, which the JVM would keep room for."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz 0123456789", k=20_000)) for _ in range(60)]
+    numbers = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([numbers, numbers, numbers.cast(pa.int32()), pa.array(texts)], [*toxicity._ORDER, "text"])
+    found = list(toxicity._featured([batch]))
+    assert max(b.column("places").nbytes for b in found) < 2 * toxicity.BATCH_BYTES
+    assert [i for b in found for i in b.column("id_hash").to_pylist()] == list(range(len(texts)))
+    mark = np.empty(1 << toxicity.BITS, np.int32)
+    places = [p for b in found for p in b.column("places").to_pylist()]
+    assert places == [toxicity._features(t, mark).astype("<u4").tobytes() for t in texts]
