@@ -5,8 +5,8 @@
 2. Sets are cut into blocks by their elements' hashes, for their size band and, where a partner can be larger, for the
    next one. A block's key is its parity sketch. Linked sets have fewer differences than blocks, so they agree in one.
    Tasks send keys and classes, 16 bytes a key, in packets to buckets of bounded size, which leave out keys of one
-   class. The other keys meet the parity sketches of their classes, whose Hamming distance is at most the symmetric
-   difference, and go to buckets again, where classes with one key are compared by sketch; those within the budget
+   class. The other keys go to their classes, again in packets, a row per bucket and part of the classes. There they
+   meet the classes' parity sketches, whose Hamming distance is at most the symmetric difference, and go to buckets again, where classes with one key are compared by sketch; those within the budget
    are linked into a spanning forest. A key that more than ``HOT_KEY`` classes of a packet or bucket have links all of
    them with the smallest one without a look at sketches: no task holds such a key whole, and step 3 decides.
    Every pair that links lies in one tree of all forests.
@@ -40,6 +40,8 @@ from salesloom.llm.shingles import Bands, Parities, block_keys, parity, parity_w
 #: Keys that meet in a bucket, and keys of a packet, about.
 BUCKET_KEYS = 1 << 21
 PACKET_KEYS = 1 << 20
+#: Links of hot keys that leave together.
+PAIR_ROWS = 1 << 16
 #: Sets of a tile: those that look for partners, and those they are compared with.
 TILE_SEEKERS, TILE_MEMBERS = 256, 1024
 #: Classes of a packet or bucket that share a key at most, before they are linked without comparing sketches.
@@ -136,34 +138,51 @@ def key_packets(rows: DataFrame, words: int, bands: Bands, buckets: int, hot_key
     return rows.select("text").mapInArrow(packed, "bucket int, keys binary, nodes binary, hot binary")
 
 
-def _shared_keys(rows: pa.Table, hot_key: int) -> pa.Table:
-    """node, keys: the keys of a bucket that several classes have, by class; a, b: links of hot keys."""
-    empty = pa.schema([("node", pa.int64()), ("keys", pa.binary()), ("a", pa.int64()), ("b", pa.int64())])
-    keys, nodes, hot = (
-        np.concatenate([np.frombuffer(value.as_buffer(), kind) for value in rows.column(name)])
-        for name, kind in (("keys", "<u8"), ("nodes", "<i8"), ("hot", "<u8"))
-    )
+def _joined(rows: pa.Table, name: str, kind: str) -> np.ndarray:
+    return np.concatenate([np.frombuffer(value.as_buffer(), kind) for value in rows.column(name)])
+
+
+def _shared_keys(rows: pa.Table, hot_key: int, parts: int) -> pa.Table:
+    """part, keys, nodes: the keys of a bucket that several classes have, a row per part that has such a class; links of
+    hot keys in part -1."""
+    keys, nodes, hot = _joined(rows, "keys", "<u8"), _joined(rows, "nodes", "<i8"), _joined(rows, "hot", "<u8")
+    found = []
     if rows.column("bucket")[0].as_py() < 0:
-        nothing = pa.nulls(len(keys))
-        return pa.table([nothing.cast(pa.int64()), nothing.cast(pa.binary()), keys.view("<i8"), nodes], schema=empty)
-    keys, nodes, links, _ = _cut_hot(keys, nodes, hot_key, hot)
-    same = keys[1:] == keys[:-1]
-    shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-    keys, nodes = keys[shared], nodes[shared]
+        found.append((-1, keys.tobytes(), nodes.tobytes()))
+    else:
+        keys, nodes, links, _ = _cut_hot(keys, nodes, hot_key, hot)
+        same = keys[1:] == keys[:-1]
+        shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        keys, nodes = keys[shared], nodes[shared]
+        part = nodes % parts
+        order = np.argsort(part, kind="stable")
+        cuts = np.searchsorted(part[order], np.arange(parts + 1))
+        if len(links):
+            found.append((-1, links[:, 0].tobytes(), links[:, 1].tobytes()))
+        for number in np.flatnonzero(np.diff(cuts)).tolist():
+            own = order[cuts[number] : cuts[number + 1]]
+            found.append((number, keys[own].tobytes(), nodes[own].tobytes()))
+    schema = pa.schema([("part", pa.int32()), ("keys", pa.binary()), ("nodes", pa.binary())])
+    return pa.Table.from_arrays([pa.array([f[i] for f in found], k) for i, k in enumerate(schema.types)], schema=schema)
+
+
+def _keys_by_class(rows: pa.Table) -> pa.Table:
+    """node, keys: the shared keys of all buckets, a row per class of the part."""
+    keys, nodes = _joined(rows, "keys", "<u8"), _joined(rows, "nodes", "<i8")
     order = np.argsort(nodes, kind="stable")
     keys, nodes = keys[order], nodes[order]
-    starts = np.flatnonzero(np.concatenate([[True], nodes[1:] != nodes[:-1]])) if len(nodes) else np.zeros(0, np.int64)
-    content = [part.tobytes() for part in np.split(keys, starts[1:])] if len(starts) else []
-    none = [None] * len(starts)
-    return pa.table(
-        [
-            pa.array([*nodes[starts].tolist(), *[None] * len(links)], pa.int64()),
-            pa.array([*content, *[None] * len(links)], pa.binary()),
-            pa.array([*none, *links[:, 0].tolist()], pa.int64()),
-            pa.array([*none, *links[:, 1].tolist()], pa.int64()),
-        ],
-        schema=empty,
-    )
+    starts = np.flatnonzero(np.concatenate([[True], nodes[1:] != nodes[:-1]]))
+    content = [own.tobytes() for own in np.split(keys, starts[1:])]
+    return pa.table([pa.array(nodes[starts]), pa.array(content, pa.binary())], names=["node", "keys"])
+
+
+def _pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """a, b: links of hot keys, from their packed ends."""
+    for batch in batches:
+        for a, b in zip(batch.column("keys"), batch.column("nodes"), strict=True):
+            ends = [pa.array(np.frombuffer(end.as_buffer(), "<i8")) for end in (a, b)]
+            for start in range(0, len(ends[0]), PAIR_ROWS):
+                yield pa.RecordBatch.from_arrays([end.slice(start, PAIR_ROWS) for end in ends], ["a", "b"])
 
 
 _PACKET = ["bucket", "nodes", "sizes", "sketches", "counts", "keys"]
@@ -196,11 +215,11 @@ def packets(classes: DataFrame, buckets: int) -> DataFrame:
 
         for batch in batches:
             columns = (batch.column(c) for c in ("node", "n", "sketch", "keys"))
-            for node, n, sketch, parts in zip(*columns, strict=True):
+            for node, n, sketch, own_keys in zip(*columns, strict=True):
                 nodes.append(node.as_py())
                 sizes.append(n.as_py())
                 sketches.append(np.frombuffer(sketch.as_py(), "<u8"))
-                keys.append(np.frombuffer(b"".join(parts.as_py()), "<u8"))
+                keys.append(np.frombuffer(own_keys.as_py(), "<u8"))
                 waiting += len(keys[-1])
                 if waiting >= PACKET_KEYS:
                     yield out()
@@ -244,16 +263,13 @@ def _close(bands: Bands, sizes: np.ndarray, sketches: Parities, x, y: np.ndarray
 
 def _forest_of_bucket(bands: Bands):
     def forest(rows: pa.Table) -> pa.Table:
-        def joined(name: str, kind: str) -> np.ndarray:
-            return np.concatenate([np.frombuffer(value.as_buffer(), kind) for value in rows.column(name)])
-
-        nodes, first, number = np.unique(joined("nodes", "<i8"), return_index=True, return_inverse=True)
-        sizes = joined("sizes", "<i8")
+        nodes, first, number = np.unique(_joined(rows, "nodes", "<i8"), return_index=True, return_inverse=True)
+        sizes = _joined(rows, "sizes", "<i8")
         ends = np.cumsum(parity_words(sizes))
-        sketches = Parities(sizes[first], (ends - parity_words(sizes))[first], joined("sketches", "<u8"))
+        sketches = Parities(sizes[first], (ends - parity_words(sizes))[first], _joined(rows, "sketches", "<u8"))
         sizes = sizes[first]
-        owner = np.repeat(number.astype(np.int32), joined("counts", "<i8"))
-        keys = joined("keys", "<u8")
+        owner = np.repeat(number.astype(np.int32), _joined(rows, "counts", "<i8"))
+        keys = _joined(rows, "keys", "<u8")
         order = np.argsort(keys, kind="stable")
         keys, owner = keys[order], owner[order]
         del order
@@ -397,19 +413,21 @@ def _forest(
     rows: DataFrame, classes: DataFrame, words: int, bands: Bands, keys: int, hot_key: int
 ) -> DataFrame:
     """a, b: links that join all classes which may link into trees; ``keys`` is about the number of all keys."""
-    sent = key_packets(rows, words, bands, max(8, keys // BUCKET_KEYS), hot_key)
+    buckets = max(8, keys // BUCKET_KEYS)
+    sent = key_packets(rows, words, bands, buckets, hot_key)
     # Rows of bucket -1 are links on their way, dealt like any other bucket's by their first bytes.
     turn = F.when(F.col("bucket") < 0, F.xxhash64("nodes")).otherwise(F.col("bucket").cast("long"))
-    schema = "node long, keys binary, a long, b long"
-    buckets = sent.withColumn("turn", turn).groupBy("turn")
-    found = written(buckets.applyInArrow(lambda part: _shared_keys(part, hot_key), schema), "shared-keys")
-    shared = found.where("node is not null")
+    parted = sent.withColumn("turn", turn).groupBy("turn").applyInArrow(
+        lambda rows: _shared_keys(rows, hot_key, buckets), "part int, keys binary, nodes binary"
+    )
+    found = written(parted, "shared-keys")
+    shared = found.where("part >= 0")
     left = shared.agg(F.sum(F.octet_length("keys"))).first()[0] or 0
-    by_class = shared.groupBy("node").agg(F.collect_list("keys").alias("keys"))  # the keys of one class
+    by_class = shared.groupBy("part").applyInArrow(_keys_by_class, "node long, keys binary")
     sketched = by_class.join(classes.select("node", "n", "sketch"), "node")
     dealt = packets(sketched, max(8, left // 8 // BUCKET_KEYS)).groupBy("bucket")
     compared = dealt.applyInArrow(_forest_of_bucket(bands), "a long, b long")
-    return compared.unionByName(found.where("a is not null").select("a", "b"))
+    return compared.unionByName(found.where("part < 0").select("keys", "nodes").mapInArrow(_pairs, "a long, b long"))
 
 
 def join(

@@ -3,10 +3,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from salesloom.llm import ngram_join
 from salesloom.llm.components import connected_components
+from salesloom.llm.shared import written
 from salesloom.llm.shingles import Bands, Parities, block_keys, parity, shingle_set
 
 
@@ -109,6 +111,49 @@ def test_sent_bytes_do_not_grow_with_the_buckets(spark):
     assert sent[8] == sent[1024] > 0
 
 
+def test_rows_of_shared_keys_do_not_grow_with_the_classes(spark, monkeypatch):
+    """Every class shares keys in every bucket; there were as many rows as classes in all buckets together."""
+    made = {}
+
+    def counted(df, name):
+        out = written(df, name)
+        made.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "written", counted)
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(5000)}" for _ in range(120)]
+    for count in (60, 240):
+        rows = []
+        for i in range(count):
+            at = rng.randrange(120)
+            rows.append((i, " ".join([*base[:at], f"own{i}", *base[at + 1 :]])))
+        out = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90, 100)
+        assert {r.component_id for r in out.collect()} == {0}
+    few, many = made["shared-keys"]
+    assert many == few <= 8 * 8
+
+
+def test_shared_keys_reach_their_classes():
+    keys, nodes = np.array([9, 5, 5, 9, 7, 9], "<u8"), np.array([-3, 4, 11, 4, 4, 20], "<i8")
+    rows = [(1, keys.tobytes(), nodes.tobytes(), b"")]
+    schema = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("nodes", pa.binary()), ("hot", pa.binary())])
+    table = pa.Table.from_pylist([dict(zip(schema.names, row)) for row in rows], schema=schema)
+
+    def by_class(hot_key):
+        sent = ngram_join._shared_keys(table, hot_key, 3).to_pylist()
+        assert len({row["part"] for row in sent}) == len(sent)
+        found = {}
+        for row in (r for r in sent if r["part"] >= 0):
+            part = ngram_join._keys_by_class(pa.Table.from_pylist([row]))
+            found |= {r["node"]: np.frombuffer(r["keys"], "<u8").tolist() for r in part.to_pylist()}
+        links = [(row["keys"], row["nodes"]) for row in sent if row["part"] < 0]
+        return found, [tuple(np.frombuffer(end, "<i8").tolist() for end in pair) for pair in links]
+
+    assert by_class(9) == ({-3: [9], 4: [5, 9], 11: [5], 20: [9]}, [])
+    assert by_class(2) == ({4: [5], 11: [5]}, [([-3, -3], [4, 20])])
+
+
 def test_near_copies_by_id_and_text(texts):
     """An id with two texts: only the one that is a near copy goes; of equal rows one stays."""
     near = " ".join(f"w{i}" for i in range(60))
