@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.llm.components import connected_components
-from salesloom.llm.shared import fresh_name, written
+from salesloom.llm.shared import fresh_name, lean, lean_groups, written
 from salesloom.llm.shingles import Bands, Parities, block_keys, parity, parity_words, shingle_set
 
 #: Keys that meet in a bucket, and keys of a packet, about.
@@ -72,7 +72,7 @@ def fingerprints(rows: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays, ["id", "n", "node", "digest", "sketch"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return written(rows.mapInArrow(fingerprint, f"id {kind}, n long, node long, digest binary, sketch binary"), "shingles")
+    return written(rows.mapInArrow(lean(fingerprint), f"id {kind}, n long, node long, digest binary, sketch binary"), "shingles")
 
 
 def _cut_hot(keys: np.ndarray, nodes: np.ndarray, most: int, known: np.ndarray):
@@ -135,7 +135,7 @@ def key_packets(rows: DataFrame, words: int, bands: Bands, buckets: int, hot_key
         if keys:
             yield out()
 
-    return rows.select("text").mapInArrow(packed, "bucket int, keys binary, nodes binary, hot binary")
+    return rows.select("text").mapInArrow(lean(packed), "bucket int, keys binary, nodes binary, hot binary")
 
 
 def _joined(rows: pa.Table, name: str, kind: str) -> np.ndarray:
@@ -228,7 +228,7 @@ def packets(classes: DataFrame, buckets: int) -> DataFrame:
             yield out()
 
     kinds = ", ".join(f"{name} binary" for name in _PACKET[1:])
-    return classes.select("node", "n", "sketch", "keys").mapInArrow(packed, f"bucket int, {kinds}")
+    return classes.select("node", "n", "sketch", "keys").mapInArrow(lean(packed), f"bucket int, {kinds}")
 
 
 class _Forest:
@@ -313,7 +313,7 @@ def _filter(nodes: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()])], ["bits"])
 
     found = np.zeros(size // 8, np.uint8)
-    for row in nodes.select("node").coalesce(8).mapInArrow(partial, "bits binary").toLocalIterator():
+    for row in nodes.select("node").coalesce(8).mapInArrow(lean(partial), "bits binary").toLocalIterator():
         found |= np.frombuffer(row["bits"], np.uint8)
     return np.unpackbits(found).astype(bool)
 
@@ -337,7 +337,7 @@ def sets_of(rows: DataFrame, words: int, nodes: DataFrame) -> DataFrame:
                 arrays = [pa.array(ids, pa.int64()), pa.array(content, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, ["node", "shingles"])
 
-    return rows.select("text").mapInArrow(sets, "node long, shingles binary")
+    return rows.select("text").mapInArrow(lean(sets), "node long, shingles binary")
 
 
 def _compared(bands: Bands):
@@ -389,7 +389,7 @@ def _exact_links(members: DataFrame, bands: Bands) -> DataFrame:
     """a, b: links with the same components as all links within the trees of ``members`` (tree, node, shingles)."""
     centres = members.where("tree = node").select("tree", F.col("shingles").alias("centre"))
     others = members.where("tree <> node")
-    compared = others.join(centres, "tree").mapInArrow(_compared(bands), "tree long, node long, linked boolean")
+    compared = others.join(centres, "tree").mapInArrow(lean(_compared(bands)), "tree long, node long, linked boolean")
     compared = written(compared, "compared")
     counts = compared.groupBy("tree").agg(F.count(F.lit(1)).alias("m"), F.sum((~F.col("linked")).cast("long")).alias("u"))
     counts = written(counts.where("u > 0 and m > 1"), "open-trees")
@@ -418,15 +418,15 @@ def _forest(
     # Rows of bucket -1 are links on their way, dealt like any other bucket's by their first bytes.
     turn = F.when(F.col("bucket") < 0, F.xxhash64("nodes")).otherwise(F.col("bucket").cast("long"))
     parted = sent.withColumn("turn", turn).groupBy("turn").applyInArrow(
-        lambda rows: _shared_keys(rows, hot_key, buckets), "part int, keys binary, nodes binary"
+        lean_groups(lambda rows: _shared_keys(rows, hot_key, buckets)), "part int, keys binary, nodes binary"
     )
     found = written(parted, "shared-keys")
     shared = found.where("part >= 0")
     left = shared.agg(F.sum(F.octet_length("keys"))).first()[0] or 0
-    by_class = shared.groupBy("part").applyInArrow(_keys_by_class, "node long, keys binary")
+    by_class = shared.groupBy("part").applyInArrow(lean_groups(_keys_by_class), "node long, keys binary")
     sketched = by_class.join(classes.select("node", "n", "sketch"), "node")
     dealt = packets(sketched, max(8, left // 8 // BUCKET_KEYS)).groupBy("bucket")
-    compared = dealt.applyInArrow(_forest_of_bucket(bands), "a long, b long")
+    compared = dealt.applyInArrow(lean_groups(_forest_of_bucket(bands)), "a long, b long")
     return compared.unionByName(found.where("part < 0").select("keys", "nodes").mapInArrow(_pairs, "a long, b long"))
 
 

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.llm import words
+from salesloom.llm.shared import lean
 
 TIERS = (2048, 1024, 512, 256)
 END_ID = 1
@@ -122,6 +123,12 @@ def pack(
 
     def packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = words.encoder(tokenizer.value)
+        try:
+            yield from packed_by(encoder, batches)
+        finally:
+            encoder.forget()
+
+    def packed_by(encoder: words.Encoder, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = _Packer(TaskContext.get().partitionId())
 
         def out(last: bool) -> Iterator[pa.RecordBatch]:
@@ -147,4 +154,4 @@ def pack(
         if kinds is not None:
             yield from out(last=True)
 
-    return rows.mapInArrow(packed, schema)
+    return rows.mapInArrow(lean(packed), schema)

@@ -24,6 +24,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesloom.llm.shared import lean
+
 #: Labelled rows that the classifier is fitted on at most.
 MAX_LABELLED = 4_000
 #: Features of these rows at most; 8 bytes each in the fit.
@@ -169,9 +171,9 @@ def train(
     text = F.coalesce(F.col(text_column), F.lit("")).alias("text")
     rows = docs.select(F.col(id_column).alias("id"), text).join(sample, F.col("id") == F.col("labelled_id"))
     rows = rows.select("id_hash", F.xxhash64("text").alias("text_hash"), "label", "text")
-    rows = rows.mapInArrow(_featured, "id_hash long, text_hash long, label int, places binary")
+    rows = rows.mapInArrow(lean(_featured), "id_hash long, text_hash long, label int, places binary")
     rows = rows.orderBy(*_ORDER).limit(MAX_LABELLED)  # ids may repeat; one task holds the rows that remain
-    model = rows.mapInArrow(_trained, "weights binary, squares binary, intercept double").collect()
+    model = rows.mapInArrow(lean(_trained), "weights binary, squares binary, intercept double").collect()
     if not model:
         return None
     return np.frombuffer(model[0].weights, "<f4"), np.frombuffer(model[0].squares, "<f4"), model[0].intercept
@@ -201,4 +203,4 @@ def scored(
     names = [name for name in docs.columns if name.lower() != score_column.lower()]
     keep = [docs.columns.index(name) for name in names]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in names)
-    return docs.mapInArrow(score, f"{fields}, `{score_column}` double")
+    return docs.mapInArrow(lean(score), f"{fields}, `{score_column}` double")

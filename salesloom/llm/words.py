@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Fragments a Python worker remembers; about 200 bytes each.
+#: Fragments a task remembers; about 200 bytes each.
 REMEMBERED = 800_000
 #: Characters of texts whose fragments are looked up together.
 TOGETHER = 1 << 22
@@ -122,6 +122,10 @@ class Encoder:
         data, begins = ids.tobytes(), [0, *(end + 4 for end in ends[:-1])]
         self._known.update(zip(fragments, [data[b:e] for b, e in zip(begins, ends, strict=True)], strict=True))
 
+    def forget(self) -> None:
+        """Drops the remembered fragments."""
+        self._known, self._ends = {}, {}
+
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """Ids as little-endian unsigned 32-bit integers."""
         group, chars = [], 0
@@ -171,5 +175,5 @@ class Encoder:
 
 @functools.lru_cache(maxsize=2)
 def encoder(tokenizer_json: str) -> Encoder:
-    """One encoder per Python worker, so later tasks find the fragments of earlier ones."""
+    """One encoder per Python worker, so later tasks need not load it again; each forgets its fragments at its end."""
     return Encoder(tokenizer_json)

@@ -5,10 +5,11 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from salesloom.llm import packing
+from salesloom.llm import packing, shared, words
 from salesloom.llm.words import Encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -100,3 +101,29 @@ def test_a_vocabulary_whose_tokens_do_not_encode_to_themselves_is_left_to_the_li
     assert encoder._merger is None
     expected = Tokenizer.from_str(json.dumps(parts)).encode("x abc abab", add_special_tokens=False).ids
     assert next(encoder.encode(["x abc abab"])) == np.array(expected, "<u4").tobytes()
+
+
+def test_workers_forget_fragments_between_tasks(spark):
+    """Idle workers count for their executor's memory; they held every fragment of earlier tasks."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = spark.createDataFrame([(i, f"some words{i} and more{i * 7}") for i in range(500)], "doc_id long, text string")
+    assert packing.pack(docs.repartition(2), path).count() > 0
+    with open(path, encoding="utf-8") as file:
+        tokenizer = file.read()
+
+    def held(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": [len(words.encoder(tokenizer)._known)]})
+
+    probed = spark.range(4, numPartitions=2).mapInArrow(held, "n long").collect()
+    assert [r.n for r in probed] == [0, 0]
+
+
+def test_memory_goes_back_at_the_end_of_a_task(monkeypatch):
+    ended = []
+    monkeypatch.setattr(shared, "_free", lambda: ended.append(len(ended)))
+    work = shared.lean(lambda batches: (2 * b for b in batches))
+    rows = work([1, 2])
+    assert next(rows) == 2 and not ended
+    assert list(rows) == [4] and ended == [0]
+    assert shared.lean_groups(lambda group: group + 1)(1) == 2 and ended == [0, 1]
