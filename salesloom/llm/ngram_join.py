@@ -3,11 +3,13 @@
 1. Every text becomes its set of shingle hashes; equal sets are one class from then on (64 bits of a digest; two sets
    with the same 64 bits are an error).
 2. Sets are cut into blocks by their elements' hashes, for their size band and, where a partner can be larger, for the
-   next one. A block's key is its parity sketch. Linked sets have fewer differences than blocks, so they agree in one.
+   next one. A block's key is its parity sketch, wide enough for blocks to have a key in common only if they have equal
+   elements. Linked sets have fewer differences than blocks, so they agree in one.
    Tasks send keys and classes, 16 bytes a key, in packets to buckets of bounded size, which leave out keys of one
-   class. The other keys go to their classes, again in packets, a row per bucket and part of the classes. There they
-   meet the classes' parity sketches, whose Hamming distance is at most the symmetric difference, and go to buckets again, where classes with one key are compared by sketch; those within the budget
-   are linked into a spanning forest. A key that more than ``HOT_KEY`` classes of a packet or bucket have links all of
+   class. The other keys are named after all their classes, so that keys which the same classes have are one from then
+   on, and go to their classes, again in packets, a row per bucket and part of the classes. There they meet the
+   classes' parity sketches, whose Hamming distance is at most the symmetric difference, and go to buckets again, where
+   classes with one key are compared by sketch; those within the budget are linked into a spanning forest. A key that more than ``HOT_KEY`` classes of a packet or bucket have links all of
    them with the smallest one without a look at sketches: no task holds such a key whole, and step 3 decides.
    Every pair that links lies in one tree of all forests.
 3. In each tree every class is compared exactly with its smallest class. What does not link with that one is compared
@@ -25,7 +27,7 @@ read. An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 
 from salesloom.llm.components import connected_components
 from salesloom.llm.shared import fresh_name, lean, lean_groups, written
-from salesloom.llm.shingles import Bands, Parities, block_keys, parity, parity_words, shingle_set
+from salesloom.llm.shingles import Bands, Parities, block_keys, mixed, parity, parity_words, shingle_set
 
 #: Keys that meet in a bucket, and keys of a packet, about.
 BUCKET_KEYS = 1 << 21
@@ -142,9 +144,31 @@ def _joined(rows: pa.Table, name: str, kind: str) -> np.ndarray:
     return np.concatenate([np.frombuffer(value.as_buffer(), kind) for value in rows.column(name)])
 
 
-def _shared_keys(rows: pa.Table, hot_key: int, parts: int) -> pa.Table:
-    """part, keys, nodes: the keys of a bucket that several classes have, a row per part that has such a class; links of
-    hot keys in part -1."""
+def _distinct(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (key, node) in the order of nodes and their keys."""
+    order = np.lexsort((keys, nodes))
+    keys, nodes = keys[order], nodes[order]
+    new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])])
+    return keys[new], nodes[new]
+
+
+def _named_by_classes(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (name, node): the name of a key is a hash of all nodes that have it; keys are in order.
+
+    Keys which the same classes have get one name, in all buckets. Should two sets of classes get the same one, all
+    of them have it, so none of them is lost.
+    """
+    if not len(keys):
+        return keys, nodes
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    lengths = np.diff(np.append(starts, len(keys)))
+    names = mixed(np.add.reduceat(mixed(nodes.view("<u8")), starts) + lengths.astype(np.uint64))
+    return _distinct(np.repeat(names, lengths), nodes)
+
+
+def _shared_keys(rows: pa.Table, hot_key: int, parts: int, named: Callable | None = None) -> pa.Table:
+    """part, keys, nodes: the keys of a bucket that several classes have, by name if they are ``named``, a row per part
+    that has such a class; links of hot keys in part -1."""
     keys, nodes, hot = _joined(rows, "keys", "<u8"), _joined(rows, "nodes", "<i8"), _joined(rows, "hot", "<u8")
     found = []
     if rows.column("bucket")[0].as_py() < 0:
@@ -154,6 +178,8 @@ def _shared_keys(rows: pa.Table, hot_key: int, parts: int) -> pa.Table:
         same = keys[1:] == keys[:-1]
         shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])
         keys, nodes = keys[shared], nodes[shared]
+        if named:
+            keys, nodes = named(keys, nodes)
         part = nodes % parts
         order = np.argsort(part, kind="stable")
         cuts = np.searchsorted(part[order], np.arange(parts + 1))
@@ -167,10 +193,8 @@ def _shared_keys(rows: pa.Table, hot_key: int, parts: int) -> pa.Table:
 
 
 def _keys_by_class(rows: pa.Table) -> pa.Table:
-    """node, keys: the shared keys of all buckets, a row per class of the part."""
-    keys, nodes = _joined(rows, "keys", "<u8"), _joined(rows, "nodes", "<i8")
-    order = np.argsort(nodes, kind="stable")
-    keys, nodes = keys[order], nodes[order]
+    """node, keys: the distinct shared keys of all buckets, a row per class of the part."""
+    keys, nodes = _distinct(_joined(rows, "keys", "<u8"), _joined(rows, "nodes", "<i8"))
     starts = np.flatnonzero(np.concatenate([[True], nodes[1:] != nodes[:-1]]))
     content = [own.tobytes() for own in np.split(keys, starts[1:])]
     return pa.table([pa.array(nodes[starts]), pa.array(content, pa.binary())], names=["node", "keys"])
@@ -418,12 +442,14 @@ def _forest(
     # Rows of bucket -1 are links on their way, dealt like any other bucket's by their first bytes.
     turn = F.when(F.col("bucket") < 0, F.xxhash64("nodes")).otherwise(F.col("bucket").cast("long"))
     parted = sent.withColumn("turn", turn).groupBy("turn").applyInArrow(
-        lean_groups(lambda rows: _shared_keys(rows, hot_key, buckets)), "part int, keys binary, nodes binary"
+        lean_groups(lambda rows: _shared_keys(rows, hot_key, buckets, _named_by_classes)),
+        "part int, keys binary, nodes binary",
     )
     found = written(parted, "shared-keys")
     shared = found.where("part >= 0")
-    left = shared.agg(F.sum(F.octet_length("keys"))).first()[0] or 0
     by_class = shared.groupBy("part").applyInArrow(lean_groups(_keys_by_class), "node long, keys binary")
+    by_class = written(by_class, "keys-by-class")
+    left = by_class.agg(F.sum(F.octet_length("keys"))).first()[0] or 0
     sketched = by_class.join(classes.select("node", "n", "sketch"), "node")
     dealt = packets(sketched, max(8, left // 8 // BUCKET_KEYS)).groupBy("bucket")
     compared = dealt.applyInArrow(lean_groups(_forest_of_bucket(bands)), "a long, b long")

@@ -96,28 +96,55 @@ class Bands:
             band += 1
 
 
-def block_keys(shingles: np.ndarray, band: int, blocks: int) -> np.ndarray:
-    """Keys of the blocks: the block's number and its 64 parity bits, hashed to 64 bits.
+#: Ways to cut a small set into blocks, at most.
+CUTS = 16
+
+
+def _block_parities(hashes: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each block a hash of its parity sketch, and its number of elements.
 
-    An element flips one bit of one block, so the Hamming distance of two sketches is at most the number of elements
-    in one set only. Blocks of few elements tell little; with many blocks they are left out: two linked sets that
-    agree in such blocks only have a difference in each of the others, which the hash of the elements to the blocks
-    brings about with a probability below ``0.63 ** blocks used``, one in a million or less.
+    The sketch has 2^64 bits; an element's hash is the number of its bit. The hash of a sketch is the XOR of the numbers
+    of its bits, so blocks that agree have, but for chance in 64 bits, equal elements.
     """
-    block = (((shingles >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)).astype(np.int64)
-    bits = np.uint64(1) << (shingles & np.uint64(63))
+    block = (((hashes >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)).astype(np.int64)
     order = np.argsort(block, kind="stable")
     block = block[order]
     starts = np.flatnonzero(np.diff(block, prepend=-1))
     sketch = np.zeros(blocks, np.uint64)
-    sketch[block[starts]] = np.bitwise_xor.reduceat(bits[order], starts)
-    number = np.arange(blocks, dtype=np.uint64)
+    sketch[block[starts]] = np.bitwise_xor.reduceat(hashes[order], starts)
+    return sketch, np.bincount(block, minlength=blocks)
+
+
+def block_keys(shingles: np.ndarray, band: int, blocks: int) -> np.ndarray:
+    """Keys of the blocks: the block's number and its parity sketch, hashed to 64 bits.
+
+    An element flips one bit of one block, so a block without a difference has the same key in both sets. Blocks of few
+    elements tell little; with many blocks they are left out: two linked sets that agree in such blocks only have a
+    difference in each of the others, which the hash of the elements to the blocks brings about with a probability
+    below ``0.63 ** blocks used``, one in a million or less.
+
+    A smaller set keeps all blocks. Empty ones would be the same in unrelated sets, so a set that has some is cut once
+    more by another hash instead, and again while a cut leaves one empty. Two linked sets that agree in empty blocks
+    only are both cut again, so they meet in a later cut; the last one keeps its empty blocks.
+    """
+    number = np.arange(blocks, dtype=np.uint64) * np.uint64(_ODD)
+    sketch, counts = _block_parities(shingles, blocks)
+
+    def keys(held: np.ndarray, cut: int) -> np.ndarray:
+        salt = np.uint64((band * 0xD6E8FEB86659FD93 + cut * 0xC2B2AE3D27D4EB4F) % (1 << 64))
+        return mixed(mixed(sketch[held]) + number[held] + salt)
+
     for least in (3, 2, 1):
-        held = np.bincount(block, minlength=blocks) >= least
+        held = counts >= least
         if held.sum() >= 30:
-            sketch, number = sketch[held], number[held]
+            return keys(held, 0)
+    found = [keys(counts > 0, 0)]
+    for cut in range(1, CUTS):
+        if counts.all():
             break
-    return mixed(mixed(sketch) + number * np.uint64(_ODD) + np.uint64(band * 0xD6E8FEB86659FD93 % (1 << 64)))
+        sketch, counts = _block_parities(mixed(shingles + np.uint64(cut * _ODD % (1 << 64))), blocks)
+        found.append(keys((counts > 0) | (cut == CUTS - 1), cut))
+    return np.concatenate(found)
 
 
 def parity_words(size):

@@ -184,6 +184,60 @@ def test_linked_sets_share_a_block():
                 assert both.distances(np.array([0]), np.array([1]))[0] <= len(a) - len(b)
 
 
+def test_unrelated_sets_share_no_key():
+    """Blocks of few elements, empty ones too, had the same 64 parity bits in many sets that have nothing in common."""
+    rng, bands = np.random.default_rng(9), Bands(80, 100)
+    for size in (3, 5, 9, 14, 30, 77, 120, 300, 1500):
+        found = [np.unique(rng.integers(0, 1 << 64, size, np.uint64)) for _ in range(400)]
+        keys = [np.unique(np.concatenate([block_keys(s, *cut) for cut in bands.of(len(s))])) for s in found]
+        assert len(np.unique(np.concatenate(keys))) == sum(map(len, keys))
+
+
+def test_small_linked_sets_share_a_key():
+    """Also where the only blocks without a difference are empty."""
+    rng, bands = np.random.default_rng(3), Bands(80, 100)
+    for size in (3, 4, 5, 6, 8, 9, 10, 13, 20, 36, 60, 100):
+        for _ in range(400):
+            a = np.unique(rng.integers(0, 1 << 64, size, np.uint64))
+            dropped = int(rng.integers(0, size // 5 + 1))
+            b = np.concatenate([rng.permutation(a)[dropped:], rng.integers(0, 1 << 64, size // 5 - dropped, np.uint64)])
+            b = np.unique(b)
+            if bands.linked(len(np.intersect1d(a, b)), len(a) + len(b)):
+                keys = [{k for cut in bands.of(len(s)) for k in block_keys(s, *cut).tolist()} for s in (a, b)]
+                assert keys[0] & keys[1]
+
+
+def test_sketches_are_sent_for_what_classes_share(spark, monkeypatch):
+    """Classes that share nothing sent keys and sketches, and a pair did so for each of its many keys."""
+    sent = []
+
+    def seen(classes, buckets):
+        sent.extend(classes.collect())
+        return packets(classes, buckets)
+
+    packets = ngram_join.packets
+    monkeypatch.setattr(ngram_join, "packets", seen)
+    rng = random.Random(2)
+    texts = [[f"w{rng.randrange(10**6)}" for _ in range(rng.choice([20, 40, 90, 300]))] for _ in range(300)]
+    pairs = [[f"w{rng.randrange(10**6)}" for _ in range(300)] for _ in range(3)]
+    texts += [*pairs, *([*words[:-1], "end"] for words in pairs)]
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts)]
+    out = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80, 100)
+    assert {r.doc_id: r.component_id for r in out.collect()} == {i: i - 3 if i > 302 else i for i, _ in rows}
+    assert sorted((len(r["keys"]), r["n"]) for r in sent) == [(8, 296)] * 6
+
+
+def test_keys_of_the_same_classes_are_one():
+    keys = np.array([2, 2, 5, 5, 5, 7, 7, 9, 9, 9], "<u8")
+    nodes = np.array([-4, 1, -4, 1, 6, -4, 1, -4, 1, 6], "<i8")
+    names, owners = ngram_join._named_by_classes(keys, nodes)
+    found = {name: sorted(owners[names == name].tolist()) for name in names.tolist()}
+    assert len(owners) == 5 and sorted(found.values()) == [[-4, 1], [-4, 1, 6]]
+    again, _ = ngram_join._named_by_classes(keys[:2] + np.uint64(90), nodes[:2])
+    assert found[again[0]] == [-4, 1]
+    assert [len(x) for x in ngram_join._named_by_classes(keys[:0], nodes[:0])] == [0, 0]
+
+
 def test_shingles_of_long_and_odd_texts():
     assert len(shingle_set("A b\x0bC d É", 2)) == 3
     assert (shingle_set("Ab CD é", 2) == shingle_set("aB cd é", 2)).all()
